@@ -1,0 +1,9 @@
+"""Streaming.
+
+The analytics this library reproduces are batch questions over closed tables:
+there is no watermark, event-time window, state or late-data rule in any of
+them, so nothing here is streamed.  Every report is a plain DataFrame
+function and therefore also runs unchanged inside
+``writeStream.foreachBatch`` over a stream of new order files, should a user
+want it refreshed per micro-batch.
+"""
