@@ -94,9 +94,13 @@ def segments(df: DataFrame, partition: Sequence[str], first: Sort,
                         F.lit(MAX_SEGMENTS)).cast("long").alias(_K))
     )
     # At most N / max_rows rows: a proven bound, so broadcasting is safe.
-    stats = F.broadcast(stats)
+    # The join is NULL-safe: a NULL group key can be hot too, and no
+    # not-null filter is inferred into either branch, so both read the same
+    # upstream shuffle (Spark reuses the exchange instead of recomputing).
+    stats = F.broadcast(stats.select(*[F.col(p).alias("_sk" + p) for p in partition], _LO, _HI, _K))
     if partition:
-        joined = df.join(stats, on=list(partition), how="left")
+        cond = [df[p].eqNullSafe(F.col("_sk" + p)) for p in partition]
+        joined = df.join(stats, on=cond, how="left").drop(*["_sk" + p for p in partition])
     else:
         joined = df.join(stats, on=F.lit(True), how="left")
     k = F.col(_K)
@@ -114,7 +118,11 @@ def _prior(seg_df: DataFrame, partition: Sequence[str], aggs: dict[str, Column],
            carry: dict[str, str] | None = None) -> DataFrame:
     """Per (group, segment) of hot groups: sums of ``aggs`` over all earlier
     segments, and for ``carry`` (name -> agg name) the value of the nearest
-    earlier (``lag``) segment."""
+    (``lag``) earlier or (``_next*``) later segment.
+
+    ``seg_df`` is the already windowed frame: it is partitioned by
+    (group, segment), so this aggregate needs no new shuffle of the rows and
+    shares the window's input exchange with the main branch."""
     per = (seg_df.where(F.col(_K).isNotNull())
            .groupBy(*partition, SEG).agg(*[a.alias(n) for n, a in aggs.items()]))
     w = Window.partitionBy(*partition).orderBy(SEG)
@@ -132,6 +140,18 @@ def _prior(seg_df: DataFrame, partition: Sequence[str], aggs: dict[str, Column],
     return per.select(*cols)
 
 
+def _join_prior(local: DataFrame, prior: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """Left join of the per-segment corrections on (group, segment), NULL-safe
+    on the group key.  Only hot groups have corrections; the table is small
+    (bounded by the number of segments) and the rows side is already
+    partitioned by (group, segment) from the window."""
+    keys = [*partition, SEG]
+    p = prior.select(*[F.col(k).alias("_pk" + k) for k in keys],
+                     *[c for c in prior.columns if c not in keys])
+    cond = [local[k].eqNullSafe(p["_pk" + k]) for k in keys]
+    return local.join(p, on=cond, how="left").drop(*["_pk" + k for k in keys])
+
+
 def _window(partition: Sequence[str], order: Sequence[Sort]):
     return Window.partitionBy(*partition, SEG).orderBy(*[s.column() for s in order])
 
@@ -147,8 +167,8 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
     fn = {"rank": F.rank(), "row_number": F.row_number()}[method]
     s = segments(df, partition, order[0], max_rows)
     local = s.withColumn(out, fn.over(_window(partition, order)))
-    prior = _prior(s, partition, {"_c": F.count(F.lit(1))})
-    res = local.join(prior, on=[*partition, SEG], how="left")
+    prior = _prior(local, partition, {"_c": F.count(F.lit(1))})
+    res = _join_prior(local, prior, partition)
     res = res.withColumn(out, (F.col(out) + F.coalesce(F.col("_prior_c"), F.lit(0))).cast("long"))
     return _finish(res.drop("_prior_c"))
 
@@ -163,8 +183,8 @@ def running_sum(df: DataFrame, value: str, partition: Sequence[str], order: Sequ
     local = s.withColumn(out, F.sum(value).over(frame))
     if exclusive:
         local = local.withColumn("_rn", F.row_number().over(_window(partition, order)))
-    prior = _prior(s, partition, {"_t": F.sum(value)})
-    res = local.join(prior, on=[*partition, SEG], how="left")
+    prior = _prior(local, partition, {"_t": F.sum(value)})
+    res = _join_prior(local, prior, partition)
     if exclusive:
         # the first row of a later segment continues the previous segments
         total = F.when(F.col("_rn") == 1, F.col("_prior_t")).otherwise(
@@ -200,8 +220,8 @@ def lag_lead(df: DataFrame, value: str, partition: Sequence[str], order: Sequenc
         aggs["_first"] = F.min_by(F.col(value), key)
         carry["_next_first"] = "_first"
         local = local.withColumn("_end", F.lead(F.lit(1)).over(w).isNull())
-    prior = _prior(s, partition, aggs, carry).select(*partition, SEG, *carry.keys())
-    res = local.join(prior, on=[*partition, SEG], how="left")
+    prior = _prior(local, partition, aggs, carry).select(*partition, SEG, *carry.keys())
+    res = _join_prior(local, prior, partition)
     if lag:
         res = res.withColumn(lag, F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col(lag)))
     if lead:

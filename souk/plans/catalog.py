@@ -86,8 +86,16 @@ REGISTRY: dict[str, tuple[Callable[..., DataFrame], dict]] = {
 }
 
 
+_BUNDLES: dict[tuple[int, str], Tables] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return standin_tables(configure(spark), sf_dir)
+    """The stand-in bundle for ``sf_dir``, built once per session (lazy plans,
+    no data is held)."""
+    key = (id(spark), sf_dir)
+    if key not in _BUNDLES:
+        _BUNDLES[key] = standin_tables(configure(spark), sf_dir)
+    return _BUNDLES[key]
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

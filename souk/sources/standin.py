@@ -51,69 +51,86 @@ def _days(n) -> F.Column:
 
 
 def standin_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """Lazy bundle: each commerce table is derived on first use."""
+
     def raw(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    # nation has 25 rows by definition, whatever the scale: a proven bound.
-    nation = F.broadcast(raw("nation").select("n_nationkey", "n_name"))
+    def nation() -> DataFrame:
+        # nation has 25 rows by definition, whatever the scale: a proven bound.
+        return F.broadcast(raw("nation").select("n_nationkey", "n_name"))
 
-    customers = (
-        raw("customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.concat(F.col("n_name"), F.lit("_"), F.col("c_mktsegment")).alias("customer_city"),
-            F.col("n_name").alias("customer_state"),
+    def customers() -> DataFrame:
+        return (
+            raw("customer")
+            .join(nation(), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(
+                F.col("c_custkey").alias("customer_id"),
+                F.concat(F.col("n_name"), F.lit("_"), F.col("c_mktsegment")).alias("customer_city"),
+                F.col("n_name").alias("customer_state"),
+            )
         )
-    )
-    sellers = (
-        raw("supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("s_suppkey").alias("seller_id"), F.col("n_name").alias("seller_city"))
-    )
-    products = raw("part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(F.col("p_size") == NULL_CATEGORY_SIZE, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.col("p_brand"), F.lit("_"), F.col("p_type")))
-        .alias("product_category_name"),
-    )
-    order_items = raw("lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_extendedprice").cast(MONEY).alias("price"),
-        F.col("l_quantity").cast(MONEY).alias("freight_value"),
-    )
 
-    o = raw("orders")
-    key = F.col("o_orderkey")
-    purchase = F.col("o_orderdate") + F.make_dt_interval(
-        secs=((key * TIME_OF_DAY_MULTIPLIER) % 86400).cast("decimal(18,6)"))
-    delivered = purchase + F.make_dt_interval(
-        days=((key * DELIVERY_DAY_MULTIPLIER) % DELIVERY_DAY_SPREAD).cast("int"),
-        hours=(key % 24).cast("int"))
-    orders = o.select(
-        key.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        purchase.alias("order_purchase_timestamp"),
-        F.when(F.col("o_orderstatus") == UNDELIVERED_STATUS, F.lit(None).cast("timestamp_ntz"))
-        .otherwise(delivered).alias("order_delivered_customer_date"),
-        (F.col("o_orderdate") + _days(ESTIMATE_DAYS)).alias("order_estimated_delivery_date"),
-    )
+    def sellers() -> DataFrame:
+        return (
+            raw("supplier")
+            .join(nation(), F.col("s_nationkey") == F.col("n_nationkey"))
+            .select(F.col("s_suppkey").alias("seller_id"), F.col("n_name").alias("seller_city"))
+        )
 
-    order_payments = o.select(
-        key.alias("order_id"), F.col("o_totalprice").cast(MONEY).alias("payment_value")
-    ).unionByName(
-        o.where(F.col("o_orderpriority") == SURCHARGE_PRIORITY).select(
-            key.alias("order_id"), F.lit(SURCHARGE).cast(MONEY).alias("payment_value"))
-    )
-    order_reviews = o.select(
-        key.alias("review_id"),
-        key.alias("order_id"),
-        (1 + (key + F.col("o_custkey")) % 5).cast("int").alias("review_score"),
-        (F.col("o_orderdate") + _days(REVIEW_DELAY_DAYS)).alias("review_creation_date"),
-    )
-    return Tables.of(
+    def products() -> DataFrame:
+        return raw("part").select(
+            F.col("p_partkey").alias("product_id"),
+            F.when(F.col("p_size") == NULL_CATEGORY_SIZE, F.lit(None).cast("string"))
+            .otherwise(F.concat(F.col("p_brand"), F.lit("_"), F.col("p_type")))
+            .alias("product_category_name"),
+        )
+
+    def order_items() -> DataFrame:
+        return raw("lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_suppkey").alias("seller_id"),
+            F.col("l_extendedprice").cast(MONEY).alias("price"),
+            F.col("l_quantity").cast(MONEY).alias("freight_value"),
+        )
+
+    def orders() -> DataFrame:
+        key = F.col("o_orderkey")
+        purchase = F.col("o_orderdate") + F.make_dt_interval(
+            secs=((key * TIME_OF_DAY_MULTIPLIER) % 86400).cast("decimal(18,6)"))
+        delivered = purchase + F.make_dt_interval(
+            days=((key * DELIVERY_DAY_MULTIPLIER) % DELIVERY_DAY_SPREAD).cast("int"),
+            hours=(key % 24).cast("int"))
+        return raw("orders").select(
+            key.alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            purchase.alias("order_purchase_timestamp"),
+            F.when(F.col("o_orderstatus") == UNDELIVERED_STATUS, F.lit(None).cast("timestamp_ntz"))
+            .otherwise(delivered).alias("order_delivered_customer_date"),
+            (F.col("o_orderdate") + _days(ESTIMATE_DAYS)).alias("order_estimated_delivery_date"),
+        )
+
+    def order_payments() -> DataFrame:
+        o = raw("orders")
+        key = F.col("o_orderkey")
+        return o.select(
+            key.alias("order_id"), F.col("o_totalprice").cast(MONEY).alias("payment_value")
+        ).unionByName(
+            o.where(F.col("o_orderpriority") == SURCHARGE_PRIORITY).select(
+                key.alias("order_id"), F.lit(SURCHARGE).cast(MONEY).alias("payment_value"))
+        )
+
+    def order_reviews() -> DataFrame:
+        key = F.col("o_orderkey")
+        return raw("orders").select(
+            key.alias("review_id"),
+            key.alias("order_id"),
+            (1 + (key + F.col("o_custkey")) % 5).cast("int").alias("review_score"),
+            (F.col("o_orderdate") + _days(REVIEW_DELAY_DAYS)).alias("review_creation_date"),
+        )
+
+    return Tables(
         orders=orders, order_items=order_items, customers=customers, products=products,
         sellers=sellers, order_payments=order_payments, order_reviews=order_reviews,
     )

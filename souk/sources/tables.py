@@ -10,8 +10,6 @@ code sees one schema regardless of origin.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,30 +65,46 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
 
 
-@dataclass(frozen=True)
 class Tables:
-    orders: DataFrame
-    order_items: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    sellers: DataFrame
-    order_payments: DataFrame
-    order_reviews: DataFrame
+    """The seven commerce tables, each conformed to its declared schema.
+
+    Tables are built lazily: a source given as a zero-argument callable is
+    only called (files listed, schema analysed) when a report first touches
+    that table, and the result is kept.  DataFrames are plans, so keeping
+    them holds no data."""
+
+    NAMES = tuple(SCHEMAS)
+
+    def __init__(self, **sources):
+        unknown = set(sources) - set(SCHEMAS)
+        if unknown:
+            raise TypeError(f"unknown tables: {sorted(unknown)}")
+        self._sources = sources
+        self._built: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in SCHEMAS:
+            raise AttributeError(name)
+        if name not in self._built:
+            src = self._sources.get(name)
+            if src is None:
+                raise AttributeError(f"table {name!r} was not given")
+            df = src() if callable(src) else src
+            self._built[name] = conform(df, name)
+        return self._built[name]
 
     @classmethod
-    def of(cls, **frames: DataFrame) -> "Tables":
-        return cls(**{name: conform(frames[name], name) for name in (f.name for f in fields(cls))})
+    def of(cls, **frames) -> "Tables":
+        """Bundle from DataFrames (or callables returning them)."""
+        return cls(**frames)
 
     @classmethod
     def from_rows(cls, spark: SparkSession, **rows: list) -> "Tables":
         """Bundle from Python rows (tests).  Tables not given are empty."""
-        frames = {
-            name: spark.createDataFrame(rows.get(name, []), SCHEMAS[name])
-            for name in SCHEMAS
-        }
-        return cls(**frames)
+        return cls(**{name: spark.createDataFrame(rows.get(name, []), SCHEMAS[name])
+                      for name in SCHEMAS})
 
 
 def read_tables(spark: SparkSession, root: str) -> Tables:
     """Read ``root/<table>`` parquet folders that hold the commerce schema."""
-    return Tables.of(**{name: spark.read.parquet(f"{root}/{name}") for name in SCHEMAS})
+    return Tables(**{name: (lambda n=name: spark.read.parquet(f"{root}/{n}")) for name in SCHEMAS})
