@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.measures import (
-    day_diff, exact_avg, in_year, in_years, item_value, money_ratio, month_label, to_double, trunc_avg,
+    day_diff, in_year, in_years, money_ratio, month_label, to_double, trunc_avg,
 )
 from souk.operators import (
     above, above_percentile, asc, desc, lag_lead, rank_within, running_sum, top_k,
 )
 from souk.operators.ordered import DEFAULT_MAX_ROWS
+from souk.plans.common import order_totals
 from souk.sources import Tables
 
 
@@ -39,9 +40,10 @@ def customer_segments(t: Tables, loyal_from: int = 5) -> DataFrame:
 
 
 def _customer_spend(t: Tables) -> DataFrame:
-    return (t.orders.join(t.order_items, "order_id").groupBy("customer_id")
-            .agg(F.sum(item_value()).alias("total_spend"),
-                 F.countDistinct("order_id").alias("total_orders")))
+    # one row per order after the pre-aggregation: counting rows counts orders
+    return (order_totals(t).groupBy("customer_id")
+            .agg(F.sum("order_value").alias("total_spend"),
+                 F.count(F.lit(1)).alias("total_orders")))
 
 
 def customer_ltv(t: Tables) -> DataFrame:
@@ -53,8 +55,7 @@ def customer_ltv(t: Tables) -> DataFrame:
 
 
 def top_customers(t: Tables, k: int = 5) -> DataFrame:
-    spend = (t.orders.join(t.order_items, "order_id").groupBy("customer_id")
-             .agg(F.sum(item_value()).alias("lifetime_spend")))
+    spend = order_totals(t).groupBy("customer_id").agg(F.sum("order_value").alias("lifetime_spend"))
     return (top_k(spend, [desc("lifetime_spend"), asc("customer_id")], k)
             .select("customer_id", to_double("lifetime_spend").alias("lifetime_spend")))
 
@@ -76,9 +77,8 @@ def most_late_customers(t: Tables, k: int = 5) -> DataFrame:
 
 def order_rank_per_customer(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """Each order's amount and its rank among the customer's orders (highest first)."""
-    amounts = (t.orders.join(t.order_items, "order_id")
-               .groupBy("order_id", "customer_id")
-               .agg(F.sum(item_value()).alias("order_amount")))
+    amounts = order_totals(t).select("order_id", "customer_id",
+                                     F.col("order_value").alias("order_amount"))
     ranked = rank_within(amounts, ["customer_id"], [desc("order_amount")], "order_rank",
                          max_rows=max_rows)
     return (ranked.select("customer_id", "order_id", to_double("order_amount").alias("order_amount"),
@@ -89,10 +89,9 @@ def order_rank_per_customer(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> Data
 def order_rank_joined(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """As :func:`order_rank_per_customer`, through the customers table (orders
     of unknown customers drop out)."""
-    amounts = (t.orders.join(t.customers.select("customer_id"), "customer_id")
-               .join(t.order_items, "order_id")
-               .groupBy("customer_id", "order_id")
-               .agg(F.sum(item_value()).alias("order_purchase_amount")))
+    amounts = (order_totals(t).join(t.customers.select("customer_id"), "customer_id")
+               .select("customer_id", "order_id",
+                       F.col("order_value").alias("order_purchase_amount")))
     ranked = rank_within(amounts, ["customer_id"], [desc("order_purchase_amount")], "order_rank",
                          max_rows=max_rows)
     return (ranked.select("customer_id", "order_id",
@@ -104,10 +103,10 @@ def order_rank_joined(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
 def customer_running_sales(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """Each order with the customer's cumulative sales up to it, in order of
     (purchase date, order id)."""
-    sales = (t.orders.join(t.order_items, "order_id")
-             .groupBy("order_id", "customer_id",
-                      F.col("order_purchase_timestamp").cast("date").alias("order_date"))
-             .agg(F.sum(item_value()).alias("order_amount")))
+    sales = order_totals(t).select(
+        "order_id", "customer_id",
+        F.col("order_purchase_timestamp").cast("date").alias("order_date"),
+        F.col("order_value").alias("order_amount"))
     run = running_sum(sales, "order_amount", ["customer_id"], [asc("order_date"), asc("order_id")],
                       "cumulative_sales", max_rows=max_rows)
     return (run.select("order_id", "customer_id", to_double("cumulative_sales").alias("cumulative_sales"))
@@ -151,20 +150,23 @@ def customers_above_p90(t: Tables, p: float = 0.9) -> DataFrame:
             .orderBy(F.col("order_count").desc()))
 
 
-def _payments_per_customer(t: Tables, orders: DataFrame) -> DataFrame:
-    return (t.customers.select("customer_id").join(orders.select("customer_id", "order_id"), "customer_id")
-            .join(t.order_payments, "order_id")
-            .groupBy("customer_id").agg(F.sum("payment_value").alias("total_spent")))
-
-
 def beat_year_max_spend(t: Tables, year: int = 2017) -> DataFrame:
     """Customers whose all-time payments exceed the largest total any customer
-    paid for orders placed in ``year``."""
-    in_y = _payments_per_customer(
-        t, t.orders.where(in_year("order_purchase_timestamp", year)))
-    best = in_y.agg(F.max("total_spent").alias("max_spent"))       # one row
-    all_time = _payments_per_customer(t, t.orders)
-    return (above(all_time, "total_spent", best, "max_spent")
+    paid for orders placed in ``year``.
+
+    One pass: payments are summed per order, joined to orders and customers,
+    and each customer gets both its all-time and its ``year`` total; the
+    maximum of the latter is a one-row aggregate compared by a theta join."""
+    per_order = t.order_payments.groupBy("order_id").agg(F.sum("payment_value").alias("_paid"))
+    rows = (per_order.join(t.orders.select("order_id", "customer_id", "order_purchase_timestamp"),
+                           "order_id")
+            .join(t.customers.select("customer_id"), "customer_id"))
+    in_y = in_year("order_purchase_timestamp", year)
+    per = rows.groupBy("customer_id").agg(
+        F.sum("_paid").alias("total_spent"),
+        F.sum(F.when(in_y, F.col("_paid"))).alias("_year_spent"))
+    best = per.agg(F.max("_year_spent").alias("max_spent"))       # one row
+    return (above(per, "total_spent", best, "max_spent")
             .select("customer_id", to_double("total_spent").alias("total_spent"))
             .orderBy(F.col("total_spent").desc()))
 
@@ -185,9 +187,9 @@ def customers_in_both_years(t: Tables, year1: int = 2017, year2: int = 2018) ->
 
 def top_aov_per_state(t: Tables, k: int = 3) -> DataFrame:
     """Customers ranked by average order value within their state, rank <= k."""
-    aov = (t.customers.join(t.orders, "customer_id").join(t.order_items, "order_id")
+    aov = (order_totals(t).join(t.customers.select("customer_id", "customer_state"), "customer_id")
            .groupBy("customer_id", "customer_state")
-           .agg((F.sum(item_value()).cast("double") / F.countDistinct("order_id")).alias("aov")))
+           .agg((F.sum("order_value").cast("double") / F.count(F.lit(1))).alias("aov")))
     return (top_k(aov, [desc("aov")], k, partition=["customer_state"], ties="rank",
                   rank_col="state_rank")
             .orderBy("customer_state", "state_rank"))
@@ -195,9 +197,9 @@ def top_aov_per_state(t: Tables, k: int = 3) -> DataFrame:
 
 def best_month_per_customer(t: Tables) -> DataFrame:
     """Each customer's month(s) of highest spending (ties kept)."""
-    m = (t.orders.join(t.order_items, "order_id")
+    m = (order_totals(t)
          .groupBy("customer_id", month_label("order_purchase_timestamp").alias("order_month"))
-         .agg(F.sum(item_value()).alias("sales")))
+         .agg(F.sum("order_value").alias("sales")))
     return (top_k(m, [desc("sales")], 1, partition=["customer_id"], ties="rank")
             .select("customer_id", "order_month", to_double("sales").alias("sales"))
             .orderBy("customer_id"))
@@ -205,9 +207,9 @@ def best_month_per_customer(t: Tables) -> DataFrame:
 
 def state_sales_profile(t: Tables) -> DataFrame:
     """Per customer state: sales, distinct orders and average freight per item."""
-    return (t.customers.join(t.orders, "customer_id").join(t.order_items, "order_id")
+    return (order_totals(t).join(t.customers.select("customer_id", "customer_state"), "customer_id")
             .groupBy("customer_state")
-            .agg(to_double(F.sum(item_value())).alias("total_sales"),
-                 F.countDistinct("order_id").alias("total_orders"),
-                 exact_avg("freight_value").alias("avg_freight_cost"))
+            .agg(to_double(F.sum("order_value")).alias("total_sales"),
+                 F.count(F.lit(1)).alias("total_orders"),
+                 (F.sum("order_freight").cast("double") / F.sum("order_items")).alias("avg_freight_cost"))
             .orderBy(F.col("total_sales").desc()))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.measures import day_diff, round_half_up_ratio, to_double, trunc_avg
 from souk.operators import asc, desc, equal_to_max, top_k
+from souk.plans.common import order_totals
 from souk.sources import Tables
 
 DELIVERED = "order_delivered_customer_date"
@@ -78,8 +79,9 @@ def order_city_pairs(t: Tables) -> DataFrame:
 
 
 def order_freight(t: Tables) -> DataFrame:
-    return (t.orders.select("order_id").join(t.order_items.select("order_id", "freight_value"), "order_id")
-            .groupBy("order_id").agg(to_double(F.sum("freight_value")).alias("total_freight"))
+    """Total freight per order (orders that have items)."""
+    return (order_totals(t, order_cols=())
+            .select("order_id", to_double("order_freight").alias("total_freight"))
             .orderBy("order_id"))
 
 

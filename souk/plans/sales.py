@@ -12,6 +12,7 @@ from souk.functions.measures import (
     exact_avg, in_years, item_value, month_label, round_half_up_ratio, to_double,
 )
 from souk.operators import above_mean, asc, desc, top_k
+from souk.plans.common import order_totals
 from souk.sources import Tables
 
 
@@ -105,31 +106,27 @@ def product_order_counts(t: Tables) -> DataFrame:
             .orderBy(F.col("order_count").desc()))
 
 
-def _item_orders(t: Tables) -> DataFrame:
-    return t.order_items.join(t.orders, "order_id")
-
-
 def best_year_per_calendar_month(t: Tables) -> DataFrame:
     """For each calendar month 1-12, the sales of its best year (ties kept)."""
     ts = F.col("order_purchase_timestamp")
-    ym = _item_orders(t).groupBy(F.year(ts).alias("year"), F.month(ts).alias("month")) \
-        .agg(F.sum(item_value()).alias("sales"))
+    ym = order_totals(t).groupBy(F.year(ts).alias("year"), F.month(ts).alias("month")) \
+        .agg(F.sum("order_value").alias("sales"))
     return (top_k(ym, [desc("sales")], 1, partition=["month"], ties="rank")
             .select("month", to_double("sales").alias("sales")))
 
 
 def best_month(t: Tables) -> DataFrame:
     ts = F.col("order_purchase_timestamp")
-    ym = _item_orders(t).groupBy(F.year(ts).alias("sales_year"), F.month(ts).alias("sales_month")) \
-        .agg(F.sum(item_value()).alias("total_sales"))
+    ym = order_totals(t).groupBy(F.year(ts).alias("sales_year"), F.month(ts).alias("sales_month")) \
+        .agg(F.sum("order_value").alias("total_sales"))
     return (top_k(ym, [desc("total_sales"), asc("sales_year"), asc("sales_month")], 1)
             .select("sales_year", "sales_month", to_double("total_sales").alias("total_sales")))
 
 
 def aov_per_year(t: Tables) -> DataFrame:
     ts = F.col("order_purchase_timestamp")
-    return (_item_orders(t).groupBy(F.year(ts).alias("yr"))
-            .agg((F.sum(item_value()).cast("double") / F.countDistinct("order_id")).alias("aov"))
+    return (order_totals(t).groupBy(F.year(ts).alias("yr"))
+            .agg((F.sum("order_value").cast("double") / F.count(F.lit(1))).alias("aov"))
             .orderBy(F.col("aov").desc()))
 
 
@@ -199,6 +196,5 @@ def zero_sales_days(t: Tables) -> DataFrame:
     calendar = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
     # distinct days (map-side partial aggregation: one row per day per task,
     # so a day holding most orders is no hot key) before the anti join
-    sold = (t.orders.join(t.order_items.select("order_id"), "order_id")
-            .select(day.alias("day")).distinct())
+    sold = order_totals(t).select(day.alias("day")).distinct()
     return calendar.join(sold, "day", "left_anti").orderBy("day")

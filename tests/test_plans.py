@@ -3,7 +3,6 @@ anti joins, per-group top-k is limited before the shuffle, global ranks are
 split into segments, year filters reach the parquet scan."""
 
 import datetime as dt
-from decimal import Decimal as D
 
 import pytest
 
