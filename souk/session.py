@@ -9,7 +9,6 @@ for tests and benchmarks.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -34,20 +33,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, setting a scratch one only when
-    the session has none (local tests).  On a cluster ``spark.checkpoint.dir``
-    names a shared, reliable folder and is used as is."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="souk-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "souk", extra: dict | None = None) -> SparkSession:
     """A local session for tests and the benchmark (UI off, no ports beyond
