@@ -139,10 +139,19 @@ def avg_purchase_gap(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
 
 
 def customers_with_orders_left(t: Tables) -> DataFrame:
-    """Every customer with each of its orders; NULL order for customers without one."""
-    return (t.customers.select("customer_id")
-            .join(t.orders.select("customer_id", "order_id"), "customer_id", "left")
-            .orderBy("customer_id"))
+    """Every customer with each of its orders; NULL order for customers without one.
+
+    Written as inner join + anti join rather than one LEFT JOIN: adaptive
+    execution can split a skewed key only on the preserved side of an outer
+    join, and the hot side here is ``orders`` (one customer may hold a large
+    share of all orders).  The inner join can be split on either side, and
+    the anti join's right side is reduced to distinct customers map-side."""
+    cust = t.customers.select("customer_id")
+    orders = t.orders.select("customer_id", "order_id")
+    matched = orders.join(cust, "customer_id")
+    without = (cust.join(orders.select("customer_id").distinct(), "customer_id", "left_anti")
+               .select("customer_id", F.lit(None).cast("long").alias("order_id")))
+    return matched.unionByName(without).orderBy("customer_id")
 
 
 def customers_above_p90(t: Tables, p: float = 0.9) -> DataFrame:

@@ -99,10 +99,17 @@ def products_above_avg_sales(t: Tables) -> DataFrame:
 
 
 def product_order_counts(t: Tables) -> DataFrame:
-    """Every product with the number of distinct orders it was in (0 if none)."""
-    return (t.products.join(t.order_items.select("product_id", "order_id"), "product_id", "left")
-            .groupBy("product_id", "product_category_name")
-            .agg(F.countDistinct("order_id").alias("order_count"))
+    """Every product with the number of distinct orders it was in (0 if none).
+
+    Items are counted per product first (the distinct count shuffles on
+    (product, order), then partial counts on product), and only the one-row-
+    per-product result meets ``products`` in the outer join: a best-selling
+    product never concentrates its item rows in one join task."""
+    counts = (t.order_items.groupBy("product_id")
+              .agg(F.countDistinct("order_id").alias("_orders")))
+    return (t.products.join(counts, "product_id", "left")
+            .select("product_id", "product_category_name",
+                    F.coalesce(F.col("_orders"), F.lit(0)).alias("order_count"))
             .orderBy(F.col("order_count").desc()))
 
 

@@ -44,7 +44,10 @@ def sellers_unmatched_left_join(t: Tables, category: str = "eletrodomesticos") -
     # per seller: does any of its item rows miss the category?
     flagged = (items.join(in_cat, F.col("product_id") == F.col("_pid"), "left")
                .where(F.col("_pid").isNull()).select("seller_id").distinct())
-    no_items = t.sellers.select("seller_id").join(items.select("seller_id"), "seller_id", "left_anti")
+    # anti-join right sides are made distinct first (map-side partial
+    # aggregation), so a seller with a large share of items is no hot key
+    no_items = t.sellers.select("seller_id").join(items.select("seller_id").distinct(),
+                                                  "seller_id", "left_anti")
     return flagged.join(t.sellers.select("seller_id"), "seller_id").unionByName(no_items).distinct()
 
 
@@ -53,7 +56,7 @@ def sellers_never_in_category(t: Tables, category: str = "eletrodomesticos") ->
     sold = (t.order_items.select("seller_id", "product_id")
             .join(t.products.where(F.col("product_category_name") == category).select("product_id"),
                   "product_id")
-            .select("seller_id"))
+            .select("seller_id").distinct())
     return t.sellers.select("seller_id").join(sold, "seller_id", "left_anti")
 
 
