@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.plans import customers, logistics, sales, sellers
+from souk.plans import customers, logistics, procedures, sales, sellers
 from souk.session import configure
 from souk.sources import Tables, standin_tables
 
@@ -69,7 +69,7 @@ REGISTRY: dict[str, tuple[Callable[..., DataFrame], dict]] = {
     "aov_per_year": (sales.aov_per_year, {}),
     "state_sales_profile": (customers.state_sales_profile, {}),
     "customers_in_both_years": (customers.customers_in_both_years, {"year1": YEAR_A, "year2": YEAR_B}),
-    "customers_in_both_years_call": (customers.customers_in_both_years,
+    "customers_in_both_years_call": (procedures.customers_in_both_years_sql,
                                      {"year1": YEAR_A, "year2": YEAR_BEFORE}),
     "lowest_rated_months": (logistics.lowest_rated_months, {}),
     "late_pct_per_year": (logistics.late_pct_per_year, {}),
