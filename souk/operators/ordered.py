@@ -68,28 +68,59 @@ def _monotone_value(df: DataFrame, name: str) -> Column:
     """A double that never decreases when ``name`` increases."""
     dtype = df.schema[name].dataType
     c = F.col(name)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
-        # zone-free seconds since epoch (fractions dropped: still monotone)
-        d = F.to_date(c)
-        return (F.unix_date(d).cast("double") * 86400
-                + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c))
+    exact = _exact_integer_value(df, name)
+    if exact is not None:
+        return exact
     if isinstance(dtype, T.NumericType):
         return c.cast("double")
     raise TypeError(f"cannot split on a {dtype.simpleString()} sort key: {name}")
 
 
-def segments(df: DataFrame, partition: Sequence[str], first: Sort,
+def _exact_integer_value(df: DataFrame, name: str) -> Column | None:
+    """For dates and timestamps: an integer-valued double that strictly
+    increases with ``name`` (days, or microseconds since the epoch, computed
+    without any time zone for TIMESTAMP_NTZ).  ``None`` for other types."""
+    dtype = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        secs = F.extract(F.lit("SECOND"), c)                       # decimal(8,6)
+        micros = ((F.unix_date(F.to_date(c)).cast("long") * 86400
+                   + F.hour(c) * 3600 + F.minute(c) * 60) * 1_000_000
+                  + (secs * 1_000_000).cast("long"))
+        return micros.cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    return None
+
+
+def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
              max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``df`` plus ``_seg`` (ordered like ``first`` within each group) and the
-    hot-group marker ``_seg_k`` (NULL for groups that stay whole)."""
-    v = _monotone_value(df, first.col)
+    """``df`` plus ``_seg`` (ordered like ``order`` within each group) and the
+    hot-group marker ``_seg_k`` (NULL for groups that stay whole).
+
+    Ranges are cut on one monotone value.  When the first sort key is a date
+    or timestamp (exact integer value ``v1``) and the second key goes the same
+    direction, the value is ``v1 + (v2 - min2) / (max2 - min2 + 1)``: still
+    monotone in the full order, so a hot group whose rows share one date is
+    split by the second key too.  Rows with equal keys always share a range."""
+    if isinstance(order, Sort):
+        order = [order]
+    first = order[0]
+    v1 = _monotone_value(df, first.col)
+    composite = (len(order) > 1 and order[1].desc == first.desc
+                 and _exact_integer_value(df, first.col) is not None
+                 and isinstance(df.schema[order[1].col].dataType,
+                                (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)))
+    v2 = _monotone_value(df, order[1].col) if composite else None
+    aggs = [F.count(F.lit(1)).alias("_n"), F.min(v1).alias(_LO), F.max(v1).alias(_HI)]
+    if composite:
+        aggs += [F.min(v2).alias("_seg_lo2"), F.max(v2).alias("_seg_hi2")]
     stats = (
-        df.groupBy(*partition)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias(_LO), F.max(v).alias(_HI))
+        df.groupBy(*partition).agg(*aggs)
         .where(F.col("_n") > max_rows)
-        .select(*partition, _LO, _HI,
+        .select(*partition, *[a for a in (_LO, _HI, "_seg_lo2", "_seg_hi2") if composite or a in (_LO, _HI)],
                 F.least(F.ceil(F.col("_n") * OVERSPLIT / max_rows),
                         F.lit(MAX_SEGMENTS)).cast("long").alias(_K))
     )
@@ -97,21 +128,28 @@ def segments(df: DataFrame, partition: Sequence[str], first: Sort,
     # The join is NULL-safe: a NULL group key can be hot too, and no
     # not-null filter is inferred into either branch, so both read the same
     # upstream shuffle (Spark reuses the exchange instead of recomputing).
-    stats = F.broadcast(stats.select(*[F.col(p).alias("_sk" + p) for p in partition], _LO, _HI, _K))
+    stats = F.broadcast(stats.select(*[F.col(p).alias("_sk" + p) for p in partition],
+                                     *[c for c in stats.columns if c not in partition]))
     if partition:
         cond = [df[p].eqNullSafe(F.col("_sk" + p)) for p in partition]
         joined = df.join(stats, on=cond, how="left").drop(*["_sk" + p for p in partition])
     else:
         joined = df.join(stats, on=F.lit(True), how="left")
     k = F.col(_K)
-    bucket = F.when(F.col(_LO) == F.col(_HI), F.lit(1)).otherwise(
-        F.width_bucket(v, F.col(_LO), F.col(_HI), k))          # 1 .. k+1, ascending
-    ordered = (k + 2 - bucket) if first.desc else bucket
+    lo, hi = F.col(_LO), F.col(_HI)
+    if composite:
+        span = F.col("_seg_hi2") - F.col("_seg_lo2") + 1
+        v = v1 + F.coalesce((v2 - F.col("_seg_lo2")) / span, F.lit(0.0))
+        bucket = F.width_bucket(v, lo, hi + 1, k)                 # v < hi + 1 always
+    else:
+        v = v1
+        bucket = F.when(lo == hi, F.lit(1)).otherwise(F.width_bucket(v, lo, hi, k))
+    ordered = (k + 2 - bucket) if first.desc else bucket       # 1 .. k+1 in sort order
     null_seg = (k + 2) if first.desc else F.lit(0)            # NULLs last / first
     seg = (F.when(k.isNull(), F.lit(0))
-           .when(v.isNull(), null_seg)
+           .when(v1.isNull(), null_seg)
            .otherwise(ordered)).cast("long")
-    return joined.withColumn(SEG, seg).drop(_LO, _HI)
+    return joined.withColumn(SEG, seg).drop(_LO, _HI, "_seg_lo2", "_seg_hi2")
 
 
 def _prior(seg_df: DataFrame, partition: Sequence[str], aggs: dict[str, Column],
@@ -165,7 +203,7 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
     """``rank()`` / ``row_number()`` over ``partitionBy(partition).orderBy(order)``
     as a long column ``out``.  For ``row_number`` the order must be total."""
     fn = {"rank": F.rank(), "row_number": F.row_number()}[method]
-    s = segments(df, partition, order[0], max_rows)
+    s = segments(df, partition, order, max_rows)
     local = s.withColumn(out, fn.over(_window(partition, order)))
     prior = _prior(local, partition, {"_c": F.count(F.lit(1))})
     res = _join_prior(local, prior, partition)
@@ -178,7 +216,7 @@ def running_sum(df: DataFrame, value: str, partition: Sequence[str], order: Sequ
                 max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """``sum(value)`` over rows from the group start to the current row
     (``exclusive``: to the previous row; NULL when there is none)."""
-    s = segments(df, partition, order[0], max_rows)
+    s = segments(df, partition, order, max_rows)
     frame = _window(partition, order).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     local = s.withColumn(out, F.sum(value).over(frame))
     if exclusive:
@@ -202,7 +240,7 @@ def lag_lead(df: DataFrame, value: str, partition: Sequence[str], order: Sequenc
     """``lag(value)`` / ``lead(value)`` by one row over an ascending order."""
     if any(s.desc for s in order):
         raise ValueError("lag_lead takes ascending sort keys")
-    s = segments(df, partition, order[0], max_rows)
+    s = segments(df, partition, order, max_rows)
     w = _window(partition, order)
     key = F.struct(*[F.col(o.col) for o in order])
     local = s

@@ -74,3 +74,33 @@ def test_hot_group_is_split(frame):
     s = segments(frame, ["g"], asc("k"), max_rows=100)
     assert s.where(F.col("g") == 0).select("_seg").distinct().count() > 3
     assert [r[0] for r in s.where(F.col("g") != 0).select("_seg").distinct().collect()] == [0]
+
+
+def test_hot_group_on_one_date_is_split_by_second_key(spark):
+    import datetime as dt
+    day = dt.date(2018, 3, 5)
+    rows = [(i, 0, day, i % 7) for i in range(200)] + [(1000 + i, 1, day, 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "id long, g int, d date, v long")
+    order = [asc("d"), asc("id")]
+    from souk.operators.ordered import segments
+    s = segments(df, ["g"], order, max_rows=20)
+    assert s.where(F.col("g") == 0).select("_seg").distinct().count() > 5
+    w = Window.partitionBy("g").orderBy("d", "id")
+    expect = (df.withColumn("p", F.lag("v").over(w))
+              .withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    got = lag_lead(df, "v", ["g"], order, lag="p", max_rows=20)
+    _same(got, expect, ["id", "p"])
+    got = running_sum(df, "v", ["g"], order, "s", max_rows=20)
+    _same(got, expect, ["id", "s"])
+
+
+def test_timestamp_keys_split_exactly(spark):
+    import datetime as dt
+    base = dt.datetime(2018, 3, 5, 10, 0, 0)
+    rows = [(i, 0, base + dt.timedelta(microseconds=i % 13), i) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, g int, ts timestamp_ntz, v long")
+    order = [asc("ts"), asc("id")]
+    w = Window.partitionBy("g").orderBy("ts", "id")
+    expect = df.withColumn("p", F.lag("v").over(w)).withColumn("n", F.lead("v").over(w))
+    got = lag_lead(df, "v", ["g"], order, lag="p", lead="n", max_rows=7)
+    _same(got, expect, ["id", "p", "n"])
