@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.functions.measures import day_diff, item_value, month_label, to_double, trunc_avg
-from souk.operators import above_mean, asc, desc, rank_by_key, top_k
+from souk.operators import above_mean, above_percentile, asc, desc, rank_by_key, top_k
 from souk.operators.ordered import DEFAULT_MAX_ROWS
-from souk.operators.threshold import with_scalar
 from souk.sources import Tables
 
 
@@ -73,8 +72,7 @@ def sellers_above_median_orders(t: Tables) -> DataFrame:
     """Sellers whose item-row count is above the median item-row count
     (one row per seller)."""
     counts = t.order_items.groupBy("seller_id").agg(F.count("order_id").alias("total_orders"))
-    med = counts.agg(F.median("total_orders").alias("_median"))
-    return with_scalar(counts, med).where(F.col("total_orders") > F.col("_median")).drop("_median")
+    return above_percentile(counts, "total_orders", 0.5)
 
 
 def seller_speed_rank(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
