@@ -7,7 +7,8 @@ operators here give the same answer as the plain window and bound the rows a
 task handles:
 
 1. ``segments``: per group, count rows and take min/max of a numeric value
-   that is monotone in the first sort key.  Groups above ``max_rows`` rows
+   that is monotone in the sort order (the first key, or a date/timestamp
+   first key plus a scaled second key).  Groups above ``max_rows`` rows
    ("hot" groups; at most ``N / max_rows`` of them, so the small table is
    broadcast with a proven bound) get ``k = ceil(2n / max_rows)`` equal-width
    ranges over that value; other groups keep one segment.  Equal sort keys
@@ -40,6 +41,7 @@ OVERSPLIT = 2
 MAX_SEGMENTS = 4096
 
 SEG = "_seg"
+GK = "_gk"      # the group key as one non-NULL struct: NULL-safe with plain equality
 _K, _LO, _HI = "_seg_k", "_seg_lo", "_seg_hi"
 
 
@@ -108,6 +110,11 @@ def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
     if isinstance(order, Sort):
         order = [order]
     first = order[0]
+    # One struct column stands for the group: struct equality treats NULL
+    # fields as equal, so a NULL group key is a group like any other, and
+    # window partitioning, aggregation and joins all use the same plain key
+    # (the correction join then reuses the window's partitioning).
+    df = df.withColumn(GK, F.struct(*partition) if partition else F.lit(0))
     v1 = _monotone_value(df, first.col)
     composite = (len(order) > 1 and order[1].desc == first.desc
                  and _exact_integer_value(df, first.col) is not None
@@ -118,23 +125,17 @@ def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
     if composite:
         aggs += [F.min(v2).alias("_seg_lo2"), F.max(v2).alias("_seg_hi2")]
     stats = (
-        df.groupBy(*partition).agg(*aggs)
+        df.groupBy(GK).agg(*aggs)
         .where(F.col("_n") > max_rows)
-        .select(*partition, *[a for a in (_LO, _HI, "_seg_lo2", "_seg_hi2") if composite or a in (_LO, _HI)],
+        .select(GK, *[a for a in (_LO, _HI, "_seg_lo2", "_seg_hi2") if composite or a in (_LO, _HI)],
                 F.least(F.ceil(F.col("_n") * OVERSPLIT / max_rows),
                         F.lit(MAX_SEGMENTS)).cast("long").alias(_K))
     )
     # At most N / max_rows rows: a proven bound, so broadcasting is safe.
-    # The join is NULL-safe: a NULL group key can be hot too, and no
-    # not-null filter is inferred into either branch, so both read the same
-    # upstream shuffle (Spark reuses the exchange instead of recomputing).
-    stats = F.broadcast(stats.select(*[F.col(p).alias("_sk" + p) for p in partition],
-                                     *[c for c in stats.columns if c not in partition]))
-    if partition:
-        cond = [df[p].eqNullSafe(F.col("_sk" + p)) for p in partition]
-        joined = df.join(stats, on=cond, how="left").drop(*["_sk" + p for p in partition])
-    else:
-        joined = df.join(stats, on=F.lit(True), how="left")
+    # The group key is never NULL, so no not-null filter is inferred into
+    # either branch and both read the same upstream shuffle (Spark reuses the
+    # exchange instead of recomputing it).
+    joined = df.join(F.broadcast(stats), on=GK, how="left")
     k = F.col(_K)
     lo, hi = F.col(_LO), F.col(_HI)
     if composite:
@@ -162,10 +163,10 @@ def _prior(seg_df: DataFrame, partition: Sequence[str], aggs: dict[str, Column],
     (group, segment), so this aggregate needs no new shuffle of the rows and
     shares the window's input exchange with the main branch."""
     per = (seg_df.where(F.col(_K).isNotNull())
-           .groupBy(*partition, SEG).agg(*[a.alias(n) for n, a in aggs.items()]))
-    w = Window.partitionBy(*partition).orderBy(SEG)
+           .groupBy(GK, SEG).agg(*[a.alias(n) for n, a in aggs.items()]))
+    w = Window.partitionBy(GK).orderBy(SEG)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    cols = [F.col(c) for c in (*partition, SEG)]
+    cols = [F.col(GK), F.col(SEG)]
     for n in aggs:
         if carry and n in carry.values():
             continue
@@ -179,23 +180,20 @@ def _prior(seg_df: DataFrame, partition: Sequence[str], aggs: dict[str, Column],
 
 
 def _join_prior(local: DataFrame, prior: DataFrame, partition: Sequence[str]) -> DataFrame:
-    """Left join of the per-segment corrections on (group, segment), NULL-safe
-    on the group key.  Only hot groups have corrections; the table is small
-    (bounded by the number of segments) and the rows side is already
-    partitioned by (group, segment) from the window."""
-    keys = [*partition, SEG]
-    p = prior.select(*[F.col(k).alias("_pk" + k) for k in keys],
-                     *[c for c in prior.columns if c not in keys])
-    cond = [local[k].eqNullSafe(p["_pk" + k]) for k in keys]
-    return local.join(p, on=cond, how="left").drop(*["_pk" + k for k in keys])
+    """Left join of the per-segment corrections on (group key, segment).
+
+    The keys are exactly the window's partitioning, so the rows side is not
+    shuffled again; only the small corrections table (one row per segment of
+    a hot group) moves, or is broadcast by adaptive execution."""
+    return local.join(prior, on=[GK, SEG], how="left")
 
 
 def _window(partition: Sequence[str], order: Sequence[Sort]):
-    return Window.partitionBy(*partition, SEG).orderBy(*[s.column() for s in order])
+    return Window.partitionBy(GK, SEG).orderBy(*[s.column() for s in order])
 
 
 def _finish(df: DataFrame) -> DataFrame:
-    return df.drop(SEG, _K)
+    return df.drop(SEG, _K, GK)
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort], out: str,
@@ -258,7 +256,7 @@ def lag_lead(df: DataFrame, value: str, partition: Sequence[str], order: Sequenc
         aggs["_first"] = F.min_by(F.col(value), key)
         carry["_next_first"] = "_first"
         local = local.withColumn("_end", F.lead(F.lit(1)).over(w).isNull())
-    prior = _prior(local, partition, aggs, carry).select(*partition, SEG, *carry.keys())
+    prior = _prior(local, partition, aggs, carry).select(GK, SEG, *carry.keys())
     res = _join_prior(local, prior, partition)
     if lag:
         res = res.withColumn(lag, F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col(lag)))
