@@ -9,7 +9,7 @@ reuses its shuffle for both branches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,11 +34,22 @@ def equal_to_max(df: DataFrame, value: str) -> DataFrame:
     return with_scalar(df, stat).where(F.col(value) == F.col("_max")).drop("_max")
 
 
-def above_percentile(df: DataFrame, value: str, p: float) -> DataFrame:
-    """Rows above the exact continuous percentile ``p`` (linear interpolation,
-    as ``PERCENTILE_CONT``).  Spark aggregates a value -> count map, so the
-    buffer grows with distinct values, not rows."""
-    stat = df.agg(F.percentile(F.col(value), F.lit(p)).alias("_p"))
+def percentile_of(value: str, p: float, accuracy: int | None = None) -> Column:
+    """Continuous percentile ``p`` (linear interpolation, as ``PERCENTILE_CONT``).
+
+    Exact by default: Spark aggregates a value -> count map per group, so the
+    buffer grows with the number of distinct values, not rows (small for
+    counts and day differences).  ``accuracy`` switches to the mergeable
+    ``percentile_approx`` sketch for high-cardinality values (relative rank
+    error about 1/accuracy; it returns an input value, not an interpolation)."""
+    if accuracy:
+        return F.percentile_approx(F.col(value), F.lit(p), F.lit(accuracy)).cast("double")
+    return F.percentile(F.col(value), F.lit(p))
+
+
+def above_percentile(df: DataFrame, value: str, p: float, accuracy: int | None = None) -> DataFrame:
+    """Rows above the continuous percentile ``p`` of ``value``."""
+    stat = df.agg(percentile_of(value, p, accuracy).alias("_p"))
     return with_scalar(df, stat).where(F.col(value) > F.col("_p")).drop("_p")
 
 

@@ -154,8 +154,9 @@ def customers_with_orders_left(t: Tables) -> DataFrame:
     return matched.unionByName(without).orderBy("customer_id")
 
 
-def customers_above_p90(t: Tables, p: float = 0.9) -> DataFrame:
-    return (above_percentile(_order_counts(t), "order_count", p)
+def customers_above_p90(t: Tables, p: float = 0.9, accuracy: int | None = None) -> DataFrame:
+    """Customers whose order count is above the ``p`` percentile of order counts."""
+    return (above_percentile(_order_counts(t), "order_count", p, accuracy)
             .orderBy(F.col("order_count").desc()))
 
 

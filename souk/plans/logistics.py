@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.measures import day_diff, round_half_up_ratio, to_double, trunc_avg
 from souk.operators import asc, desc, equal_to_max, top_k
+from souk.operators.threshold import percentile_of
 from souk.plans.common import order_totals
 from souk.sources import Tables
 
@@ -53,16 +54,18 @@ def late_pct_per_year(t: Tables) -> DataFrame:
             .orderBy("order_year"))
 
 
-def category_p90_delivery(t: Tables, p: float = 0.9, min_days: float = 10) -> DataFrame:
+def category_p90_delivery(t: Tables, p: float = 0.9, min_days: float = 10,
+                          accuracy: int | None = None) -> DataFrame:
     """Categories whose ``p`` percentile of delivery days exceeds ``min_days``.
 
     Grouped exact percentile: partial aggregation keeps a day -> count map per
-    category, bounded by distinct day values."""
+    category, bounded by distinct day values (``accuracy`` opts into the
+    approximate sketch)."""
     rows = (t.orders.where(F.col(DELIVERED).isNotNull())
             .join(t.order_items.select("order_id", "product_id"), "order_id")
-            .join(t.products, "product_id"))
-    g = rows.groupBy("product_category_name").agg(
-        F.percentile(_delivery_days(), F.lit(p)).alias("_p"))
+            .join(t.products, "product_id")
+            .withColumn("_days", _delivery_days()))
+    g = rows.groupBy("product_category_name").agg(percentile_of("_days", p, accuracy).alias("_p"))
     return (g.where(F.col("_p") > min_days)
             .select("product_category_name", F.round("_p", 6).alias("p90_delivery_days"))
             .orderBy(F.col("p90_delivery_days").desc()))

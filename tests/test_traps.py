@@ -157,3 +157,16 @@ def test_category_growth_zero_for_missing_year(t):
     assert got["eletro"] == (110.0, 110.0, 0.0)
     assert got["moveis"] == (88.0, 0.0, -88.0)
     assert got[None] == (0.0, 33.0, 33.0)
+
+
+def test_approximate_percentile_is_opt_in(spark):
+    from souk.plans import catalog
+    from tests.conftest import SF_SMALL
+    t = catalog.tables(spark, SF_SMALL)
+    exact = {r[0] for r in customers.customers_above_p90(t).collect()}
+    approx = {r[0] for r in customers.customers_above_p90(t, accuracy=100000).collect()}
+    assert exact and approx
+    # the approximate p90 is an input value at most one rank step away
+    assert exact <= approx or approx <= exact
+    cats = logistics.category_p90_delivery(t, accuracy=100000).count()
+    assert cats == logistics.category_p90_delivery(t).count()
