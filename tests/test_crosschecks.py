@@ -76,3 +76,11 @@ def test_category_growth_is_deterministic_function_of_years(t):
     a = _set(sales.category_growth(t, catalog.YEAR_A, catalog.YEAR_B))
     b = _set(sales.category_growth(t, catalog.YEAR_A, catalog.YEAR_B))
     assert a == b and len(a) > 0
+
+
+@pytest.mark.parametrize("years", [(1997, 1998), (1997, 1996), (1995, 2001), (1997, 1997)])
+def test_procedure_sql_equals_dataframe_form(t, years):
+    from souk.plans import procedures
+    a = customers.customers_in_both_years(t, *years).first()[0]
+    b = procedures.customers_in_both_years_sql(t, *years).first()[0]
+    assert a == b
