@@ -277,7 +277,7 @@ def rank_by_key(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     before = running_sum(counts, "_c", partition, order, "_before", exclusive=True,
                          max_rows=max_rows)
-    ranks = before.select(*[F.col(k).alias("_r" + k) for k in keys],
+    # join back on the whole key as one struct (NULL fields compare equal)
+    ranks = before.select(F.struct(*keys).alias("_rk"),
                           (F.coalesce(F.col("_before"), F.lit(0)) + 1).cast("long").alias(out))
-    cond = [df[k].eqNullSafe(ranks["_r" + k]) for k in keys]
-    return df.join(ranks, on=cond, how="inner").drop(*["_r" + k for k in keys])
+    return df.withColumn("_rk", F.struct(*keys)).join(ranks, "_rk").drop("_rk")
