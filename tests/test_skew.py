@@ -43,3 +43,14 @@ def test_hot_customer_is_split(skewed):
 ])
 def test_split_equals_unsplit(skewed, report):
     assert _rows(report(skewed, max_rows=SMALL)) == _rows(report(skewed, max_rows=HUGE))
+
+
+def test_hot_customer_spreads_over_shuffle_partitions(skewed):
+    from souk.operators.ordered import GK, SEG
+    s = segments(skewed.orders, ["customer_id"], [asc("order_purchase_timestamp"), asc("order_id")],
+                 max_rows=SMALL)
+    # the window exchange hashes on (group key, segment): the hot customer's
+    # rows land in many partitions instead of one
+    placed = s.repartition(8, GK, SEG).where(F.col("customer_id") == 0) \
+        .select(F.spark_partition_id().alias("p")).distinct().count()
+    assert placed >= 4
