@@ -170,3 +170,11 @@ def test_approximate_percentile_is_opt_in(spark):
     assert exact <= approx or approx <= exact
     cats = logistics.category_p90_delivery(t, accuracy=100000).count()
     assert cats == logistics.category_p90_delivery(t).count()
+
+
+def test_moving_average_rows_vs_calendar_days(t):
+    rows_mode = {(r[0], r[1]): r[3] for r in sales.moving_avg_category(t).collect()}
+    cal_mode = {(r[0], r[1]): r[3] for r in sales.moving_avg_category(t, calendar=True).collect()}
+    feb = ("moveis", dt.date(2017, 2, 1))
+    assert rows_mode[feb] == 44.0        # (55.00 + 33.00) / 2: previous row counts
+    assert cal_mode[feb] == 33.0         # previous sale is 22 days earlier
