@@ -28,6 +28,7 @@ def col(c: str | Column) -> Column:
 
 
 def item_value(price: str = "price", freight: str = "freight_value") -> Column:
+    """Value of an item row: price plus freight (decimal)."""
     return F.col(price) + F.col(freight)
 
 
@@ -37,6 +38,7 @@ def day_diff(start: str | Column, end: str | Column) -> Column:
 
 
 def month_label(ts: str | Column) -> Column:
+    """Year-month label ``yyyy-MM`` of a timestamp."""
     return F.date_format(col(ts), "yyyy-MM")
 
 
@@ -51,6 +53,7 @@ def in_year(ts: str | Column, year: int) -> Column:
 
 
 def in_years(ts: str | Column, years: Iterable[int]) -> Column:
+    """Timestamp falls in any of ``years`` (OR of half-open ranges)."""
     cond = None
     for y in sorted(set(years)):
         p = in_year(ts, y)
@@ -59,6 +62,7 @@ def in_years(ts: str | Column, years: Iterable[int]) -> Column:
 
 
 def to_double(c: str | Column) -> Column:
+    """Cast to double (final presentation of money)."""
     return col(c).cast("double")
 
 

@@ -49,7 +49,8 @@ def write_tables(t: Tables, root: str, files_per_table: int | None = None,
 
 def run_report(spark: SparkSession, name: str, out: str, *, tables: str | None = None,
                sf_dir: str | None = None, mode: str = "errorifexists") -> None:
-    fn, kwargs = catalog.REGISTRY[name]
+    """Run the report ``name`` and write its rows to ``out`` as parquet."""
+    fn, _ = catalog.REGISTRY[name]
     if sf_dir:
         df = catalog.run(name, spark, sf_dir)
     elif tables:

@@ -30,6 +30,7 @@ def above_mean(df: DataFrame, value: str) -> DataFrame:
 
 
 def equal_to_max(df: DataFrame, value: str) -> DataFrame:
+    """Rows whose ``value`` equals the maximum of ``value``."""
     stat = df.agg(F.max(value).alias("_max"))
     return with_scalar(df, stat).where(F.col(value) == F.col("_max")).drop("_max")
 

@@ -26,6 +26,7 @@ _FUNCS = {"cut": F.row_number, "rank": F.rank, "dense": F.dense_rank}
 
 def top_k(df: DataFrame, order: Sequence[Sort], k: int, partition: Sequence[str] = (),
           ties: str = "cut", rank_col: str | None = None) -> DataFrame:
+    """Rows ranked at most ``k`` by ``order`` (per ``partition`` group when given)."""
     if k < 1:
         raise ValueError("k must be at least 1")
     if ties not in _FUNCS:

@@ -102,11 +102,13 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the registered report ``name`` on the supplied tables in ``sf_dir``."""
     fn, kwargs = REGISTRY[name]
     return fn(tables(spark, sf_dir), **kwargs)
 
 
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A ``(spark, sf_dir) -> DataFrame`` callable for the report ``name``."""
     def _run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return run(name, spark, sf_dir)
     _run.__name__ = name

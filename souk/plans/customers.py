@@ -55,12 +55,14 @@ def customer_ltv(t: Tables) -> DataFrame:
 
 
 def top_customers(t: Tables, k: int = 5) -> DataFrame:
+    """The ``k`` customers with the highest lifetime spend (customer id breaks ties)."""
     spend = order_totals(t).groupBy("customer_id").agg(F.sum("order_value").alias("lifetime_spend"))
     return (top_k(spend, [desc("lifetime_spend"), asc("customer_id")], k)
             .select("customer_id", to_double("lifetime_spend").alias("lifetime_spend")))
 
 
 def top_customers_per_state(t: Tables, k: int = 5) -> DataFrame:
+    """The ``k`` customers with most orders in each state (row number, id breaks ties)."""
     counts = (t.orders.join(t.customers, "customer_id")
               .groupBy("customer_state", "customer_id")
               .agg(F.count("order_id").alias("order_count")))
@@ -69,6 +71,7 @@ def top_customers_per_state(t: Tables, k: int = 5) -> DataFrame:
 
 
 def most_late_customers(t: Tables, k: int = 5) -> DataFrame:
+    """The ``k`` customers with most orders delivered after the estimate."""
     late = (t.orders.where(F.col("order_delivered_customer_date")
                            > F.col("order_estimated_delivery_date"))
             .groupBy("customer_id").agg(F.count("order_id").alias("late_orders")))

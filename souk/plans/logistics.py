@@ -32,6 +32,7 @@ def delivery_days_by_state(t: Tables) -> DataFrame:
 
 
 def slowest_states(t: Tables, k: int = 5) -> DataFrame:
+    """The ``k`` states with the highest average (truncated) delivery days."""
     return top_k(_state_delivery(t, "avg_delivery_days"),
                  [desc("avg_delivery_days"), asc("customer_state")], k)
 
@@ -111,6 +112,7 @@ def product_review_avg(t: Tables, min_reviews: int = 20) -> DataFrame:
 
 
 def best_rated_products(t: Tables, k: int = 10) -> DataFrame:
+    """The ``k`` products with the best average review score (no minimum count)."""
     avg = (_product_reviews(t).groupBy("product_id")
            .agg(F.avg(F.col("review_score").cast("double")).alias("avg_score")))
     return top_k(avg, [desc("avg_score"), asc("product_id")], k)

@@ -29,6 +29,7 @@ def seller_revenue_over(t: Tables, min_revenue: float = 50000) -> DataFrame:
 
 
 def monthly_orders(t: Tables) -> DataFrame:
+    """Orders per purchase month (``yyyy-MM``), chronological."""
     return (t.orders.groupBy(month_label("order_purchase_timestamp").alias("month"))
             .agg(F.count("order_id").alias("total_orders"))
             .orderBy("month"))
@@ -59,6 +60,7 @@ def top_categories_rank(t: Tables, k: int = 10) -> DataFrame:
 
 
 def priciest_products(t: Tables, k: int = 5) -> DataFrame:
+    """The ``k`` products with the highest average unit price."""
     avg = t.order_items.groupBy("product_id").agg(exact_avg("price").alias("avg_price"))
     return top_k(avg, [desc("avg_price"), asc("product_id")], k)
 
@@ -80,11 +82,13 @@ def top_sellers_per_category(t: Tables, k: int = 3) -> DataFrame:
 
 
 def top_seller_per_category(t: Tables) -> DataFrame:
+    """The best-selling seller of every category (seller id breaks ties)."""
     return top_sellers_per_category(t, 1).select(
         "product_category_name", "seller_id", "total_sales").orderBy(F.col("total_sales").desc())
 
 
 def top_products_per_category(t: Tables, k: int = 5) -> DataFrame:
+    """The ``k`` best-selling products of every category with their row number."""
     ps = _sales(t.order_items.join(t.products, "product_id"), "product_category_name", "product_id")
     return (top_k(ps, [desc("total_sales"), asc("product_id")], k,
                   partition=["product_category_name"], rank_col="sales_rank")
@@ -94,6 +98,7 @@ def top_products_per_category(t: Tables, k: int = 5) -> DataFrame:
 
 
 def products_above_avg_sales(t: Tables) -> DataFrame:
+    """Products whose sales exceed the mean sales per product."""
     s = _sales(t.order_items, "product_id", name="sales")
     return above_mean(s, "sales").select("product_id", to_double("sales").alias("sales"))
 
@@ -123,6 +128,7 @@ def best_year_per_calendar_month(t: Tables) -> DataFrame:
 
 
 def best_month(t: Tables) -> DataFrame:
+    """The single (year, month) with the highest sales."""
     ts = F.col("order_purchase_timestamp")
     ym = order_totals(t).groupBy(F.year(ts).alias("sales_year"), F.month(ts).alias("sales_month")) \
         .agg(F.sum("order_value").alias("total_sales"))
@@ -131,6 +137,7 @@ def best_month(t: Tables) -> DataFrame:
 
 
 def aov_per_year(t: Tables) -> DataFrame:
+    """Average order value (sales / distinct orders) per purchase year."""
     ts = F.col("order_purchase_timestamp")
     return (order_totals(t).groupBy(F.year(ts).alias("yr"))
             .agg((F.sum("order_value").cast("double") / F.count(F.lit(1))).alias("aov"))

@@ -64,6 +64,7 @@ def _seller_revenue(t: Tables) -> DataFrame:
 
 
 def sellers_above_avg_revenue(t: Tables) -> DataFrame:
+    """Sellers whose revenue exceeds the mean revenue per seller."""
     return (above_mean(_seller_revenue(t), "total_revenue")
             .select("seller_id", to_double("total_revenue").alias("total_revenue")))
 

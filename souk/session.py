@@ -28,6 +28,7 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings the reports assume to ``spark``."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
