@@ -8,10 +8,11 @@ task handles:
 
 1. ``segments``: per group, count rows and take min/max of a numeric value
    that is monotone in the sort order (the first key, or a date/timestamp
-   first key plus a scaled second key).  Groups above ``max_rows`` rows
-   ("hot" groups; at most ``N / max_rows`` of them, so the small table is
-   broadcast with a proven bound) get ``k = ceil(2n / max_rows)`` equal-width
-   ranges over that value; other groups keep one segment.  Equal sort keys
+   first key plus a scaled second key).  Groups that need more than one
+   range ("hot" groups: ``k = ceil(2n / max_rows) > 1``; at most
+   ``2N / max_rows`` of them, so the small table is broadcast with a proven
+   bound) get ``k`` equal-width ranges over that value; other groups keep
+   one segment.  Equal sort keys
    always fall in the same segment, and segment order follows sort order.
 2. The window runs per ``(group, segment)``.
 3. Per ``(group, segment)`` of hot groups, a small summary (row count, total,
@@ -66,23 +67,22 @@ def desc(c: str) -> Sort:
     return Sort(c, True)
 
 
-def _monotone_value(df: DataFrame, name: str) -> Column:
+def _monotone_value(schema: T.StructType, name: str) -> Column:
     """A double that never decreases when ``name`` increases."""
-    dtype = df.schema[name].dataType
-    c = F.col(name)
-    exact = _exact_integer_value(df, name)
+    exact = _exact_integer_value(schema, name)
     if exact is not None:
         return exact
+    dtype = schema[name].dataType
     if isinstance(dtype, T.NumericType):
-        return c.cast("double")
+        return F.col(name).cast("double")
     raise TypeError(f"cannot split on a {dtype.simpleString()} sort key: {name}")
 
 
-def _exact_integer_value(df: DataFrame, name: str) -> Column | None:
+def _exact_integer_value(schema: T.StructType, name: str) -> Column | None:
     """For dates and timestamps: an integer-valued double that strictly
     increases with ``name`` (days, or microseconds since the epoch, computed
     without any time zone for TIMESTAMP_NTZ).  ``None`` for other types."""
-    dtype = df.schema[name].dataType
+    dtype = schema[name].dataType
     c = F.col(name)
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
@@ -97,45 +97,39 @@ def _exact_integer_value(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
-             max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``df`` plus ``_seg`` (ordered like ``order`` within each group) and the
-    hot-group marker ``_seg_k`` (NULL for groups that stay whole).
+def _sum_type(dtype: T.DataType) -> T.DataType:
+    """Result type of ``sum`` over ``dtype`` (Spark's rule)."""
+    if isinstance(dtype, T.DecimalType):
+        return T.DecimalType(min(38, dtype.precision + 10), dtype.scale)
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return T.LongType()
+    return T.DoubleType()
 
-    Ranges are cut on one monotone value.  When the first sort key is a date
-    or timestamp (exact integer value ``v1``) and the second key goes the same
-    direction, the value is ``v1 + (v2 - min2) / (max2 - min2 + 1)``: still
-    monotone in the full order, so a hot group whose rows share one date is
-    split by the second key too.  Rows with equal keys always share a range."""
-    if isinstance(order, Sort):
-        order = [order]
+
+def _segments(df: DataFrame, schema: T.StructType, partition: Sequence[str],
+              order: Sequence[Sort], max_rows: int) -> DataFrame:
     first = order[0]
     # One struct column stands for the group: struct equality treats NULL
     # fields as equal, so a NULL group key is a group like any other, and
     # window partitioning, aggregation and joins all use the same plain key
     # (the correction join then reuses the window's partitioning).
-    df = df.withColumn(GK, F.struct(*partition) if partition else F.lit(0))
-    v1 = _monotone_value(df, first.col)
+    base = df.withColumn(GK, F.struct(*partition) if partition else F.lit(0))
+    v1 = _monotone_value(schema, first.col)
     composite = (len(order) > 1 and order[1].desc == first.desc
-                 and _exact_integer_value(df, first.col) is not None
-                 and isinstance(df.schema[order[1].col].dataType,
+                 and _exact_integer_value(schema, first.col) is not None
+                 and isinstance(schema[order[1].col].dataType,
                                 (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)))
-    v2 = _monotone_value(df, order[1].col) if composite else None
-    aggs = [F.count(F.lit(1)).alias("_n"), F.min(v1).alias(_LO), F.max(v1).alias(_HI)]
+    v2 = _monotone_value(schema, order[1].col) if composite else None
+    n_segs = F.least(F.ceil(F.count(F.lit(1)) * OVERSPLIT / max_rows), F.lit(MAX_SEGMENTS))
+    aggs = [n_segs.cast("long").alias(_K), F.min(v1).alias(_LO), F.max(v1).alias(_HI)]
     if composite:
         aggs += [F.min(v2).alias("_seg_lo2"), F.max(v2).alias("_seg_hi2")]
-    stats = (
-        df.groupBy(GK).agg(*aggs)
-        .where(F.col("_n") > max_rows)
-        .select(GK, *[a for a in (_LO, _HI, "_seg_lo2", "_seg_hi2") if composite or a in (_LO, _HI)],
-                F.least(F.ceil(F.col("_n") * OVERSPLIT / max_rows),
-                        F.lit(MAX_SEGMENTS)).cast("long").alias(_K))
-    )
-    # At most N / max_rows rows: a proven bound, so broadcasting is safe.
-    # The group key is never NULL, so no not-null filter is inferred into
-    # either branch and both read the same upstream shuffle (Spark reuses the
-    # exchange instead of recomputing it).
-    joined = df.join(F.broadcast(stats), on=GK, how="left")
+    # Hot groups only: at most N / max_rows rows, a proven bound, so
+    # broadcasting is safe.  The group key is never NULL, so no not-null
+    # filter is inferred into either branch and both read the same upstream
+    # shuffle (Spark reuses the exchange instead of recomputing it).
+    stats = base.groupBy(GK).agg(*aggs).where(F.col(_K) > 1)
+    joined = base.join(F.broadcast(stats), on=GK, how="left")
     k = F.col(_K)
     lo, hi = F.col(_LO), F.col(_HI)
     if composite:
@@ -150,50 +144,62 @@ def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
     seg = (F.when(k.isNull(), F.lit(0))
            .when(v1.isNull(), null_seg)
            .otherwise(ordered)).cast("long")
-    return joined.withColumn(SEG, seg).drop(_LO, _HI, "_seg_lo2", "_seg_hi2")
+    return joined.select(*[F.col(f.name) for f in schema.fields], F.col(GK), k, seg.alias(SEG))
+
+
+def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort] | Sort,
+             max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``df`` plus the group key ``_gk``, the segment ``_seg`` (ordered like
+    ``order`` within each group) and the hot-group marker ``_seg_k`` (NULL
+    for groups that stay whole).
+
+    Ranges are cut on one monotone value.  When the first sort key is a date
+    or timestamp (exact integer value ``v1``) and the second key goes the same
+    direction, the value is ``v1 + (v2 - min2) / (max2 - min2 + 1)``: still
+    monotone in the full order, so a hot group whose rows share one date is
+    split by the second key too.  Rows with equal keys always share a range.
+    A group is hot when it needs more than one range, i.e. holds more than
+    ``max_rows / 2`` rows."""
+    order = [order] if isinstance(order, Sort) else list(order)
+    return _segments(df, df.schema, partition, order, max_rows)
 
 
-def _prior(seg_df: DataFrame, partition: Sequence[str], aggs: dict[str, Column],
+def _prior(local: DataFrame, aggs: dict[str, Column],
            carry: dict[str, str] | None = None) -> DataFrame:
     """Per (group, segment) of hot groups: sums of ``aggs`` over all earlier
-    segments, and for ``carry`` (name -> agg name) the value of the nearest
-    (``lag``) earlier or (``_next*``) later segment.
-
-    ``seg_df`` is the already windowed frame: it is partitioned by
-    (group, segment), so this aggregate needs no new shuffle of the rows and
-    shares the window's input exchange with the main branch."""
-    per = (seg_df.where(F.col(_K).isNotNull())
-           .groupBy(GK, SEG).agg(*[a.alias(n) for n, a in aggs.items()]))
+    segments (``_prior<name>``), and for ``carry`` (output -> agg name) the
+    value of the nearest earlier (``lag``) or, for outputs named ``_next*``,
+    later segment.
+
+    Only hot rows are aggregated; the result has one row per segment of a hot
+    group (bounded), and its window is partitioned by group."""
+    per = local.where(F.col(_K).isNotNull()).groupBy(GK, SEG).agg(
+        *[a.alias(n) for n, a in aggs.items()])
     w = Window.partitionBy(GK).orderBy(SEG)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
+    carried = set((carry or {}).values())
     cols = [F.col(GK), F.col(SEG)]
-    for n in aggs:
-        if carry and n in carry.values():
-            continue
-        cols.append(F.sum(n).over(before).alias("_prior" + n))
+    cols += [F.sum(n).over(before).alias("_prior" + n) for n in aggs if n not in carried]
     for out, n in (carry or {}).items():
-        if out.startswith("_next"):
-            cols.append(F.lead(n).over(w).alias(out))
-        else:
-            cols.append(F.lag(n).over(w).alias(out))
+        cols.append((F.lead(n) if out.startswith("_next") else F.lag(n)).over(w).alias(out))
     return per.select(*cols)
 
 
-def _join_prior(local: DataFrame, prior: DataFrame, partition: Sequence[str]) -> DataFrame:
-    """Left join of the per-segment corrections on (group key, segment).
-
-    The keys are exactly the window's partitioning, so the rows side is not
-    shuffled again; only the small corrections table (one row per segment of
-    a hot group) moves, or is broadcast by adaptive execution."""
-    return local.join(prior, on=[GK, SEG], how="left")
-
-
-def _window(partition: Sequence[str], order: Sequence[Sort]):
+def _window(order: Sequence[Sort]):
     return Window.partitionBy(GK, SEG).orderBy(*[s.column() for s in order])
 
 
-def _finish(df: DataFrame) -> DataFrame:
-    return df.drop(SEG, _K, GK)
+def _corrected(local: DataFrame, prior: DataFrame, keep: Sequence[str],
+               fixes: dict[str, Column]) -> DataFrame:
+    """Left join the per-segment corrections on (group key, segment) and
+    return the ``keep`` columns plus the corrected ``fixes``.
+
+    The join keys are exactly the window's partitioning, so the rows are not
+    shuffled again; only the small corrections table moves (or is broadcast
+    by adaptive execution)."""
+    joined = local.join(prior, on=[GK, SEG], how="left")
+    return joined.select(*[F.col(c) for c in keep if c not in fixes],
+                         *[e.alias(n) for n, e in fixes.items()])
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort], out: str,
@@ -201,12 +207,13 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
     """``rank()`` / ``row_number()`` over ``partitionBy(partition).orderBy(order)``
     as a long column ``out``.  For ``row_number`` the order must be total."""
     fn = {"rank": F.rank(), "row_number": F.row_number()}[method]
-    s = segments(df, partition, order, max_rows)
-    local = s.withColumn(out, fn.over(_window(partition, order)))
-    prior = _prior(local, partition, {"_c": F.count(F.lit(1))})
-    res = _join_prior(local, prior, partition)
-    res = res.withColumn(out, (F.col(out) + F.coalesce(F.col("_prior_c"), F.lit(0))).cast("long"))
-    return _finish(res.drop("_prior_c"))
+    schema = df.schema
+    keep = [f.name for f in schema.fields]
+    local = _segments(df, schema, partition, order, max_rows).withColumn(
+        out, fn.over(_window(order)))
+    prior = _prior(local, {"_c": F.count(F.lit(1))})
+    fix = (F.col(out) + F.coalesce(F.col("_prior_c"), F.lit(0))).cast("long")
+    return _corrected(local, prior, [*keep, out], {out: fix})
 
 
 def running_sum(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort],
@@ -214,22 +221,22 @@ def running_sum(df: DataFrame, value: str, partition: Sequence[str], order: Sequ
                 max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """``sum(value)`` over rows from the group start to the current row
     (``exclusive``: to the previous row; NULL when there is none)."""
-    s = segments(df, partition, order, max_rows)
-    frame = _window(partition, order).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-    local = s.withColumn(out, F.sum(value).over(frame))
-    if exclusive:
-        local = local.withColumn("_rn", F.row_number().over(_window(partition, order)))
-    prior = _prior(local, partition, {"_t": F.sum(value)})
-    res = _join_prior(local, prior, partition)
+    schema = df.schema
+    keep = [f.name for f in schema.fields]
+    w = _window(order)
+    frame = w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    local = _segments(df, schema, partition, order, max_rows).withColumns(
+        {out: F.sum(value).over(frame), "_rn": F.row_number().over(w)})
+    prior = _prior(local, {"_t": F.sum(value)})
+    before = F.col("_prior_t")
     if exclusive:
         # the first row of a later segment continues the previous segments
-        total = F.when(F.col("_rn") == 1, F.col("_prior_t")).otherwise(
-            F.col(out) + F.coalesce(F.col("_prior_t"), F.lit(0)))
+        total = F.when(F.col("_rn") == 1, before).otherwise(
+            F.col(out) + F.coalesce(before, F.lit(0)))
     else:
-        total = F.col(out) + F.coalesce(F.col("_prior_t"), F.lit(0))
-    local_type = local.schema[out].dataType
-    res = res.withColumn(out, total.cast(local_type))
-    return _finish(res.drop("_prior_t", "_rn"))
+        total = F.col(out) + F.coalesce(before, F.lit(0))
+    fix = total.cast(_sum_type(schema[value].dataType))
+    return _corrected(local, prior, [*keep, out], {out: fix})
 
 
 def lag_lead(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort],
@@ -238,31 +245,29 @@ def lag_lead(df: DataFrame, value: str, partition: Sequence[str], order: Sequenc
     """``lag(value)`` / ``lead(value)`` by one row over an ascending order."""
     if any(s.desc for s in order):
         raise ValueError("lag_lead takes ascending sort keys")
-    s = segments(df, partition, order, max_rows)
-    w = _window(partition, order)
+    schema = df.schema
+    keep = [f.name for f in schema.fields]
+    w = _window(order)
     key = F.struct(*[F.col(o.col) for o in order])
-    local = s
-    if lag:
-        local = local.withColumn(lag, F.lag(value).over(w))
-    if lead:
-        local = local.withColumn(lead, F.lead(value).over(w))
-    local = local.withColumn("_rn", F.row_number().over(w))
+    cols: dict[str, Column] = {}
     aggs: dict[str, Column] = {}
     carry: dict[str, str] = {}
+    fixes: dict[str, Column] = {}
     if lag:
+        cols[lag] = F.lag(value).over(w)
+        cols["_first_row"] = F.row_number().over(w) == 1
         aggs["_last"] = F.max_by(F.col(value), key)
         carry["_prev_last"] = "_last"
+        fixes[lag] = F.when(F.col("_first_row"), F.col("_prev_last")).otherwise(F.col(lag))
     if lead:
+        cols[lead] = F.lead(value).over(w)
+        cols["_last_row"] = F.lead(F.lit(1)).over(w).isNull()
         aggs["_first"] = F.min_by(F.col(value), key)
         carry["_next_first"] = "_first"
-        local = local.withColumn("_end", F.lead(F.lit(1)).over(w).isNull())
-    prior = _prior(local, partition, aggs, carry).select(GK, SEG, *carry.keys())
-    res = _join_prior(local, prior, partition)
-    if lag:
-        res = res.withColumn(lag, F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col(lag)))
-    if lead:
-        res = res.withColumn(lead, F.when(F.col("_end"), F.col("_next_first")).otherwise(F.col(lead)))
-    return _finish(res.drop("_rn", "_end", *carry.keys()))
+        fixes[lead] = F.when(F.col("_last_row"), F.col("_next_first")).otherwise(F.col(lead))
+    local = _segments(df, schema, partition, order, max_rows).withColumns(cols)
+    prior = _prior(local, aggs, carry).select(GK, SEG, *carry.keys())
+    return _corrected(local, prior, [*keep, *fixes], fixes)
 
 
 def rank_by_key(df: DataFrame, partition: Sequence[str], order: Sequence[Sort], out: str,
@@ -272,12 +277,14 @@ def rank_by_key(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
     rank(key) = 1 + number of rows with an earlier key.  Rows are first
     counted per distinct (group, key) (map-side partial aggregation absorbs
     hot keys), the counts are summed in order with :func:`running_sum`, and
-    ranks are joined back on the key (NULL-safe)."""
+    ranks are joined back on the whole key as one struct (NULL fields
+    compare equal)."""
     keys = [*partition, *[s.col for s in order]]
+    keep = df.columns
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     before = running_sum(counts, "_c", partition, order, "_before", exclusive=True,
                          max_rows=max_rows)
-    # join back on the whole key as one struct (NULL fields compare equal)
     ranks = before.select(F.struct(*keys).alias("_rk"),
                           (F.coalesce(F.col("_before"), F.lit(0)) + 1).cast("long").alias(out))
-    return df.withColumn("_rk", F.struct(*keys)).join(ranks, "_rk").drop("_rk")
+    return (df.withColumn("_rk", F.struct(*keys)).join(ranks, "_rk")
+            .select(*[F.col(c) for c in keep], F.col(out)))
