@@ -45,3 +45,13 @@ def test_run_report_writes_parquet(spark, root, tmp_path):
     out = str(tmp_path / "aov")
     run_report(spark, "top_aov_per_state", out, tables=root)
     assert spark.read.parquet(out).count() == catalog.run("top_aov_per_state", spark, SF_SMALL).count()
+
+
+def test_cli_materialize_and_report(spark, tmp_path):
+    from souk.jobs import main
+    out = str(tmp_path / "tables")
+    main(["materialize", "--sf-dir", SF_SMALL, "--out", out, "--files", "2"])
+    assert spark.read.parquet(f"{out}/orders").count() == catalog.tables(spark, SF_SMALL).orders.count()
+    rep = str(tmp_path / "monthly")
+    main(["report", "--tables", out, "--name", "monthly_orders", "--out", rep])
+    assert spark.read.parquet(rep).count() == catalog.run("monthly_orders", spark, SF_SMALL).count()
