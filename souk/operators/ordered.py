@@ -15,6 +15,8 @@ task handles:
    one segment.  Equal sort keys
    always fall in the same segment, and segment order follows sort order.
 2. The window runs per ``(group, segment)``.
+   A range that still holds too many rows (far values stretching the
+   range) is split once more over its own min/max.
 3. Per ``(group, segment)`` of hot groups, a small summary (row count, total,
    first/last value) is accumulated over earlier segments with a window
    partitioned by group (at most a few thousand segments per group) and
@@ -144,7 +146,24 @@ def _segments(df: DataFrame, schema: T.StructType, partition: Sequence[str],
     seg = (F.when(k.isNull(), F.lit(0))
            .when(v1.isNull(), null_seg)
            .otherwise(ordered)).cast("long")
-    return joined.select(*[F.col(f.name) for f in schema.fields], F.col(GK), k, seg.alias(SEG))
+    keep = [F.col(f.name) for f in schema.fields]
+    level1 = joined.select(*keep, F.col(GK), k, seg.alias("_s1"),
+                           F.when(k.isNotNull(), v).alias("_v"))
+    # Level 2: equal-width ranges are unbalanced when a few far values
+    # stretch the range.  A range that still holds more than max_rows / 2
+    # rows is split again over its own min/max (bounded like level 1: at
+    # most 2N / max_rows such ranges, so broadcasting is safe).
+    n2 = F.least(F.ceil(F.count(F.lit(1)) * OVERSPLIT / max_rows), F.lit(MAX_SEGMENTS))
+    stats2 = (level1.where(F.col("_v").isNotNull())
+              .groupBy(GK, "_s1")
+              .agg(n2.cast("long").alias("_k2"), F.min("_v").alias("_lo2"), F.max("_v").alias("_hi2"))
+              .where(F.col("_k2") > 1))
+    joined2 = level1.join(F.broadcast(stats2), on=[GK, "_s1"], how="left")
+    k2, lo2, hi2 = F.col("_k2"), F.col("_lo2"), F.col("_hi2")
+    b2 = F.when(lo2 == hi2, F.lit(1)).otherwise(F.width_bucket(F.col("_v"), lo2, hi2, k2))
+    seg2 = F.when(k2.isNull(), F.lit(0)).otherwise((k2 + 2 - b2) if first.desc else b2)
+    final = (F.col("_s1") * (MAX_SEGMENTS + 2) + seg2).cast("long")
+    return joined2.select(*keep, F.col(GK), k, final.alias(SEG))
 
 
 def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort] | Sort,

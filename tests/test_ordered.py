@@ -104,3 +104,23 @@ def test_timestamp_keys_split_exactly(spark):
     expect = df.withColumn("p", F.lag("v").over(w)).withColumn("n", F.lead("v").over(w))
     got = lag_lead(df, "v", ["g"], order, lag="p", lead="n", max_rows=7)
     _same(got, expect, ["id", "p", "n"])
+
+
+def test_outliers_do_not_unbalance_ranges(spark):
+    # one far value stretches the equal-width range of the hot group: the
+    # second level splits the crowded range again
+    rows = [(0, 0, 0.0, 1)] + [(i, 0, 1e6 + i, i % 5) for i in range(1, 400)]
+    df = spark.createDataFrame(rows, "id long, g int, k double, v long")
+    from souk.operators.ordered import segments
+    s = segments(df, ["g"], asc("k"), max_rows=40)
+    sizes = [r[1] for r in s.groupBy("_seg").count().collect()]
+    assert max(sizes) <= 40
+    w = Window.partitionBy("g").orderBy("k")
+    expect = df.withColumn("r", F.rank().over(w).cast("long")) \
+        .withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    _same(rank_within(df, ["g"], [asc("k")], "r", max_rows=40), expect, ["id", "r"])
+    _same(running_sum(df, "v", ["g"], [asc("k")], "s", max_rows=40), expect, ["id", "s"])
+    d = desc("k")
+    wd = Window.partitionBy("g").orderBy(d.column())
+    _same(rank_within(df, ["g"], [d], "r", max_rows=40),
+          df.withColumn("r", F.rank().over(wd).cast("long")), ["id", "r"])
