@@ -63,9 +63,9 @@ def top_customers(t: Tables, k: int = 5) -> DataFrame:
 
 def top_customers_per_state(t: Tables, k: int = 5) -> DataFrame:
     """The ``k`` customers with most orders in each state (row number, id breaks ties)."""
-    counts = (t.orders.join(t.customers, "customer_id")
-              .groupBy("customer_state", "customer_id")
-              .agg(F.count("order_id").alias("order_count")))
+    # count per customer first (map-side partial aggregation), then attach
+    # the state: the join sees one row per customer, never a hot customer
+    counts = _order_counts(t).join(t.customers.select("customer_id", "customer_state"), "customer_id")
     return top_k(counts, [desc("order_count"), asc("customer_id")], k,
                  partition=["customer_state"]).select("customer_state", "customer_id", "order_count")
 
@@ -171,13 +171,14 @@ def beat_year_max_spend(t: Tables, year: int = 2017) -> DataFrame:
     and each customer gets both its all-time and its ``year`` total; the
     maximum of the latter is a one-row aggregate compared by a theta join."""
     per_order = t.order_payments.groupBy("order_id").agg(F.sum("payment_value").alias("_paid"))
-    rows = (per_order.join(t.orders.select("order_id", "customer_id", "order_purchase_timestamp"),
-                           "order_id")
-            .join(t.customers.select("customer_id"), "customer_id"))
     in_y = in_year("order_purchase_timestamp", year)
-    per = rows.groupBy("customer_id").agg(
-        F.sum("_paid").alias("total_spent"),
-        F.sum(F.when(in_y, F.col("_paid"))).alias("_year_spent"))
+    per = (per_order.join(t.orders.select("order_id", "customer_id", "order_purchase_timestamp"),
+                          "order_id")
+           .groupBy("customer_id").agg(
+               F.sum("_paid").alias("total_spent"),
+               F.sum(F.when(in_y, F.col("_paid"))).alias("_year_spent"))
+           # customers is keyed by customer_id: an inner join keeps known customers
+           .join(t.customers.select("customer_id"), "customer_id"))
     best = per.agg(F.max("_year_spent").alias("max_spent"))       # one row
     return (above(per, "total_spent", best, "max_spent")
             .select("customer_id", to_double("total_spent").alias("total_spent"))
@@ -200,9 +201,11 @@ def customers_in_both_years(t: Tables, year1: int = 2017, year2: int = 2018) ->
 
 def top_aov_per_state(t: Tables, k: int = 3) -> DataFrame:
     """Customers ranked by average order value within their state, rank <= k."""
-    aov = (order_totals(t).join(t.customers.select("customer_id", "customer_state"), "customer_id")
-           .groupBy("customer_id", "customer_state")
-           .agg((F.sum("order_value").cast("double") / F.count(F.lit(1))).alias("aov")))
+    per = (order_totals(t).groupBy("customer_id")
+           .agg(F.sum("order_value").alias("_v"), F.count(F.lit(1)).alias("_n")))
+    aov = (per.join(t.customers.select("customer_id", "customer_state"), "customer_id")
+           .select("customer_id", "customer_state",
+                   (F.col("_v").cast("double") / F.col("_n")).alias("aov")))
     return (top_k(aov, [desc("aov")], k, partition=["customer_state"], ties="rank",
                   rank_col="state_rank")
             .orderBy("customer_state", "state_rank"))
@@ -220,9 +223,12 @@ def best_month_per_customer(t: Tables) -> DataFrame:
 
 def state_sales_profile(t: Tables) -> DataFrame:
     """Per customer state: sales, distinct orders and average freight per item."""
-    return (order_totals(t).join(t.customers.select("customer_id", "customer_state"), "customer_id")
+    per = (order_totals(t).groupBy("customer_id")
+           .agg(F.sum("order_value").alias("_v"), F.count(F.lit(1)).alias("_orders"),
+                F.sum("order_freight").alias("_f"), F.sum("order_items").alias("_items")))
+    return (per.join(t.customers.select("customer_id", "customer_state"), "customer_id")
             .groupBy("customer_state")
-            .agg(to_double(F.sum("order_value")).alias("total_sales"),
-                 F.count(F.lit(1)).alias("total_orders"),
-                 (F.sum("order_freight").cast("double") / F.sum("order_items")).alias("avg_freight_cost"))
+            .agg(to_double(F.sum("_v")).alias("total_sales"),
+                 F.sum("_orders").alias("total_orders"),
+                 (F.sum("_f").cast("double") / F.sum("_items")).alias("avg_freight_cost"))
             .orderBy(F.col("total_sales").desc()))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.measures import day_diff, round_half_up_ratio, to_double, trunc_avg
+from souk.functions.measures import day_diff, round_half_up_ratio, to_double
 from souk.operators import asc, desc, equal_to_max, top_k
 from souk.operators.threshold import percentile_of
 from souk.plans.common import order_totals
@@ -21,9 +21,16 @@ def _delivery_days() -> F.Column:
 
 
 def _state_delivery(t: Tables, name: str) -> DataFrame:
-    return (t.orders.where(F.col(DELIVERED).isNotNull())
-            .join(t.customers, "customer_id")
-            .groupBy("customer_state").agg(trunc_avg(_delivery_days()).alias(name)))
+    """Truncated average delivery days per state.  Days are summed and
+    counted per customer first (map-side partial aggregation), so the join
+    with customers sees one row per customer; the state average is the exact
+    sum / count of the per-order values, as ``avg`` over orders would be."""
+    per = (t.orders.where(F.col(DELIVERED).isNotNull())
+           .groupBy("customer_id")
+           .agg(F.sum(_delivery_days()).alias("_days"), F.count(_delivery_days()).alias("_n")))
+    return (per.join(t.customers.select("customer_id", "customer_state"), "customer_id")
+            .groupBy("customer_state")
+            .agg((F.sum("_days").cast("double") / F.sum("_n")).cast("int").alias(name)))
 
 
 def delivery_days_by_state(t: Tables) -> DataFrame:
