@@ -42,8 +42,18 @@ def top_products_rank(t: Tables, k: int = 5) -> DataFrame:
             .select("product_id", to_double("total_sales").alias("total_sales"), "sales_rank"))
 
 
+def _product_sales(t: Tables, *keys: str) -> DataFrame:
+    """Item value per (product, *keys), joined to the product's category.
+
+    Items are summed per product before they meet ``products`` (``product_id``
+    is its key): the join sees one row per product (and key), not per item,
+    and a best-selling product is collapsed map-side before any shuffle."""
+    per = _sales(t.order_items, "product_id", *keys, name="_v")
+    return per.join(t.products, "product_id")
+
+
 def _category_sales(t: Tables) -> DataFrame:
-    return _sales(t.order_items.join(t.products, "product_id"), "product_category_name")
+    return _product_sales(t).groupBy("product_category_name").agg(F.sum("_v").alias("total_sales"))
 
 
 def top_categories_limit(t: Tables, k: int = 10) -> DataFrame:
@@ -74,7 +84,8 @@ def bottom_products(t: Tables, k: int = 5) -> DataFrame:
 
 def top_sellers_per_category(t: Tables, k: int = 3) -> DataFrame:
     """The ``k`` best sellers of every category (row number, seller id breaks ties)."""
-    cs = _sales(t.order_items.join(t.products, "product_id"), "product_category_name", "seller_id")
+    cs = (_product_sales(t, "seller_id").groupBy("product_category_name", "seller_id")
+          .agg(F.sum("_v").alias("total_sales")))
     return (top_k(cs, [desc("total_sales"), asc("seller_id")], k,
                   partition=["product_category_name"])
             .select("seller_id", "product_category_name",
@@ -89,7 +100,8 @@ def top_seller_per_category(t: Tables) -> DataFrame:
 
 def top_products_per_category(t: Tables, k: int = 5) -> DataFrame:
     """The ``k`` best-selling products of every category with their row number."""
-    ps = _sales(t.order_items.join(t.products, "product_id"), "product_category_name", "product_id")
+    ps = _product_sales(t).select("product_category_name", "product_id",
+                                  F.col("_v").alias("total_sales"))
     return (top_k(ps, [desc("total_sales"), asc("product_id")], k,
                   partition=["product_category_name"], rank_col="sales_rank")
             .select("product_category_name", "product_id",
