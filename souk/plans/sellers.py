@@ -39,9 +39,9 @@ def sellers_unmatched_left_join(t: Tables, category: str = "eletrodomesticos") -
     (the literal outcome of LEFT JOIN ... AND category = x WHERE product IS NULL)."""
     in_cat = t.products.where(F.col("product_category_name") == category) \
         .select(F.col("product_id").alias("_pid"))
-    # distinct (seller, product) pairs answer the question as well as item
-    # rows do, and are far fewer (map-side partial aggregation)
-    items = t.order_items.select("seller_id", "product_id").distinct()
+    # item rows meet the (small) set of products in the category directly:
+    # broadcast when it fits, and only the matching side is reduced after
+    items = t.order_items.select("seller_id", "product_id")
     # per seller: does any of its item rows miss the category?
     flagged = (items.join(in_cat, F.col("product_id") == F.col("_pid"), "left")
                .where(F.col("_pid").isNull()).select("seller_id").distinct())
@@ -54,7 +54,8 @@ def sellers_unmatched_left_join(t: Tables, category: str = "eletrodomesticos") -
 
 def sellers_never_in_category(t: Tables, category: str = "eletrodomesticos") -> DataFrame:
     """Sellers without any item in ``category`` (NOT EXISTS, a left anti join)."""
-    sold = (t.order_items.select("seller_id", "product_id").distinct()
+    # the category filter cuts the item rows before any per-seller work
+    sold = (t.order_items.select("seller_id", "product_id")
             .join(t.products.where(F.col("product_category_name") == category).select("product_id"),
                   "product_id")
             .select("seller_id").distinct())
