@@ -147,8 +147,20 @@ def _segments(df: DataFrame, schema: T.StructType, partition: Sequence[str],
            .when(v1.isNull(), null_seg)
            .otherwise(ordered)).cast("long")
     keep = [F.col(f.name) for f in schema.fields]
+    # Rows whose first key is NULL form one band; with a second sort key they
+    # are ordered by it, so level 2 may split the band by that key (in the
+    # second key's direction).
+    second = order[1] if len(order) > 1 else None
+    v2_band = (_monotone_value(schema, second.col)
+               if second is not None and isinstance(
+                   schema[second.col].dataType,
+                   (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+               else None)
+    band_v = F.when(k.isNotNull() & v1.isNotNull(), v)
+    if v2_band is not None:
+        band_v = band_v.when(k.isNotNull(), v2_band)
     level1 = joined.select(*keep, F.col(GK), k, seg.alias("_s1"),
-                           F.when(k.isNotNull(), v).alias("_v"))
+                           band_v.alias("_v"), v1.isNull().alias("_null1"))
     # Level 2: equal-width ranges are unbalanced when a few far values
     # stretch the range.  A range that still holds more than max_rows / 2
     # rows is split again over its own min/max (bounded like level 1: at
@@ -161,7 +173,12 @@ def _segments(df: DataFrame, schema: T.StructType, partition: Sequence[str],
     joined2 = level1.join(F.broadcast(stats2), on=[GK, "_s1"], how="left")
     k2, lo2, hi2 = F.col("_k2"), F.col("_lo2"), F.col("_hi2")
     b2 = F.when(lo2 == hi2, F.lit(1)).otherwise(F.width_bucket(F.col("_v"), lo2, hi2, k2))
-    seg2 = F.when(k2.isNull(), F.lit(0)).otherwise((k2 + 2 - b2) if first.desc else b2)
+    band_desc = second.desc if second is not None else first.desc
+    seg2 = (F.when(k2.isNull(), F.lit(0))
+            # NULL second key inside the NULL band: first ascending, last descending
+            .when(F.col("_v").isNull(), (k2 + 2) if band_desc else F.lit(0))
+            .when(F.col("_null1"), (k2 + 2 - b2) if band_desc else b2)
+            .otherwise((k2 + 2 - b2) if first.desc else b2))
     final = (F.col("_s1") * (MAX_SEGMENTS + 2) + seg2).cast("long")
     return joined2.select(*keep, F.col(GK), k, final.alias(SEG))
 

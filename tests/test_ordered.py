@@ -124,3 +124,23 @@ def test_outliers_do_not_unbalance_ranges(spark):
     wd = Window.partitionBy("g").orderBy(d.column())
     _same(rank_within(df, ["g"], [d], "r", max_rows=40),
           df.withColumn("r", F.rank().over(wd).cast("long")), ["id", "r"])
+
+
+def test_null_first_keys_split_by_second_key(spark):
+    import datetime as dt
+    rows = [(i, 0, None if i % 3 else dt.date(2018, 1, 1 + i % 5), i % 7) for i in range(240)]
+    df = spark.createDataFrame(rows, "id long, g int, d date, v long")
+    from souk.operators.ordered import segments
+    s = segments(df, ["g"], [asc("d"), asc("id")], max_rows=20)
+    null_segs = s.where(F.col("d").isNull()).select("_seg").distinct().count()
+    assert null_segs > 3
+    for order in ([asc("d"), asc("id")], [desc("d"), desc("id")]):
+        w = Window.partitionBy("g").orderBy(*[o.column() for o in order])
+        expect = (df.withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                  .withColumn("rn", F.row_number().over(w).cast("long")))
+        _same(running_sum(df, "v", ["g"], order, "s", max_rows=20), expect, ["id", "s"])
+        _same(rank_within(df, ["g"], order, "rn", method="row_number", max_rows=20), expect, ["id", "rn"])
+    w = Window.partitionBy("g").orderBy("d", "id")
+    expect = df.withColumn("p", F.lag("v").over(w)).withColumn("n", F.lead("v").over(w))
+    _same(lag_lead(df, "v", ["g"], [asc("d"), asc("id")], lag="p", lead="n", max_rows=20),
+          expect, ["id", "p", "n"])
