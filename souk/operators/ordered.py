@@ -37,8 +37,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows one window task may hold before its group is split.
+# Rows one window task may hold before its group is split.  Overridable per
+# session with the SQL conf ``souk.window.maxRows`` (or per call).
 DEFAULT_MAX_ROWS = 5_000_000
+MAX_ROWS_CONF = "souk.window.maxRows"
 # Ranges per hot group = ceil(OVERSPLIT * n / max_rows), at most MAX_SEGMENTS.
 OVERSPLIT = 2
 MAX_SEGMENTS = 4096
@@ -69,6 +71,14 @@ def desc(c: str) -> Sort:
     return Sort(c, True)
 
 
+def resolve_max_rows(df: DataFrame, max_rows: int | None) -> int:
+    """``max_rows`` if given, else the session's ``souk.window.maxRows``,
+    else :data:`DEFAULT_MAX_ROWS`."""
+    if max_rows is not None:
+        return int(max_rows)
+    return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
+
+
 def _monotone_value(schema: T.StructType, name: str) -> Column:
     """A double that never decreases when ``name`` increases."""
     exact = _exact_integer_value(schema, name)
@@ -184,7 +194,7 @@ def _segments(df: DataFrame, schema: T.StructType, partition: Sequence[str],
 
 
 def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort] | Sort,
-             max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+             max_rows: int | None = None) -> DataFrame:
     """``df`` plus the group key ``_gk``, the segment ``_seg`` (ordered like
     ``order`` within each group) and the hot-group marker ``_seg_k`` (NULL
     for groups that stay whole).
@@ -197,7 +207,7 @@ def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort] | So
     A group is hot when it needs more than one range, i.e. holds more than
     ``max_rows / 2`` rows."""
     order = [order] if isinstance(order, Sort) else list(order)
-    return _segments(df, df.schema, partition, order, max_rows)
+    return _segments(df, df.schema, partition, order, resolve_max_rows(df, max_rows))
 
 
 def _prior(local: DataFrame, aggs: dict[str, Column],
@@ -239,13 +249,13 @@ def _corrected(local: DataFrame, prior: DataFrame, keep: Sequence[str],
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort], out: str,
-                method: str = "rank", max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                method: str = "rank", max_rows: int | None = None) -> DataFrame:
     """``rank()`` / ``row_number()`` over ``partitionBy(partition).orderBy(order)``
     as a long column ``out``.  For ``row_number`` the order must be total."""
     fn = {"rank": F.rank(), "row_number": F.row_number()}[method]
     schema = df.schema
     keep = [f.name for f in schema.fields]
-    local = _segments(df, schema, partition, order, max_rows).withColumn(
+    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumn(
         out, fn.over(_window(order)))
     prior = _prior(local, {"_c": F.count(F.lit(1))})
     fix = (F.col(out) + F.coalesce(F.col("_prior_c"), F.lit(0))).cast("long")
@@ -254,14 +264,14 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
 
 def running_sum(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort],
                 out: str, exclusive: bool = False,
-                max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                max_rows: int | None = None) -> DataFrame:
     """``sum(value)`` over rows from the group start to the current row
     (``exclusive``: to the previous row; NULL when there is none)."""
     schema = df.schema
     keep = [f.name for f in schema.fields]
     w = _window(order)
     frame = w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-    local = _segments(df, schema, partition, order, max_rows).withColumns(
+    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns(
         {out: F.sum(value).over(frame), "_rn": F.row_number().over(w)})
     prior = _prior(local, {"_t": F.sum(value)})
     before = F.col("_prior_t")
@@ -277,7 +287,7 @@ def running_sum(df: DataFrame, value: str, partition: Sequence[str], order: Sequ
 
 def lag_lead(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort],
              lag: str | None = None, lead: str | None = None,
-             max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+             max_rows: int | None = None) -> DataFrame:
     """``lag(value)`` / ``lead(value)`` by one row over an ascending order."""
     if any(s.desc for s in order):
         raise ValueError("lag_lead takes ascending sort keys")
@@ -301,13 +311,13 @@ def lag_lead(df: DataFrame, value: str, partition: Sequence[str], order: Sequenc
         aggs["_first"] = F.min_by(F.col(value), key)
         carry["_next_first"] = "_first"
         fixes[lead] = F.when(F.col("_last_row"), F.col("_next_first")).otherwise(F.col(lead))
-    local = _segments(df, schema, partition, order, max_rows).withColumns(cols)
+    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns(cols)
     prior = _prior(local, aggs, carry).select(GK, SEG, *carry.keys())
     return _corrected(local, prior, [*keep, *fixes], fixes)
 
 
 def rank_by_key(df: DataFrame, partition: Sequence[str], order: Sequence[Sort], out: str,
-                max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                max_rows: int | None = None) -> DataFrame:
     """``rank()`` computed from key counts, for heavily tied keys.
 
     rank(key) = 1 + number of rows with an earlier key.  Rows are first
@@ -319,7 +329,7 @@ def rank_by_key(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
     keep = df.columns
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     before = running_sum(counts, "_c", partition, order, "_before", exclusive=True,
-                         max_rows=max_rows)
+                         max_rows=resolve_max_rows(df, max_rows))
     ranks = before.select(F.struct(*keys).alias("_rk"),
                           (F.coalesce(F.col("_before"), F.lit(0)) + 1).cast("long").alias(out))
     return (df.withColumn("_rk", F.struct(*keys)).join(ranks, "_rk")

@@ -12,7 +12,6 @@ from souk.functions.measures import (
 from souk.operators import (
     above, above_percentile, asc, desc, lag_lead, rank_within, running_sum, top_k,
 )
-from souk.operators.ordered import DEFAULT_MAX_ROWS
 from souk.plans.common import order_totals
 from souk.sources import Tables
 
@@ -78,7 +77,7 @@ def most_late_customers(t: Tables, k: int = 5) -> DataFrame:
     return top_k(late, [desc("late_orders"), asc("customer_id")], k)
 
 
-def order_rank_per_customer(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def order_rank_per_customer(t: Tables, max_rows: int | None = None) -> DataFrame:
     """Each order's amount and its rank among the customer's orders (highest first)."""
     amounts = order_totals(t).select("order_id", "customer_id",
                                      F.col("order_value").alias("order_amount"))
@@ -89,7 +88,7 @@ def order_rank_per_customer(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> Data
             .orderBy("customer_id", "order_rank"))
 
 
-def order_rank_joined(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def order_rank_joined(t: Tables, max_rows: int | None = None) -> DataFrame:
     """As :func:`order_rank_per_customer`, through the customers table (orders
     of unknown customers drop out)."""
     amounts = (order_totals(t).join(t.customers.select("customer_id"), "customer_id")
@@ -103,7 +102,7 @@ def order_rank_joined(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
             .orderBy("customer_id", "order_rank"))
 
 
-def customer_running_sales(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def customer_running_sales(t: Tables, max_rows: int | None = None) -> DataFrame:
     """Each order with the customer's cumulative sales up to it, in order of
     (purchase date, order id)."""
     sales = order_totals(t).select(
@@ -116,7 +115,7 @@ def customer_running_sales(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataF
             .orderBy("customer_id", "order_id"))
 
 
-def purchase_gaps(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def purchase_gaps(t: Tables, max_rows: int | None = None) -> DataFrame:
     """Per order: the customer's previous order date and the days between."""
     details = t.orders.select(
         "customer_id", "order_id",
@@ -128,7 +127,7 @@ def purchase_gaps(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
             .orderBy("customer_id", "order_date"))
 
 
-def avg_purchase_gap(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def avg_purchase_gap(t: Tables, max_rows: int | None = None) -> DataFrame:
     """Average days between consecutive purchases per customer (truncated),
     customers with at least two orders."""
     o = t.orders.select("customer_id", "order_id", "order_purchase_timestamp")

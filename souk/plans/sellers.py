@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from souk.functions.measures import day_diff, item_value, month_label, to_double, trunc_avg
 from souk.operators import above_mean, above_percentile, asc, desc, rank_by_key, top_k
-from souk.operators.ordered import DEFAULT_MAX_ROWS
 from souk.sources import Tables
 
 
@@ -79,7 +78,7 @@ def sellers_above_median_orders(t: Tables) -> DataFrame:
     return above_percentile(counts, "total_orders", 0.5)
 
 
-def seller_speed_rank(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def seller_speed_rank(t: Tables, max_rows: int | None = None) -> DataFrame:
     """Average (truncated) delivery days per seller and a global rank, fastest
     first; sellers without deliveries have a NULL average and rank first.
 
@@ -93,7 +92,7 @@ def seller_speed_rank(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
             .orderBy("speed_rank"))
 
 
-def seller_review_rank(t: Tables, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def seller_review_rank(t: Tables, max_rows: int | None = None) -> DataFrame:
     """Average review score and distinct customers per seller, ranked by
     score then customers (both descending), over all sellers at once."""
     stats = (t.order_items.select("seller_id", "order_id")

@@ -144,3 +144,14 @@ def test_null_first_keys_split_by_second_key(spark):
     expect = df.withColumn("p", F.lag("v").over(w)).withColumn("n", F.lead("v").over(w))
     _same(lag_lead(df, "v", ["g"], [asc("d"), asc("id")], lag="p", lead="n", max_rows=20),
           expect, ["id", "p", "n"])
+
+
+def test_max_rows_from_session_conf(spark, frame):
+    from souk.operators.ordered import MAX_ROWS_CONF, segments
+    spark.conf.set(MAX_ROWS_CONF, "20")
+    try:
+        split = segments(frame, ["g"], asc("k")).where(F.col("g") == 0).select("_seg").distinct().count()
+    finally:
+        spark.conf.unset(MAX_ROWS_CONF)
+    whole = segments(frame, ["g"], asc("k")).where(F.col("g") == 0).select("_seg").distinct().count()
+    assert split > 3 and whole == 1
