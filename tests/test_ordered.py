@@ -155,3 +155,13 @@ def test_max_rows_from_session_conf(spark, frame):
         spark.conf.unset(MAX_ROWS_CONF)
     whole = segments(frame, ["g"], asc("k")).where(F.col("g") == 0).select("_seg").distinct().count()
     assert split > 3 and whole == 1
+
+
+def test_null_second_key_inside_null_band(spark):
+    rows = [(i, 0, None if i % 2 else float(i % 4), None if i % 5 == 0 else float(i % 9), i % 7)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, g int, a double, b double, v long")
+    for order in ([asc("a"), asc("b"), asc("id")], [desc("a"), desc("b"), desc("id")]):
+        w = Window.partitionBy("g").orderBy(*[o.column() for o in order])
+        expect = df.withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        _same(running_sum(df, "v", ["g"], order, "s", max_rows=16), expect, ["id", "s"])
