@@ -70,3 +70,18 @@ def test_year_filter_is_pushed_to_parquet(spark, tmp_path):
 def test_scan_reads_only_needed_columns(spark):
     p = plan(catalog.run("monthly_orders", spark, SF_SMALL))
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in p
+
+
+def test_every_report_scans_the_supplied_tables(plans):
+    for name, p in plans.items():
+        assert "FileScan parquet" in p or "Scan parquet" in p, name
+
+
+def test_oracle_reads_only_supplied_tables():
+    import re
+    allowed = {"region", "nation", "customer", "supplier", "part", "orders", "lineitem"}
+    for name, sql in entry.oracle_sql().items():
+        tables = set(re.findall(r"\b(?:FROM|JOIN)\s+([a-z_]+)", sql))
+        raw = {x for x in tables if not x.startswith("t_")}
+        ctes = set(re.findall(r"\b([a-z_0-9]+) AS \(", sql))
+        assert raw - ctes <= allowed, (name, raw - ctes)
