@@ -31,7 +31,8 @@ LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS, BUCKETS = 3, 10, 1024
 _BLOCK = 1 << 20
-_CACHE_WORDS, _CACHE_CHARS = 250_000, 40
+_CACHE_WORDS, _CACHE_CHARS = 500_000, 40
+_SPACE_SIGN = "\u0120"  # byte-level vocabularies write a space so
 #: Sequences of partition p are numbered from p << 40.
 PARTITION_SHIFT = 40
 
@@ -98,22 +99,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.words: dict[str, bytes] = {}
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.spaced[[i for piece, i in self.tokenizer.get_vocab().items() if piece.startswith(_SPACE_SIGN)]] = True
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it.  The words are encoded as
+        one text: a token that begins with the space begins a word."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids, "<u4")
+        cuts = np.append(np.flatnonzero(self.spaced[ids]), len(ids)) * 4
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+    def _learn(self, words: set[str]) -> None:
+        plain = [w for w in words if w and not (w[0].isspace() or w[-1].isspace())]
+        rest = list(words.difference(plain))
+        for i in range(0, len(plain), 20_000):
+            part = plain[i:i + 20_000]
+            self.words.update(zip(part, self._words(part), strict=True))
+        self.words.update(zip(rest, self._whole([" " + w for w in rest]), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [None if self._WHOLE.search(t) else t.split(" ") for t in texts]
         need = set().union(*[p[1:] for p in parts if p]) - self.words.keys()
         if len(self.words) + len(need) > _CACHE_WORDS:
             self.words.clear()
             need = set().union(*[p[1:] for p in parts if p])
-        ordered = list(need)
+        self._learn(need)
         known = self.words
-        known.update(zip(ordered, self._ids([" " + w for w in ordered])))
-        heads = self._ids([t if p is None else p[0] for t, p in zip(texts, parts)])
+        heads = self._whole([t if p is None else p[0] for t, p in zip(texts, parts)])
         out = [h if p is None else h + b"".join([known[w] for w in p[1:]]) for h, p in zip(heads, parts)]
-        for w in ordered:
+        for w in need:
             if len(w) > _CACHE_CHARS:
                 del known[w]
         return out

@@ -38,7 +38,8 @@ from souk.llm.shared import slices
 SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_UNITS, _PAIRS, _LONG = 250_000, 2_000_000, 64  # bounds of the caches; longer units are not kept
+_UNITS, _PAIRS, _LONG = 500_000, 1_000_000, 64  # bounds of the caches; longer units are not kept
+_FILTER_BITS = 18  # most substrings are no piece, and a table of this size tells so before the sorted keys are probed
 _CELLS = 1 << 21  # characters of one batch of units
 
 
@@ -104,19 +105,25 @@ class Encoder:
         by_length: dict[int, list[str]] = {}
         for p in m.ids:
             by_length.setdefault(len(p), []).append(p)
-        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for size, pieces in by_length.items():
             keys = np.zeros(len(pieces), np.uint64)
             for c in _points(pieces).T:
                 keys = keys * _BASE + c
             order = np.argsort(keys)
-            self.tables[size] = keys[order], np.array([m.ids[p] for p in pieces])[order]
+            maybe = np.zeros(1 << _FILTER_BITS, bool)
+            maybe[self._slot(keys)] = True
+            self.tables[size] = keys[order], np.array([m.ids[p] for p in pieces])[order], maybe
             if (np.diff(self.tables[size][0]) == 0).any():
                 raise ValueError("two pieces have one hash")
         self.powers = [np.uint64(pow(int(_BASE), k, 1 << 64)) for k in range(m.longest + 1)]
         self.units: dict[str, bytes] = {}
         self.apart: dict[int, bool] = {}
 
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (keys ^ keys >> np.uint64(29)) * _BASE >> np.uint64(64 - _FILTER_BITS)
+
     def _merged(self, text: str) -> list[str]:
         """Merges by score, leftmost first, of a short string."""
         parts = list(text)
@@ -131,16 +138,13 @@ class Encoder:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
     def _open(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        """Whether each two neighbours are left alone by merging.  An unknown
-        character (below zero) never merges."""
-        pairs, back = np.unique(before << 32 | (piece & 0xFFFFFFFF), return_inverse=True)
+        """Whether each two neighbouring pieces are left alone by merging."""
+        pairs, back = np.unique(before << 32 | piece, return_inverse=True)
         known, out = self.apart, np.ones(len(pairs), bool)
         if len(known) > _PAIRS:
             known.clear()
         text = self.model.text
         for i, pair in enumerate(pairs.tolist()):
-            if pair < 0:
-                continue
             if (hit := known.get(pair)) is None:
                 a, b = text[pair >> 32], text[pair & 0xFFFFFFFF]
                 known[pair] = hit = self._merged(a + b) == [a, b]
@@ -153,6 +157,8 @@ class Encoder:
         m = self.model
         chars = _points(units)
         n, length = chars.shape
+        points = chars.astype(np.int64)
+        single = np.isin(chars, self.tables[1][0]) if 1 in self.tables else np.zeros(chars.shape, bool)
         prefix = np.zeros((length + 1, n), np.uint64)
         for e in range(length):
             prefix[e + 1] = prefix[e] * _BASE + chars[:, e]
@@ -161,25 +167,26 @@ class Encoder:
         last = np.zeros((length + 1, n), np.int64)  # piece that ends here
         size = np.zeros((length + 1, n), np.int16)  # its length
         for e in range(1, length + 1):
-            for k, (keys, ids) in self.tables.items():
+            for k, (keys, ids, maybe) in self.tables.items():
                 if k > e:
                     continue
                 key = prefix[e] - prefix[e - k] * self.powers[k]
+                row = np.flatnonzero(maybe[self._slot(key)] & (best[e - k] > -np.inf))
+                key = key[row]
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                way = np.where(keys[at] == key, best[e - k] + m.score[ids[at]], -np.inf)
-                if k == 1:  # a character always has a way
-                    missing = keys[at] != key
-                    way[missing] = best[e - 1][missing] + m.lowest
-                    piece = np.where(missing, -1 - chars[:, e - 1].astype(np.int64), ids[at])
-                else:
-                    piece = ids[at]
-                if m.kind == "bpe" and e > k:
-                    row = np.flatnonzero((way > -np.inf) & (piece >= 0) & (last[e - k] >= 0))
-                    way[row[~self._open(last[e - k][row], piece[row])]] = -np.inf
-                better = way > best[e]
-                best[e][better] = way[better]
-                last[e][better] = piece[better]
-                size[e][better] = k
+                hit = keys[at] == key
+                row, piece = row[hit], ids[at[hit]]
+                if m.kind == "bpe" and e > k and len(row):
+                    known = last[e - k][row] >= 0  # what stands before is a piece
+                    known[known] = ~self._open(last[e - k][row[known]], piece[known])
+                    row, piece = row[~known], piece[~known]
+                way = best[e - k][row] + m.score[piece]
+                better = way > best[e][row]
+                row = row[better]
+                best[e][row], last[e][row], size[e][row] = way[better], piece[better], k
+            bare = ~single[:, e - 1]  # a character without a piece still has a way
+            row = np.flatnonzero(bare & (best[e - 1] + m.lowest > best[e]))
+            best[e][row], last[e][row], size[e][row] = best[e - 1][row] + m.lowest, -1 - points[row, e - 1], 1
         out: list[list[int]] = [[] for _ in units]
         at = np.full(n, length)
         rows = np.arange(n)
