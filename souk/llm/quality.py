@@ -21,6 +21,7 @@ All of it is DataFrame functions.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -36,9 +37,14 @@ _SPACE = r"[\x20\x09-\x0D]+"
 _SYMBOL = r"[^#*$%&|<>]+"
 
 
-def _ngrams(text: Column, buckets: int) -> Column:
+def _tokens(text: Column) -> Column:
+    """Hashes of all tokens."""
+    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
+
+
+def _ngrams(tokens: str, buckets: int) -> Column:
     """Buckets of all tokens and of all pairs of neighbouring tokens."""
-    one = F.transform(F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
+    one = F.col(tokens)
     two = F.zip_with(one, F.slice(one, F.lit(2), F.size(one)), lambda a, b: F.xxhash64(a, b))
     return F.transform(F.concat(one, two), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
@@ -55,7 +61,8 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
         buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
     """log(target / raw) of each bucket, from all documents.  ``trusted``: a
     bounded table of ids (``trusted_ids``)."""
-    rows = docs.select(F.col(id_col).alias("id"), _ngrams(F.coalesce(F.col(text_col), F.lit("")), buckets).alias("n"))
+    rows = (docs.select(F.col(id_col).alias("id"), _tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("k"))
+            .select("id", _ngrams("k", buckets).alias("n")))
     known = rows.join(F.broadcast(trusted), F.col("id") == F.col("trusted_id"), "left")  # max_trusted rows at most
     counts = (known.select(F.explode("n").alias("bucket"), F.col("trusted_id").isNotNull().cast("long").alias("good"))
               .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("good")).collect())  # buckets rows
@@ -68,24 +75,24 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
             - math.log((raw.get(b, 0) + smoothing) / (n_raw + smoothing * buckets)) for b in range(buckets)]
 
 
-def _base(text: Column, words: Column) -> dict[str, Column]:
-    """The base counts; ``words``: the text's words."""
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    n = F.size(words)
-    starts = F.sequence(F.lit(0), n - F.lit(WINDOW))
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    seen = F.transform(starts, lambda i: F.xxhash64(F.slice(hashed, i + 1, F.lit(WINDOW))))
-    # Windows that differ never need their words compared: all hashes differ,
-    # as in most texts.  Otherwise the words themselves decide.
-    full = F.array_sort(F.transform(starts, lambda i: F.struct(
-        F.array_join(F.slice(words, i + 1, F.lit(WINDOW)), " ").alias("w"), i.alias("i"))))
-    return {
-        "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
-        "n_symbols": F.char_length(F.regexp_replace(text, _SYMBOL, "")).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "windows": F.when(n >= WINDOW, seen),
-        "sorted": F.when((n >= WINDOW) & (F.size(F.array_distinct("windows")) < F.size("windows")), full),
-    }
+def _lines(text: str) -> Column:
+    """The lines that hold a word."""
+    return F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
+
+def _windows(hashes: str) -> Column:
+    """Hash of every window of words, from the hashes of the words."""
+    last = F.size(hashes) - F.lit(WINDOW)
+    return F.when(last >= 0, F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(WINDOW)))))
+
+
+def _sorted_windows(words: str, windows: str) -> Column:
+    """The windows themselves with their places, sorted.  Null where all
+    hashes differ, as in most texts: then no two windows are equal."""
+    full = F.transform(F.sequence(F.lit(0), F.size(windows) - 1), lambda i: F.struct(
+        F.array_join(F.slice(words, i + 1, F.lit(WINDOW)), " ").alias("w"), i.alias("i")))
+    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), F.array_sort(full))
 
 
 def _covered(sorted_windows: str) -> Column:
@@ -111,22 +118,30 @@ def annotate(docs: DataFrame, weights: list[float], text_col: str = "text",
     carried = [c for c in docs.columns if c not in COLUMNS]
     text = F.coalesce(F.col(text_col), F.lit(""))
     # One literal array of fixed length, looked up by bucket.
-    table = F.expr(f"array({', '.join(f'{w!r}D' for w in weights)})")
+    table = F.from_json(F.lit(json.dumps(weights)), "array<double>")
+    # Every array is a column of its own before a lambda reads it: inside the
+    # lambda it would be built again for each element.
     rows = docs.select(*carried, text.alias("__t"),
                        F.filter(F.split(text, _SPACE, -1), lambda w: w != "").alias("__w"))
-    base = _base(F.col("__t"), F.col("__w"))
-    rows = rows.select(*carried, "__t", "__w", *[base[c].alias(c) for c in ("word_chars", "n_symbols", "n_dup_lines")],
-                       base["windows"].alias("windows"), _ngrams(F.col("__t"), len(weights)).alias("__n"))
-    rows = rows.withColumn("sorted", base["sorted"])
+    rows = rows.select("*", F.transform("__w", lambda w: F.xxhash64(w)).alias("__h"),
+                       _lines("__t").alias("__l"), _tokens(F.col("__t")).alias("__k"))
+    rows = rows.select("*", _windows("__h").alias("__v"), _ngrams("__k", len(weights)).alias("__n"))
+    rows = rows.select("*", _sorted_windows("__w", "__v").alias("__s"))
     total = F.aggregate("__n", F.lit(0.0), lambda a, b: a + F.get(table, b))
     rows = rows.select(
-        *carried, F.size("__w").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
-        _covered("sorted").alias("n_repeat_words"),
-        F.when(F.size("__n") > 0, total / F.size("__n")).otherwise(0.0).alias("quality_score"))
+        *carried, F.size("__w").cast("long").alias("n_words"),
+        F.char_length(F.array_join("__w", "")).cast("long").alias("word_chars"),
+        F.char_length(F.regexp_replace("__t", _SYMBOL, "")).cast("long").alias("n_symbols"),
+        (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
+        _covered("__s").alias("n_repeat_words"),
+        F.when(F.size("__n") > 0, total / F.size("__n")).otherwise(0.0).alias("quality_score"),
+        F.monotonically_increasing_id().alias("__row"))
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PCT) * F.col("n_words"))
-    return (rows.withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("quality_score") >= threshold)))
+    # The row number, never negative, keeps a filter on the verdict above the
+    # projections: pushed below, it would work out every array again.
+    passed = (F.col("quality_score") >= threshold) & (F.col("__row") >= 0)
+    return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & passed).drop("__row")
 
 
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
