@@ -1,8 +1,7 @@
 """Quality rules: a log-likelihood ratio of hashed n-grams between a trusted
 target and the raw corpus, behind a few plain base rules.
 
-Tokens are runs of letters, digits and underscores, or runs of other signs.
-Every token and pair of neighbours is hashed into ``buckets``.  The raw
+Words and pairs of neighbouring words, as written, are hashed into ``buckets``.  The raw
 multinomial counts all documents; the target multinomial counts documents
 labelled good, at most ``max_trusted`` of them (smallest id hashes first).  A
 document's score is the mean of log(target / raw) over its n-grams.  It is
@@ -31,22 +30,27 @@ BUCKETS = 1 << 14
 MAX_TRUSTED = 20_000
 SMOOTHING = 1.0
 THRESHOLD = -0.15
-MIN_WORDS, MAX_REPEAT_PCT, WINDOW = 20, 30, 8
-_TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
+MIN_WORDS, MAX_REPEAT_PCT, WINDOW = 20, 30, 8  # WINDOW is doubled from pairs
 _SPACE = r"[\x20\x09-\x0D]+"
 _SYMBOL = r"[^#*$%&|<>]+"
 
 
-def _tokens(text: Column) -> Column:
-    """Hashes of all tokens."""
-    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, _SPACE, -1), lambda w: w != "")
 
 
-def _ngrams(tokens: str, buckets: int) -> Column:
-    """Buckets of all tokens and of all pairs of neighbouring tokens."""
-    one = F.col(tokens)
-    two = F.zip_with(one, F.slice(one, F.lit(2), F.size(one)), lambda a, b: F.xxhash64(a, b))
-    return F.transform(F.concat(one, two), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _joined(runs: str, by: int) -> Column:
+    """Hashes of runs twice as long: each run with the one ``by`` places on."""
+    more = F.zip_with(runs, F.slice(runs, F.lit(by + 1), F.size(runs)), lambda a, b: F.xxhash64(a, b))
+    return F.slice(more, F.lit(1), F.greatest(F.size(runs) - by, F.lit(0)))
+
+
+def _bucket(h: Column, buckets: int) -> Column:
+    return F.pmod(h, F.lit(buckets)).cast("int")
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id", quality_col: str = "quality",
@@ -61,11 +65,11 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
         buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
     """log(target / raw) of each bucket, from all documents.  ``trusted``: a
     bounded table of ids (``trusted_ids``)."""
-    rows = (docs.select(F.col(id_col).alias("id"), _tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("k"))
-            .select("id", _ngrams("k", buckets).alias("n")))
+    rows = (docs.select(F.col(id_col).alias("id"), _hashes(_words(F.coalesce(F.col(text_col), F.lit("")))).alias("one"))
+            .select("id", F.concat("one", _joined("one", 1)).alias("n")))
     known = rows.join(F.broadcast(trusted), F.col("id") == F.col("trusted_id"), "left")  # max_trusted rows at most
-    counts = (known.select(F.explode("n").alias("bucket"), F.col("trusted_id").isNotNull().cast("long").alias("good"))
-              .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("good")).collect())  # buckets rows
+    counts = (known.select(F.explode("n").alias("h"), F.col("trusted_id").isNotNull().cast("long").alias("good"))
+              .groupBy(_bucket(F.col("h"), buckets).alias("bucket")).agg(F.count("*").alias("raw"), F.sum("good").alias("good")).collect())  # buckets rows
     raw = {r["bucket"]: r["raw"] for r in counts}
     good = {r["bucket"]: r["good"] for r in counts}
     n_raw, n_good = sum(raw.values()), sum(good.values())
@@ -80,13 +84,6 @@ def _lines(text: str) -> Column:
     return F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
 
-def _windows(hashes: str) -> Column:
-    """Hash of every window of words, from the hashes of the words."""
-    last = F.size(hashes) - F.lit(WINDOW)
-    return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(WINDOW)))))
-
-
 def _sorted_windows(words: str, windows: str) -> Column:
     """The windows themselves with their places, sorted.  Null where all
     hashes differ, as in most texts: then no two windows are equal."""
@@ -121,20 +118,22 @@ def annotate(docs: DataFrame, weights: list[float], text_col: str = "text",
     table = F.from_json(F.lit(json.dumps(weights)), "array<double>")
     # Every array is a column of its own before a lambda reads it: inside the
     # lambda it would be built again for each element.
-    rows = docs.select(*carried, text.alias("__t"),
-                       F.filter(F.split(text, _SPACE, -1), lambda w: w != "").alias("__w"))
-    rows = rows.select("*", F.transform("__w", lambda w: F.xxhash64(w)).alias("__h"),
-                       _lines("__t").alias("__l"), _tokens(F.col("__t")).alias("__k"))
-    rows = rows.select("*", _windows("__h").alias("__v"), _ngrams("__k", len(weights)).alias("__n"))
-    rows = rows.select("*", _sorted_windows("__w", "__v").alias("__s"))
-    total = F.aggregate("__n", F.lit(0.0), lambda a, b: a + F.get(table, b))
+    rows = docs.select(*carried, text.alias("__t"), _words(text).alias("__w"))
+    rows = rows.select("*", _hashes(F.col("__w")).alias("__1"), _lines("__t").alias("__l"))
+    for size in (1, 2, 4):  # up to WINDOW
+        rows = rows.select("*", _joined(f"__{size}", size).alias(f"__{2 * size}"))
+    rows = rows.select("*", _sorted_windows("__w", f"__{WINDOW}").alias("__s"))
+    total = F.lit(0.0)
+    for runs in ("__1", "__2"):
+        total = F.aggregate(runs, total, lambda a, h: a + F.get(table, _bucket(h, len(weights))))
+    n = F.size("__1") + F.size("__2")
     rows = rows.select(
         *carried, F.size("__w").cast("long").alias("n_words"),
         F.char_length(F.array_join("__w", "")).cast("long").alias("word_chars"),
         F.char_length(F.regexp_replace("__t", _SYMBOL, "")).cast("long").alias("n_symbols"),
         (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
         _covered("__s").alias("n_repeat_words"),
-        F.when(F.size("__n") > 0, total / F.size("__n")).otherwise(0.0).alias("quality_score"),
+        F.when(n > 0, total / n).otherwise(0.0).alias("quality_score"),
         F.monotonically_increasing_id().alias("__row"))
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PCT) * F.col("n_words"))
