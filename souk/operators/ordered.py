@@ -272,15 +272,12 @@ def running_sum(df: DataFrame, value: str, partition: Sequence[str], order: Sequ
     w = _window(order)
     frame = w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns(
-        {out: F.sum(value).over(frame), "_rn": F.row_number().over(w)})
+        {out: F.sum(value).over(frame)})
     prior = _prior(local, {"_t": F.sum(value)})
     before = F.col("_prior_t")
-    if exclusive:
-        # the first row of a later segment continues the previous segments
-        total = F.when(F.col("_rn") == 1, before).otherwise(
-            F.col(out) + F.coalesce(before, F.lit(0)))
-    else:
-        total = F.col(out) + F.coalesce(before, F.lit(0))
+    # while a segment has summed no value yet (its first values are NULL, or
+    # the frame is still empty) the total of the previous segments stands
+    total = F.coalesce(F.col(out) + F.coalesce(before, F.lit(0)), before)
     fix = total.cast(_sum_type(schema[value].dataType))
     return _corrected(local, prior, [*keep, out], {out: fix})
 

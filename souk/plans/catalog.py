@@ -86,19 +86,9 @@ REGISTRY: dict[str, tuple[Callable[..., DataFrame], dict]] = {
 }
 
 
-_BUNDLES: dict[tuple[int, str], tuple[SparkSession, Tables]] = {}
-
-
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The stand-in bundle for ``sf_dir``, built once per session (lazy plans,
-    no data is held).  The entry keeps its session, so an id is never reused
-    by a later session while the entry exists."""
-    key = (id(spark), sf_dir)
-    hit = _BUNDLES.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, standin_tables(configure(spark), sf_dir))
-        _BUNDLES[key] = hit
-    return hit[1]
+    """The stand-in bundle for ``sf_dir``, from the files that are there now."""
+    return standin_tables(configure(spark), sf_dir)
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

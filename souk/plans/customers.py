@@ -23,7 +23,7 @@ def _order_counts(t: Tables, name: str = "order_count") -> DataFrame:
 def repeat_customers(t: Tables, min_orders: int = 3) -> DataFrame:
     """Customers with more than ``min_orders`` orders."""
     return (_order_counts(t).where(F.col("order_count") > min_orders)
-            .orderBy(F.col("order_count").desc()))
+            .orderBy(F.col("order_count").desc(), "customer_id"))
 
 
 def customer_segments(t: Tables, loyal_from: int = 5) -> DataFrame:
@@ -35,7 +35,7 @@ def customer_segments(t: Tables, loyal_from: int = 5) -> DataFrame:
                         F.when(n == 1, "one_time_buyer")
                         .when(n >= loyal_from, "loyal")
                         .otherwise("regular buyer"))
-            .orderBy(n.desc()))
+            .orderBy(n.desc(), "customer_id"))
 
 
 def _customer_spend(t: Tables) -> DataFrame:
@@ -111,8 +111,8 @@ def customer_running_sales(t: Tables, max_rows: int | None = None) -> DataFrame:
         F.col("order_value").alias("order_amount"))
     run = running_sum(sales, "order_amount", ["customer_id"], [asc("order_date"), asc("order_id")],
                       "cumulative_sales", max_rows=max_rows)
-    return (run.select("order_id", "customer_id", to_double("cumulative_sales").alias("cumulative_sales"))
-            .orderBy("customer_id", "order_id"))
+    return (run.orderBy("customer_id", "order_date", "order_id")
+            .select("order_id", "customer_id", to_double("cumulative_sales").alias("cumulative_sales")))
 
 
 def purchase_gaps(t: Tables, max_rows: int | None = None) -> DataFrame:
@@ -124,7 +124,7 @@ def purchase_gaps(t: Tables, max_rows: int | None = None) -> DataFrame:
                  lag="previous_order_date", max_rows=max_rows)
     return (g.select("customer_id", "order_id", "order_date", "previous_order_date",
                      day_diff("previous_order_date", "order_date").alias("days_between_orders"))
-            .orderBy("customer_id", "order_date"))
+            .orderBy("customer_id", "order_date", "order_id"))
 
 
 def avg_purchase_gap(t: Tables, max_rows: int | None = None) -> DataFrame:
@@ -137,7 +137,7 @@ def avg_purchase_gap(t: Tables, max_rows: int | None = None) -> DataFrame:
     gap = day_diff("prev_order_date", "order_purchase_timestamp")
     return (g.where(F.col("prev_order_date").isNotNull())
             .groupBy("customer_id").agg(trunc_avg(gap).alias("avg_gap_days"))
-            .orderBy(F.col("avg_gap_days").desc()))
+            .orderBy(F.col("avg_gap_days").desc(), "customer_id"))
 
 
 def customers_with_orders_left(t: Tables) -> DataFrame:
@@ -153,13 +153,13 @@ def customers_with_orders_left(t: Tables) -> DataFrame:
     matched = orders.join(cust, "customer_id")
     without = (cust.join(orders.select("customer_id").distinct(), "customer_id", "left_anti")
                .select("customer_id", F.lit(None).cast("long").alias("order_id")))
-    return matched.unionByName(without).orderBy("customer_id")
+    return matched.unionByName(without).orderBy("customer_id", "order_id")
 
 
 def customers_above_p90(t: Tables, p: float = 0.9, accuracy: int | None = None) -> DataFrame:
     """Customers whose order count is above the ``p`` percentile of order counts."""
     return (above_percentile(_order_counts(t), "order_count", p, accuracy)
-            .orderBy(F.col("order_count").desc()))
+            .orderBy(F.col("order_count").desc(), "customer_id"))
 
 
 def beat_year_max_spend(t: Tables, year: int = 2017) -> DataFrame:

@@ -12,17 +12,18 @@ from pyspark.sql import DataFrame
 
 from souk.sources import Tables
 
-# Count of customers with orders in both years (the procedure body).
-CUSTOMERS_IN_BOTH_YEARS = """
-SELECT COUNT(*) AS customers_in_both_years
-FROM (
-  SELECT customer_id
-  FROM (SELECT customer_id, year(order_purchase_timestamp) AS order_year
-        FROM {orders}
-        WHERE year(order_purchase_timestamp) IN (:year1, :year2)
-        GROUP BY customer_id, year(order_purchase_timestamp)) yearly_orders
+# A year is a range of purchase times, which the scan of ``orders`` prunes by.
+_YEAR = """(order_purchase_timestamp >= make_timestamp_ntz(:{0}, 1, 1, 0, 0, 0)
+            AND order_purchase_timestamp < make_timestamp_ntz(:{0} + 1, 1, 1, 0, 0, 0))"""
+_FIRST, _SECOND = _YEAR.format("year1"), _YEAR.format("year2")
+CUSTOMERS_IN_BOTH_YEARS = f"""
+WITH active AS (
+  SELECT bool_or({_FIRST}) AND bool_or({_SECOND}) AND :year1 <> :year2 AS in_both
+  FROM {{orders}}
+  WHERE {_FIRST} OR {_SECOND}
   GROUP BY customer_id
-  HAVING COUNT(DISTINCT order_year) = 2) both_years
+)
+SELECT count_if(in_both) AS customers_in_both_years FROM active
 """
 
 

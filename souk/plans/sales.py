@@ -127,7 +127,7 @@ def product_order_counts(t: Tables) -> DataFrame:
     return (t.products.join(counts, "product_id", "left")
             .select("product_id", "product_category_name",
                     F.coalesce(F.col("_orders"), F.lit(0)).alias("order_count"))
-            .orderBy(F.col("order_count").desc()))
+            .orderBy(F.col("order_count").desc(), "product_id"))
 
 
 def best_year_per_calendar_month(t: Tables) -> DataFrame:

@@ -89,7 +89,7 @@ def seller_speed_rank(t: Tables, max_rows: int | None = None) -> DataFrame:
                                      "order_delivered_customer_date")).alias("avg_diff")))
     return (rank_by_key(speed, [], [asc("avg_diff")], "speed_rank", max_rows=max_rows)
             .select("seller_id", "avg_diff", "speed_rank")
-            .orderBy("speed_rank"))
+            .orderBy("speed_rank", "seller_id"))
 
 
 def seller_review_rank(t: Tables, max_rows: int | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from souk.operators.ordered import asc, desc, lag_lead, rank_by_key, rank_within
 ROW = st.tuples(
     st.sampled_from([0, 0, 0, 1, 2]),                     # group 0 is hot
     st.one_of(st.none(), st.integers(-3, 12).map(float)),  # few distinct keys: ties
-    st.integers(1, 9),
+    st.one_of(st.none(), st.integers(1, 9)),
 )
 
 
@@ -53,7 +53,7 @@ def test_segmented_equals_plain(spark, rows, max_rows, descending, grouped):
 DATE_ROW = st.tuples(
     st.sampled_from([0, 0, 0, 1, 2]),
     st.one_of(st.none(), st.integers(0, 6)),   # day offsets: many equal dates
-    st.integers(1, 9),
+    st.one_of(st.none(), st.integers(1, 9)),
 )
 
 
