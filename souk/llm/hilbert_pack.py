@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -139,6 +140,12 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """One encoder, with its word cache, for all tasks of a Python worker."""
+    return Encoder(path)
+
+
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
          length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """Pieces of packed sequences: (id, start, length, ids, doc_tokens,
@@ -161,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         sequence = TaskContext.get().partitionId() << PARTITION_SHIFT
         offset = 0
         for part in slices(batches, "text"):

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -245,13 +246,19 @@ class Encoder:
         return text[1:] if m.prefix and text.startswith(" ") else text
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """One encoder, with its caches, for all tasks of a Python worker."""
+    return Encoder(path)
+
+
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids) for every row; ``ids`` is an array of piece ids."""
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
+        encoder = worker_encoder(model)
         for part in slices(batches, "text"):
             raw = encoder.encode(part.column("text").to_pylist())
             ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in raw]))).astype(np.int32)
@@ -265,16 +272,7 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", text_col: str =
     """``encoded`` with the text of its ids; null ids give an empty text."""
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
-        decoder = _decoder(model)
+        decoder = worker_encoder(model)
         return pa.array([decoder.decode(x or []) for x in (ids[i].as_py() for i in range(len(ids)))], pa.string())
 
     return encoded.withColumn(text_col, text(F.col(ids_col)))
-
-
-_DECODERS: dict[str, Encoder] = {}
-
-
-def _decoder(model: str) -> Encoder:
-    if model not in _DECODERS:
-        _DECODERS[model] = Encoder(model)
-    return _DECODERS[model]
