@@ -126,10 +126,10 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [None if self._WHOLE.search(t) else t.split(" ") for t in texts]
-        need = set().union(*[p[1:] for p in parts if p]) - self.words.keys()
-        if len(self.words) + len(need) > _CACHE_WORDS:
-            self.words.clear()
-            need = set().union(*[p[1:] for p in parts if p])
+        used = set().union(*[p[1:] for p in parts if p])
+        need = used - self.words.keys()
+        if len(self.words) + len(need) > _CACHE_WORDS:  # what these texts use stays
+            self.words = {w: self.words[w] for w in used - need}
         self._learn(need)
         known = self.words
         heads = self._whole([t if p is None else p[0] for t, p in zip(texts, parts)])
