@@ -68,8 +68,8 @@ def vector(text: bytes, buckets: int = BUCKETS) -> np.ndarray:
     total = np.zeros(buckets, np.int64)
     shift = np.uint32(32 - buckets.bit_length() + 1)
     for at in range(0, max(len(text) - 3, 0), _BLOCK):
-        a = np.frombuffer(text, np.uint8, min(_BLOCK + 3, len(text) - at), at).astype(np.uint32)
-        code = a[:-3] | (a[1:-2] << np.uint32(8)) | (a[2:-1] << np.uint32(16)) | (a[3:] << np.uint32(24))
+        n = min(_BLOCK + 3, len(text) - at)
+        code = np.concatenate([np.frombuffer(text, "<u4", (n - k) // 4, at + k) for k in range(min(4, n - 3))])
         total += np.bincount((code * np.uint32(2654435761)) >> shift, minlength=buckets)
     return total / max(np.sqrt((total.astype(float) ** 2).sum()), 1.0)
 
