@@ -101,34 +101,45 @@ def _places(data: bytes, phrase: bytes) -> list[int]:
     return out
 
 
+def _word_numbers(data: bytes, places: list[int]) -> list[int]:
+    """The number of spaces before each place, for ascending places."""
+    out, at, n = [], 0, 0
+    for place in places:
+        n += data.count(b" ", at, place)
+        at = place
+        out.append(n)
+    return out
+
+
 def exact(data: bytes, phrases: dict[str, str]) -> list[Span]:
     """Base places in a normalised text."""
     out = []
     for phrase, label in phrases.items():
         size = phrase.count(" ") + 1
-        for at in _places(data, b" " + phrase.encode() + b" "):
-            first = data.count(b" ", 0, at)
-            out.append(Span(label, first, first + size, 0, phrase))
+        places = _places(data, b" " + phrase.encode() + b" ")
+        out += [Span(label, first, first + size, 0, phrase) for first in _word_numbers(data, places)]
     return out
 
 
 def fuzzy(data: bytes, search: list[Notice]) -> list[Span]:
-    """Spans within the bounded number of edits of a phrase."""
+    """Spans within the bounded number of edits of a phrase.  Each candidate
+    is matched in a window of its own, just wide enough for the phrase and its
+    edits, so the work grows with the text.  Of overlapping spans of a phrase
+    the one with fewer edits stays, then the earlier."""
     out = []
     for notice in search:
-        windows: list[list[int]] = []
-        near = sorted({at - place for place, piece in notice.pieces for at in _places(data, piece)})
-        for at in near:
-            a, b = max(0, at - notice.edits - 1), min(len(data), at + len(notice.phrase) + notice.edits + 1)
-            if windows and a <= windows[-1][1]:
-                windows[-1][1] = max(windows[-1][1], b)
-            else:
-                windows.append([a, b])
-        for a, b in windows:
-            for m in notice.pattern.finditer(data, a, b):
-                first = data.count(b" ", 0, m.start()) - 1
-                last = first + data.count(b" ", m.start(), m.end()) + 1
-                out.append(Span(notice.label, first, last, sum(m.fuzzy_counts), notice.phrase.decode()))
+        reach, found = notice.edits + 1, set()
+        for at in sorted({at - place for place, piece in notice.pieces for at in _places(data, piece)}):
+            found.update((m.start(), m.end(), sum(m.fuzzy_counts)) for m in notice.pattern.finditer(
+                data, max(0, at - reach), min(len(data), at + len(notice.phrase) + reach)))
+        kept: list[tuple[int, int, int]] = []
+        for span in sorted(found):
+            if not kept or span[0] >= kept[-1][1]:
+                kept.append(span)
+            elif span[2] < kept[-1][2]:
+                kept[-1] = span
+        for (a, b, edits), n in zip(kept, _word_numbers(data, [a for a, _, _ in kept])):
+            out.append(Span(notice.label, n - 1, n + data.count(b" ", a, b), edits, notice.phrase.decode()))
     return out
 
 
