@@ -118,6 +118,13 @@ class Encoder:
             if (np.diff(self.tables[size][0]) == 0).any():
                 raise ValueError("two pieces have one hash")
         self.powers = [np.uint64(pow(int(_BASE), k, 1 << 64)) for k in range(m.longest + 1)]
+        spelt = [b""] * (len(m.score) + 1)  # what each id writes; the last place is for numbers that are no id
+        for i, piece in m.text.items():
+            spelt[i] = piece.encode()
+        for i, b in m.byte_of.items():
+            spelt[i] = bytes([b])
+        spelt[m.unknown] = " ⁇ ".encode()
+        self.spelt = spelt
         self.units: dict[str, bytes] = {}
         self.apart: dict[int, bool] = {}
 
@@ -237,13 +244,11 @@ class Encoder:
                 del self.units[u]
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        m, out = self.model, []
-        for i in ids:
-            out.append(m.text[i].encode() if i in m.text else bytes([m.byte_of[i]]) if i in m.byte_of
-                       else " ⁇ ".encode() if i == m.unknown else b"")
-        text = b"".join(out).decode("utf-8", "replace").replace(SPACE, " ")
-        return text[1:] if m.prefix and text.startswith(" ") else text
+    def decode(self, ids: np.ndarray) -> str:
+        none = len(self.spelt) - 1
+        known = np.where((ids < 0) | (ids > none), none, ids)
+        text = b"".join(map(self.spelt.__getitem__, known.tolist())).decode("utf-8", "replace").replace(SPACE, " ")
+        return text[1:] if self.model.prefix and text.startswith(" ") else text
 
 
 @lru_cache(maxsize=1)
@@ -273,6 +278,8 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", text_col: str =
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
         decoder = worker_encoder(model)
-        return pa.array([decoder.decode(x or []) for x in (ids[i].as_py() for i in range(len(ids)))], pa.string())
+        flat = ids.values.fill_null(-1).to_numpy(zero_copy_only=False)
+        ends, none = ids.offsets.to_pylist(), ids.is_null().to_pylist()
+        return pa.array(["" if z else decoder.decode(flat[a:b]) for a, b, z in zip(ends, ends[1:], none)], pa.string())
 
     return encoded.withColumn(text_col, text(F.col(ids_col)))
