@@ -3,10 +3,10 @@
 from souk.operators.ordered import (
     Sort, asc, desc, lag_lead, rank_by_key, rank_within, running_sum, segments,
 )
-from souk.operators.threshold import above, above_mean, above_percentile, equal_to_max, with_scalar
+from souk.operators.threshold import above, above_mean, above_percentile, equal_to_max, with_statistics
 from souk.operators.topk import top_k
 
 __all__ = [
     "Sort", "asc", "desc", "lag_lead", "rank_by_key", "rank_within", "running_sum", "segments",
-    "above", "above_mean", "above_percentile", "equal_to_max", "with_scalar", "top_k",
+    "above", "above_mean", "above_percentile", "equal_to_max", "with_statistics", "top_k",
 ]

@@ -3,7 +3,8 @@ aggregate (mean, max, median, percentile).
 
 The statistic is a global aggregate of the input, i.e. exactly one row, so
 joining it with ``broadcast`` is safe at any scale; it is never collected to
-the driver.  The input aggregate is referenced twice in one plan, and Spark
+the driver.  The functions take aggregate expressions, not frames, so a
+statistic of many rows cannot be passed.  The input aggregate is referenced twice in one plan, and Spark
 reuses its shuffle for both branches.
 """
 
@@ -13,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
-    """``df`` with the columns of the one-row ``scalar`` frame appended."""
-    return df.crossJoin(F.broadcast(scalar))
+def with_statistics(df: DataFrame, *aggregates: Column) -> DataFrame:
+    """``df`` with global aggregates of itself appended to every row."""
+    return df.crossJoin(F.broadcast(df.agg(*aggregates)))
 
 
 def above_mean(df: DataFrame, value: str) -> DataFrame:
@@ -23,16 +24,14 @@ def above_mean(df: DataFrame, value: str) -> DataFrame:
 
     Compared as ``value * n > total``: exact for decimals and integers, with
     no rounding of the mean."""
-    stat = df.agg(F.sum(value).alias("_total"), F.count(value).alias("_n"))
-    return (with_scalar(df, stat)
+    return (with_statistics(df, F.sum(value).alias("_total"), F.count(value).alias("_n"))
             .where(F.col(value) * F.col("_n") > F.col("_total"))
             .drop("_total", "_n"))
 
 
 def equal_to_max(df: DataFrame, value: str) -> DataFrame:
     """Rows whose ``value`` equals the maximum of ``value``."""
-    stat = df.agg(F.max(value).alias("_max"))
-    return with_scalar(df, stat).where(F.col(value) == F.col("_max")).drop("_max")
+    return with_statistics(df, F.max(value).alias("_max")).where(F.col(value) == F.col("_max")).drop("_max")
 
 
 def percentile_of(value: str, p: float, accuracy: int | None = None) -> Column:
@@ -50,11 +49,10 @@ def percentile_of(value: str, p: float, accuracy: int | None = None) -> Column:
 
 def above_percentile(df: DataFrame, value: str, p: float, accuracy: int | None = None) -> DataFrame:
     """Rows above the continuous percentile ``p`` of ``value``."""
-    stat = df.agg(percentile_of(value, p, accuracy).alias("_p"))
-    return with_scalar(df, stat).where(F.col(value) > F.col("_p")).drop("_p")
+    return with_statistics(df, percentile_of(value, p, accuracy).alias("_p")).where(F.col(value) > F.col("_p")).drop("_p")
 
 
-def above(df: DataFrame, value: str, threshold: DataFrame, threshold_col: str) -> DataFrame:
-    """Theta join against a one-row threshold frame: ``value > threshold``."""
-    t = F.broadcast(threshold.select(F.col(threshold_col).alias("_thr")))
-    return df.join(t, F.col(value) > F.col("_thr"), "inner").drop("_thr")
+def above(df: DataFrame, value: str, threshold: Column) -> DataFrame:
+    """Theta join against a global aggregate of ``df``: ``value > threshold``."""
+    one = F.broadcast(df.agg(threshold.alias("_thr")))
+    return df.join(one, F.col(value) > F.col("_thr"), "inner").drop("_thr")

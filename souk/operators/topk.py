@@ -10,6 +10,10 @@ Plans: an overall cut is ``orderBy().limit(k)``, which Spark runs as
 per-group variants are a rank-like window filtered by ``<= k``; Catalyst
 turns that into a partial ``WindowGroupLimit`` before the shuffle, so a hot
 group sends at most k rows (plus ties) per map task, never the whole group.
+Catalyst does so up to k = 1000.  Beyond that a first cut ranks rows within
+(group, hash of the row), so a hot group is cut to k rows (plus ties) in each
+of its parts before they meet.  The result is the same: a row among the first
+k of its group is among the first k of any part of it.
 """
 
 from __future__ import annotations
@@ -21,6 +25,9 @@ from pyspark.sql import functions as F
 
 from souk.operators.ordered import Sort
 
+#: Above this k Spark plans no partial limit (its windowGroupLimitThreshold).
+PARTIAL_LIMIT_K = 1000
+PARTS = 64
 _FUNCS = {"cut": F.row_number, "rank": F.rank, "dense": F.dense_rank}
 
 
@@ -34,7 +41,14 @@ def top_k(df: DataFrame, order: Sequence[Sort], k: int, partition: Sequence[str]
     if not partition and ties == "cut" and rank_col is None:
         return df.orderBy(*[s.column() for s in order]).limit(k)
     name = rank_col or "_topk_rank"
-    w = Window.partitionBy(*partition).orderBy(*[s.column() for s in order])
+    by = [s.column() for s in order]
+    if k > PARTIAL_LIMIT_K:
+        hashable = [f.name for f in df.schema.fields if not f.dataType.simpleString().startswith(("map", "variant"))]
+        part = F.pmod(F.xxhash64(*hashable), F.lit(PARTS))
+        local = Window.partitionBy(*partition, "_topk_part").orderBy(*by)
+        df = (df.withColumn("_topk_part", part).withColumn("_topk_local", _FUNCS[ties]().over(local))
+              .where(F.col("_topk_local") <= k).drop("_topk_part", "_topk_local"))
+    w = Window.partitionBy(*partition).orderBy(*by)
     ranked = df.withColumn(name, _FUNCS[ties]().over(w)).where(F.col(name) <= k)
     if rank_col:
         return ranked.withColumn(name, F.col(name).cast("long"))

@@ -83,6 +83,9 @@ REGISTRY: dict[str, tuple[Callable[..., DataFrame], dict]] = {
     "seller_monthly_drop": (sellers.seller_monthly_drop, {}),
     "zero_sales_days": (sales.zero_sales_days, {}),
     "record_months": (sales.record_months, {}),
+    "order_prev_next": (customers.order_prev_next, {}),
+    "top_products_dense": (sales.top_products_dense, {}),
+    "moving_avg_category_calendar": (sales.moving_avg_category, {"calendar": True}),
 }
 
 

@@ -127,6 +127,16 @@ def purchase_gaps(t: Tables, max_rows: int | None = None) -> DataFrame:
             .orderBy("customer_id", "order_date", "order_id"))
 
 
+def order_prev_next(t: Tables, max_rows: int | None = None) -> DataFrame:
+    """Per order: the dates of the customer's previous and next order."""
+    orders = t.orders.select("customer_id", "order_id",
+                             F.col("order_purchase_timestamp").cast("date").alias("order_date"))
+    return (lag_lead(orders, "order_date", ["customer_id"], [asc("order_date"), asc("order_id")],
+                     lag="previous_order_date", lead="next_order_date", max_rows=max_rows)
+            .select("customer_id", "order_id", "order_date", "previous_order_date", "next_order_date")
+            .orderBy("customer_id", "order_date", "order_id"))
+
+
 def avg_purchase_gap(t: Tables, max_rows: int | None = None) -> DataFrame:
     """Average days between consecutive purchases per customer (truncated),
     customers with at least two orders."""
@@ -166,9 +176,9 @@ def beat_year_max_spend(t: Tables, year: int = 2017) -> DataFrame:
     """Customers whose all-time payments exceed the largest total any customer
     paid for orders placed in ``year``.
 
-    One pass: payments are summed per order, joined to orders and customers,
-    and each customer gets both its all-time and its ``year`` total; the
-    maximum of the latter is a one-row aggregate compared by a theta join."""
+    Payments are summed per order, joined to orders and customers, and each
+    customer gets both its all-time and its ``year`` total; the maximum of the
+    latter is a one-row aggregate compared by a theta join."""
     per_order = t.order_payments.groupBy("order_id").agg(F.sum("payment_value").alias("_paid"))
     in_y = in_year("order_purchase_timestamp", year)
     per = (per_order.join(t.orders.select("order_id", "customer_id", "order_purchase_timestamp"),
@@ -178,8 +188,7 @@ def beat_year_max_spend(t: Tables, year: int = 2017) -> DataFrame:
                F.sum(F.when(in_y, F.col("_paid"))).alias("_year_spent"))
            # customers is keyed by customer_id: an inner join keeps known customers
            .join(t.customers.select("customer_id"), "customer_id"))
-    best = per.agg(F.max("_year_spent").alias("max_spent"))       # one row
-    return (above(per, "total_spent", best, "max_spent")
+    return (above(per, "total_spent", F.max("_year_spent"))
             .select("customer_id", to_double("total_spent").alias("total_spent"))
             .orderBy(F.col("total_spent").desc()))
 

@@ -42,6 +42,13 @@ def top_products_rank(t: Tables, k: int = 5) -> DataFrame:
             .select("product_id", to_double("total_sales").alias("total_sales"), "sales_rank"))
 
 
+def top_products_dense(t: Tables, k: int = 5) -> DataFrame:
+    """Products whose sales are among the ``k`` highest distinct totals."""
+    ps = _sales(t.order_items, "product_id")
+    return (top_k(ps, [desc("total_sales")], k, ties="dense", rank_col="sales_rank")
+            .select("product_id", to_double("total_sales").alias("total_sales"), "sales_rank"))
+
+
 def _product_sales(t: Tables, *keys: str) -> DataFrame:
     """Item value per (product, *keys), joined to the product's category.
 
@@ -180,10 +187,12 @@ def moving_avg_category(t: Tables, window: int = 3, calendar: bool = False) -> D
 
     One category holds at most one row per day, so a window partition is
     bounded by the calendar span, not by data volume."""
-    rows = t.orders.join(t.order_items, "order_id").join(t.products, "product_id")
-    daily = rows.groupBy("product_category_name",
-                         F.col("order_purchase_timestamp").cast("date").alias("sale_date")) \
-        .agg(F.sum(item_value()).alias("daily_sales"))
+    # Items are summed per product and day before they meet ``products``.
+    per_product = (t.orders.join(t.order_items, "order_id")
+                   .groupBy("product_id", F.col("order_purchase_timestamp").cast("date").alias("sale_date"))
+                   .agg(F.sum(item_value()).alias("_v")))
+    daily = (per_product.join(t.products, "product_id").groupBy("product_category_name", "sale_date")
+             .agg(F.sum("_v").alias("daily_sales")))
     if calendar:
         w = (Window.partitionBy("product_category_name").orderBy(F.unix_date("sale_date"))
              .rangeBetween(-(window - 1), 0))

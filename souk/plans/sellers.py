@@ -41,14 +41,12 @@ def sellers_unmatched_left_join(t: Tables, category: str = "eletrodomesticos") -
     # item rows meet the (small) set of products in the category directly:
     # broadcast when it fits, and only the matching side is reduced after
     items = t.order_items.select("seller_id", "product_id")
-    # per seller: does any of its item rows miss the category?
-    flagged = (items.join(in_cat, F.col("product_id") == F.col("_pid"), "left")
-               .where(F.col("_pid").isNull()).select("seller_id").distinct())
-    # anti-join right sides are made distinct first (map-side partial
-    # aggregation), so a seller with a large share of items is no hot key
-    no_items = t.sellers.select("seller_id").join(items.select("seller_id").distinct(),
-                                                  "seller_id", "left_anti")
-    return flagged.join(t.sellers.select("seller_id"), "seller_id").unionByName(no_items).distinct()
+    # One pass over the items: per seller, does any of them miss the category?
+    # (Partial aggregation map-side, so a large seller is no hot key.)
+    missed = (items.join(in_cat, F.col("product_id") == F.col("_pid"), "left")
+              .groupBy("seller_id").agg(F.max(F.col("_pid").isNull()).alias("_missed")))
+    return (t.sellers.select("seller_id").join(missed, "seller_id", "left")
+            .where(F.coalesce("_missed", F.lit(True))).select("seller_id").distinct())
 
 
 def sellers_never_in_category(t: Tables, category: str = "eletrodomesticos") -> DataFrame:

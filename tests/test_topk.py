@@ -19,3 +19,11 @@ def test_ties_modes(spark):
     assert _rows(dense) == [(1, "a", 10, 1), (2, "a", 10, 1), (3, "a", 9, 2), (5, "b", 1, 1)]
     overall = top_k(df, [desc("v"), asc("id")], 3)
     assert _rows(overall) == [(1, "a", 10), (2, "a", 10), (3, "a", 9)]
+
+
+def test_large_k_takes_two_cuts(spark):
+    df = spark.range(6000).selectExpr("id", "id % 2 AS g", "id DIV 4 AS v")
+    assert "_topk_part" in top_k(df, [desc("v")], 1001, ["g"], "rank")._jdf.queryExecution().optimizedPlan().toString()
+    for ties, want in (("cut", 2002), ("rank", 2004), ("dense", 4004)):
+        rows = _rows(top_k(df, [desc("v")], 1001, ["g"], ties, "r"))
+        assert len(rows) == want and min(r[2] for r in rows) == 1500 - -(-want // 4)
