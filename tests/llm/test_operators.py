@@ -181,6 +181,12 @@ def test_license_edits(spark):
     assert rows[3][0]["labels"] == "mpl"
 
 
+def test_license_repeated_notices_each_found_once():
+    search = license_scan.notices({"apache license": "apache"})
+    found = license_scan.fuzzy(license_scan.normal(b"apachr license " * 3000), search)
+    assert [(s.first, s.last, s.edits) for s in found] == [(2 * i, 2 * i + 2, 1) for i in range(3000)]
+
+
 # 5
 
 def plain_fingerprint(text):
