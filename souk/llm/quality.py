@@ -1,12 +1,19 @@
 """Quality rules: a log-likelihood ratio of hashed n-grams between a trusted
 target and the raw corpus, behind a few plain base rules.
 
-Words and pairs of neighbouring words, as written, are hashed into ``buckets``.  The raw
-multinomial counts all documents; the target multinomial counts documents
-labelled good, at most ``max_trusted`` of them (smallest id hashes first).  A
-document's score is the mean of log(target / raw) over its n-grams.  It is
-kept if the base rules pass and the score reaches ``threshold``; no random
-draw is involved.
+Tokens, in lower case, are runs of letters, digits and underscores, or runs of
+other signs.  Every token and pair of neighbours is hashed into ``buckets``.
+The raw multinomial counts all documents; the target multinomial counts
+documents labelled good, at most ``max_trusted`` of them (smallest id hashes
+first).  A document's score is the mean of log(target / raw) over its n-grams.
+It is kept if the base rules pass and the score reaches the threshold; no
+random draw is involved.
+
+The threshold is derived from labelled rows: one good document in ``HELD`` is
+left out of a second target, whose weights score these documents and documents
+labelled bad.  The cut between both, among those that pass the base rules, has
+the least sum of the share of good ones below and bad ones above; ``THRESHOLD``
+serves where either kind has no row.
 
 Null and empty texts have no words and fail the base rules.  Rows with a null
 id are scored but never trusted.  Repeated rows count as often as they occur.
@@ -22,6 +29,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,15 +38,22 @@ BUCKETS = 1 << 14
 MAX_TRUSTED = 20_000
 SMOOTHING = 1.0
 THRESHOLD = -0.15
+HELD = 5
 MIN_WORDS, MAX_REPEAT_PCT, WINDOW = 20, 30, 8  # WINDOW is doubled from pairs
 _SPACE = r"[\x20\x09-\x0D]+"
 _SYMBOL = r"[^#*$%&|<>]+"
+_SIGNS = r"[^a-z0-9_\x20\x09-\x0D\p{L}\p{N}]+"
 
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, _SPACE, -1), lambda w: w != "")
 
 
+def _tokens(text: Column) -> Column:
+    """Words of the text in lower case, with spaces round runs of signs."""
+    return _words(F.regexp_replace(F.lower(text), _SIGNS, " $0 "))
+
+
 def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
@@ -53,30 +68,69 @@ def _bucket(h: Column, buckets: int) -> Column:
     return F.pmod(h, F.lit(buckets)).cast("int")
 
 
+class Weights(list):
+    """log(target / raw) of each bucket, and the threshold that goes with it."""
+
+    threshold: float = THRESHOLD
+
+
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id", quality_col: str = "quality",
                 max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """At most ``max_trusted`` distinct ids of documents labelled good."""
-    return (labels.where(F.col(quality_col) == 1).where(F.col(id_col).isNotNull())
-            .select(F.col(id_col).alias("trusted_id")).distinct()
-            .orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(max_trusted))
+    """At most ``max_trusted`` distinct ids of documents labelled good, and
+    ``max_trusted`` / ``HELD`` of documents labelled bad only, with ``good``
+    and ``held``: those that the threshold is derived from."""
+    ids = (labels.where(F.col(id_col).isNotNull() & F.col(quality_col).isNotNull())
+           .groupBy(F.col(id_col).alias("trusted_id")).agg(F.max((F.col(quality_col) == 1).cast("int")).alias("good")))
+    first = lambda good, n: ids.where(F.col("good") == good).orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(n)
+    return first(1, max_trusted).unionByName(first(0, max_trusted // HELD)).select(
+        "trusted_id", "good", ((F.col("good") == 0) | (F.pmod(F.xxhash64("trusted_id"), F.lit(HELD)) == 0)).alias("held"))
 
 
-def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
-    """log(target / raw) of each bucket, from all documents.  ``trusted``: a
-    bounded table of ids (``trusted_ids``)."""
-    rows = (docs.select(F.col(id_col).alias("id"), _hashes(_words(F.coalesce(F.col(text_col), F.lit("")))).alias("one"))
-            .select("id", F.concat("one", _joined("one", 1)).alias("n")))
-    known = rows.join(F.broadcast(trusted), F.col("id") == F.col("trusted_id"), "left")  # max_trusted rows at most
-    counts = (known.select(F.explode("n").alias("h"), F.col("trusted_id").isNotNull().cast("long").alias("good"))
-              .groupBy(_bucket(F.col("h"), buckets).alias("bucket")).agg(F.count("*").alias("raw"), F.sum("good").alias("good")).collect())  # buckets rows
-    raw = {r["bucket"]: r["raw"] for r in counts}
-    good = {r["bucket"]: r["good"] for r in counts}
+def _ratios(raw: dict[int, int], good: dict[int, int], buckets: int, smoothing: float) -> Weights:
     n_raw, n_good = sum(raw.values()), sum(good.values())
     if not n_good:
-        return [0.0] * buckets
-    return [math.log((good.get(b, 0) + smoothing) / (n_good + smoothing * buckets))
-            - math.log((raw.get(b, 0) + smoothing) / (n_raw + smoothing * buckets)) for b in range(buckets)]
+        return Weights([0.0] * buckets)
+    return Weights(math.log((good.get(b, 0) + smoothing) / (n_good + smoothing * buckets))
+                   - math.log((raw.get(b, 0) + smoothing) / (n_raw + smoothing * buckets)) for b in range(buckets))
+
+
+def cut(good: list[float], bad: list[float]) -> float:
+    """The score with the least sum of the share of ``good`` below and of
+    ``bad`` at or above it: the middle of the widest such gap."""
+    if not good or not bad:
+        return THRESHOLD
+    at = sorted({*good, *bad})
+    lost, stay = 0, len(bad)
+    n_good, n_bad = Counter(good), Counter(bad)
+    best = (stay * len(good), 0.0, at[0])
+    for x, y in zip(at, [*at[1:], at[-1]]):
+        lost, stay = lost + n_good[x], stay - n_bad[x]
+        best = min(best, (lost * len(bad) + stay * len(good), x - y, (x + y) / 2 if x < y else math.nextafter(x, math.inf)))
+    return best[2]
+
+
+def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> Weights:
+    """log(target / raw) of each bucket, from all documents, and the threshold.
+    ``trusted``: a bounded table of ids (``trusted_ids``)."""
+    rows = (docs.select(F.col(id_col).alias("id"), _hashes(_tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("one"))
+            .select("id", F.concat("one", _joined("one", 1)).alias("n")))
+    known = rows.join(F.broadcast(trusted), F.col("id") == F.col("trusted_id"), "left")  # max_trusted rows at most, and a part of it
+    # 0: not trusted, 1: trusted, 2: trusted and held.  One key and one count serve the three sums.
+    kind = F.when(F.col("good") == 1, F.when(F.col("held"), 2).otherwise(1)).otherwise(0)
+    counts = (known.select(F.explode("n").alias("h"), kind.alias("kind"))
+              .groupBy((_bucket(F.col("h"), buckets) * 3 + F.col("kind")).alias("key"))
+              .count().collect())  # three times buckets rows
+    of = [Counter({r["key"] // 3: r["count"] for r in counts if r["key"] % 3 == k}) for k in range(3)]
+    raw = of[0] + of[1] + of[2]
+    weights = _ratios(raw, of[1] + of[2], buckets, smoothing)
+    without = _ratios(raw, of[1], buckets, smoothing)
+    held = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
+        F.broadcast(trusted.where("held").select("trusted_id", "good")), F.col("id") == F.col("trusted_id"))
+    # Filtered here: a filter pushed below the projections would work out every array again.
+    scored = annotate(held.select("good", "text"), without).select("good", "base_failed", "quality_score").collect()
+    weights.threshold = cut(*[[r["quality_score"] for r in scored if r["good"] == g and not r["base_failed"]] for g in (1, 0)])
+    return weights
 
 
 def _lines(text: str) -> Column:
@@ -110,8 +164,10 @@ COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def annotate(docs: DataFrame, weights: list[float], text_col: str = "text",
-             threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with the base counts, the score and the verdict."""
+             threshold: float | None = None) -> DataFrame:
+    """``docs`` with the base counts, the score and the verdict, by default
+    at the threshold of the weights."""
+    threshold = getattr(weights, "threshold", THRESHOLD) if threshold is None else threshold
     carried = [c for c in docs.columns if c not in COLUMNS]
     text = F.coalesce(F.col(text_col), F.lit(""))
     # One literal array of fixed length, looked up by bucket.
@@ -122,11 +178,12 @@ def annotate(docs: DataFrame, weights: list[float], text_col: str = "text",
     rows = rows.select("*", _hashes(F.col("__w")).alias("__1"), _lines("__t").alias("__l"))
     for size in (1, 2, 4):  # up to WINDOW
         rows = rows.select("*", _joined(f"__{size}", size).alias(f"__{2 * size}"))
-    rows = rows.select("*", _sorted_windows("__w", f"__{WINDOW}").alias("__s"))
+    rows = rows.select("*", _sorted_windows("__w", f"__{WINDOW}").alias("__s"), _hashes(_tokens(F.col("__t"))).alias("__k"))
+    rows = rows.select("*", _joined("__k", 1).alias("__p"))
     total = F.lit(0.0)
-    for runs in ("__1", "__2"):
+    for runs in ("__k", "__p"):
         total = F.aggregate(runs, total, lambda a, h: a + F.get(table, _bucket(h, len(weights))))
-    n = F.size("__1") + F.size("__2")
+    n = F.size("__k") + F.size("__p")
     rows = rows.select(
         *carried, F.size("__w").cast("long").alias("n_words"),
         F.char_length(F.array_join("__w", "")).cast("long").alias("word_chars"),
@@ -144,7 +201,7 @@ def annotate(docs: DataFrame, weights: list[float], text_col: str = "text",
 
 
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         threshold: float = THRESHOLD) -> DataFrame:
+         threshold: float | None = None) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns."""
     weights = fit(docs, trusted_ids(labels, id_col), id_col, text_col)
     row = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))

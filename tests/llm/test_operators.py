@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from souk.llm import (hilbert_pack, kneser_ney, langid, license_scan, nra_topk, quality, queries, ring, secret_scan,
                       sentencepiece_viterbi, simhash)
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_CHECK, SF_SMALL
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = "lorem ipsum dolor sit amet " * 6000
@@ -357,6 +357,27 @@ def test_quality_filter_agrees_with_its_verdict(spark, docs, odd):
     assert set(quality.fit(docs, quality.trusted_ids(labels.where("false")))) == {0.0}
 
 
+def test_quality_keeps_and_drops_labelled_documents_of_every_language(spark):
+    docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.annotate(docs, quality.fit(docs, quality.trusted_ids(labels))).join(labels, "doc_id").collect()
+    for lang in {r["lang"] for r in rows}:
+        bad = [r["kept"] for r in rows if r["lang"] == lang and r["quality"] == 0]
+        good = [r["kept"] for r in rows if r["lang"] == lang and r["quality"] == 1 and not r["base_failed"]]
+        assert bad and sum(bad) <= 0.06 * len(bad), lang
+        assert good and sum(good) >= 0.97 * len(good), lang
+
+
+def test_quality_tokens_part_signs_from_words(spark):
+    row = spark.sql("SELECT 'De%%% DIE,*** x_1\u00a0É?' AS t").select(quality._tokens(F.col("t"))).first()[0]
+    assert row == ["de", "%%%", "die", ",***", "x_1", "\u00a0", "é", "?"]
+
+
+def test_quality_threshold_from_labelled_scores():
+    assert quality.cut([0.1, 0.2, 0.3], [-1.0, -0.5]) == pytest.approx(-0.2)
+    assert quality.cut([0.1, 0.2], [0.3] + [-0.3] * 9) == pytest.approx(-0.1)
+    assert quality.cut([0.1], []) == quality.cut([], [0.1]) == quality.THRESHOLD
+
+
 # 10
 
 def plain_kneser_ney(train, text):
