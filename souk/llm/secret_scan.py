@@ -4,7 +4,8 @@ Base kinds are plain patterns: ``assign`` (a sensitive word, a sign and a
 value), ``access`` (cloud access keys) and ``hex`` (long hex runs).
 
 Lexing: source and configuration syntax is read as name, sign and literal
-(``name = "x"``, ``name: x``, ``"name" => 'x'``, ``export NAME=x``), where a
+(``name = "x"``, ``name: x``, ``"name" => 'x'``, ``export NAME=x``), with a type
+between name and sign or not (``name: Type = "x"``, ``var name Type = "x"``), where a
 value may be a quoted literal, a bare word, another name, or such parts joined
 by ``+`` or ``.``.  Names bound to literals are constants; a name whose value
 is another name takes that constant's literals.  Each name is split into its
@@ -48,7 +49,18 @@ MIN_LITERAL = 8
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_.-]*"
 _PART = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z0-9_$][A-Za-z0-9+/_.=-]*)"""
-_LEX = re.compile(rf"""(?<![A-Za-z0-9_.-])["']?({_NAME})["']?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*({_PART}(?:[ \t]*[+.][ \t]*{_PART})*)""", re.A)
+# A type between name and '=': ``name: Type =`` with references, paths,
+# generics and unions, or ``name Type =`` after var or const or with a plain
+# type word.  ``Type name =`` stays with the name before the sign.
+_ARGS = r"""(?:<[^<>=\n"]{0,60}(?:<[^<>=\n"]{0,60}>[^<>=\n"]{0,60})*>|\[[^\[\]=\n"]{0,60}(?:\[[^\[\]=\n"]{0,60}\][^\[\]=\n"]{0,60})*\])"""
+_ATOM = rf"""(?:[&*]|'[a-z_]+[ \t]+|\[[0-9]*\]|(?:mut|dyn|const|readonly)[ \t]+)*(?:[A-Za-z_]\w*(?:(?:\.|::)[A-Za-z_]\w*)*|\[[^\[\]=\n"]{{1,60}}\]){_ARGS}*[?!]?"""
+_TYPE = rf"""{_ATOM}(?:[ \t]*\|[ \t]*{_ATOM})*"""
+_PLAIN_TYPE = r"(?:\*|\[\w*\])*(?:string|String|str|byte|bytes|rune|char|any|error|u?int(?:8|16|32|64)?|bool|float(?:32|64)|auto|object|std|unsigned|signed)\b"
+_MODIFIER = r"(?:public|private|protected|internal|static|final|readonly|const|constexpr|let|var|val|mut|export|def|new|return)\b"
+_AFTER_NAME = (rf"""(?:["']?[ \t]*[?!]?:[ \t]*{_TYPE}(?:[ \t]+=(?![=>])|[ \t]*=(?=["']))"""
+               rf"""|[ \t]+{_PLAIN_TYPE}[ \t]*=(?![=>])"""
+               r"""|["']?[ \t]*(?::=|=>|=(?!=)|:(?![:/])))""")
+_LEX = re.compile(rf"""(?<![A-Za-z0-9_.-])["']?(?:(?:var|const)[ \t]+(?!{_MODIFIER}|{_PLAIN_TYPE})(?P<go>[A-Za-z_]\w*)[ \t]+{_TYPE}[ \t]*=(?![=>])|(?!(?:{_MODIFIER}|{_PLAIN_TYPE})[ \t]+[A-Za-z_*\[])(?P<name>{_NAME}){_AFTER_NAME})[ \t]*(?P<value>{_PART}(?:[ \t]*[+.][ \t]*{_PART})*)""", re.A)
 _PARTS = re.compile(_PART, re.A)
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z", re.A)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
@@ -87,9 +99,9 @@ def lexed(text: str) -> list[Found]:
     uses: dict[str, list[str]] = {}
     order: list[str] = []
     for m in _LEX.finditer(text):
-        name = m[1]
+        name = m["go"] or m["name"]
         own, refs = [], []
-        for p in _PARTS.finditer(text, m.start(2), m.end(2)):
+        for p in _PARTS.finditer(text, m.start("value"), m.end("value")):
             a, b = p.span()
             if text[a] in "\"'":
                 own.append((a + 1, b - 1))

@@ -298,6 +298,32 @@ def test_secrets_constants_reach_names():
     assert "zX9kQ2mN8pL4" in found and "zX9kQ2mN8pL5" not in found
 
 
+KEY = "zX9kQ2mN8pL4"
+TYPED = [
+    f'client_secret: str = "{KEY}"', f'client_secret: Optional[str] = "{KEY}"', f'let clientSecret: String = "{KEY}"',
+    f'val clientSecret: String? = "{KEY}"', f'const CLIENT_SECRET: &str = "{KEY}";',
+    f"static CLIENT_SECRET: &'static str = \"{KEY}\";", f'var password string = "{KEY}"', f'\tpassword string = "{KEY}"',
+    f'const password pkg.Text = "{KEY}"', f"const apiKey: string = '{KEY}';", f'apiKey:string="{KEY}"',
+    f'apiKey?: string | null = "{KEY}"', f'apiKey: Map<string, Array<string>> = "{KEY}"',
+    f'String password = "{KEY}";', f'const std::string password = "{KEY}";', f'const char *password = "{KEY}";',
+    f'def f(n: int = 3, password: str = "{KEY}"):',
+]
+
+
+@pytest.mark.parametrize("text", TYPED)
+def test_secrets_typed_declarations(text):
+    assert [text[a:b] for a, _, b in secret_scan.lexed(text)] == [KEY]
+    assert KEY not in secret_scan.mask(text)
+    assert not secret_scan.lexed(text.replace("password", "colour").replace("lientSecret", "olour")
+                                 .replace("apiKey", "colour").replace("CLIENT_SECRET", "C").replace("client_secret", "c"))
+
+
+def test_secrets_typed_declarations_by_query(spark):
+    df = spark.createDataFrame(list(enumerate(TYPED)), "doc_id int, text string")
+    assert not [r for r in secret_scan.redact(df).collect() if KEY in r["text"]]
+    assert all(any(s["kind"] == "lexed" for s in r["spans"]) for r in secret_scan.findings(df).collect())
+
+
 def test_redact_keeps_rows_and_columns(odd, none):
     out = secret_scan.redact(odd)
     assert out.schema == odd.schema and out.count() == odd.count()
