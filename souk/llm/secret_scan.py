@@ -6,11 +6,13 @@ value), ``access`` (cloud access keys) and ``hex`` (long hex runs).
 Lexing: source and configuration syntax is read as name, sign and literal
 (``name = "x"``, ``name: x``, ``"name" => 'x'``, ``export NAME=x``), with a type
 between name and sign or not (``name: Type = "x"``, ``var name Type = "x"``), where a
-value may be a quoted literal, a bare word, another name, or such parts joined
-by ``+`` or ``.``.  Names bound to literals are constants; a name whose value
-is another name takes that constant's literals.  Each name is split into its
-words, which give it a sensitivity; a literal scores the sensitivity of the
-most sensitive name that it reaches, times how much it looks like a key.
+value may be a quoted literal, a bare word, another name (also ``$NAME`` and
+``${NAME}``), or such parts joined by ``+`` or ``.``.  Any bare word that the
+text assigns is a reference.  A name takes the literals of the names it refers
+to; a concatenation is scored as folded and its parts are reported.  Each name
+is split into its words, which give it a sensitivity; a literal scores the
+sensitivity of the most sensitive name that it reaches, times how much it
+looks like a key.
 Literals that reach the threshold are spans of kind ``lexed``.
 
 Null and empty texts have no spans.  Repeated rows give repeated results.
@@ -24,6 +26,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,21 +51,28 @@ THRESHOLD = 0.5
 MIN_LITERAL = 8
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_.-]*"
-_PART = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z0-9_$][A-Za-z0-9+/_.=-]*)"""
+# A bare value goes on up to white space, a quote, comma or semicolon.
+_PART = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z0-9_$!@#%^~*&?][^\s"',;]*)"""
+_JOIN = r"(?:[ \t]*[+.][ \t]*|(?<=\+)[ \t]*|(?<=\.))"
 # A type between name and '=': ``name: Type =`` with references, paths,
 # generics and unions, or ``name Type =`` after var or const or with a plain
 # type word.  ``Type name =`` stays with the name before the sign.
 _ARGS = r"""(?:<[^<>=\n"]{0,60}(?:<[^<>=\n"]{0,60}>[^<>=\n"]{0,60})*>|\[[^\[\]=\n"]{0,60}(?:\[[^\[\]=\n"]{0,60}\][^\[\]=\n"]{0,60})*\])"""
-_ATOM = rf"""(?:[&*]|'[a-z_]+[ \t]+|\[[0-9]*\]|(?:mut|dyn|const|readonly)[ \t]+)*(?:[A-Za-z_]\w*(?:(?:\.|::)[A-Za-z_]\w*)*|\[[^\[\]=\n"]{{1,60}}\]){_ARGS}*[?!]?"""
+_ATOM = rf"""(?:[&*]|'[a-z_]+[ \t]+|\[[0-9]*\]|(?:mut|dyn|const|readonly)[ \t]+){{0,4}}(?:[A-Za-z_]\w*(?:(?:\.|::)[A-Za-z_]\w*)*|\[[^\[\]=\n"]{{1,60}}\]){_ARGS}{{0,4}}[?!]?"""
 _TYPE = rf"""{_ATOM}(?:[ \t]*\|[ \t]*{_ATOM})*"""
 _PLAIN_TYPE = r"(?:\*|\[\w*\])*(?:string|String|str|byte|bytes|rune|char|any|error|u?int(?:8|16|32|64)?|bool|float(?:32|64)|auto|object|std|unsigned|signed)\b"
 _MODIFIER = r"(?:public|private|protected|internal|static|final|readonly|const|constexpr|let|var|val|mut|export|def|new|return)\b"
 _AFTER_NAME = (rf"""(?:["']?[ \t]*[?!]?:[ \t]*{_TYPE}(?:[ \t]+=(?![=>])|[ \t]*=(?=["']))"""
                rf"""|[ \t]+{_PLAIN_TYPE}[ \t]*=(?![=>])"""
                r"""|["']?[ \t]*(?::=|=>|=(?!=)|:(?![:/])))""")
-_LEX = re.compile(rf"""(?<![A-Za-z0-9_.-])["']?(?:(?:var|const)[ \t]+(?!{_MODIFIER}|{_PLAIN_TYPE})(?P<go>[A-Za-z_]\w*)[ \t]+{_TYPE}[ \t]*=(?![=>])|(?!(?:{_MODIFIER}|{_PLAIN_TYPE})[ \t]+[A-Za-z_*\[])(?P<name>{_NAME}){_AFTER_NAME})[ \t]*(?P<value>{_PART}(?:[ \t]*[+.][ \t]*{_PART})*)""", re.A)
+_LEX = re.compile(rf"""(?<![A-Za-z0-9_.-])["']?(?:(?:var|const)[ \t]+(?!{_MODIFIER}|{_PLAIN_TYPE})(?P<go>[A-Za-z_]\w*)[ \t]+{_TYPE}[ \t]*=(?![=>])|(?!(?:{_MODIFIER}|{_PLAIN_TYPE})[ \t]+[A-Za-z_*\[])(?P<name>{_NAME}){_AFTER_NAME})[ \t]*(?P<value>{_PART}(?:{_JOIN}{_PART})*)""", re.A)
 _PARTS = re.compile(_PART, re.A)
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z", re.A)
+_REFERENCE = re.compile(r"[$@]?\{?([A-Za-z_][A-Za-z0-9_.-]*)\}?[)\]}]*\Z", re.A)
+_CALL = re.compile(r"[A-Za-z_][A-Za-z0-9_.:]*(?:[(\[]|[(\[].*[)\]])\Z", re.A)
+_INSIDE = re.compile(r"passphrase|password|passwd|credentials|credential|apikey|secret(?!ar|ion)|token(?!i[sz])|bearer|pwd"
+                     r"|private|signing|encryption|session|access|client|auth|salt|api|key")
+_STRONG = {"passphrase", "password", "passwd", "credentials", "credential", "apikey", "secret", "token", "bearer", "pwd"}
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 Found = tuple[int, int, int]  # start, kind, end
@@ -76,58 +86,127 @@ def base(text: str) -> list[Found]:
     return sorted(out)
 
 
+@lru_cache(maxsize=1 << 14)
 def sensitivity(name: str) -> float:
-    """How sensitive a target name is, 0 to 1."""
-    words = [w.lower() for w in _WORDS.findall(name)]
-    return min(1.0, sum(SENSITIVE.get(w, 0.0) for w in set(words)))
+    """How sensitive a target name is, 0 to 1.  In joined names (``dbpwd``)
+    words of the list count if one of them is telling by itself or they make
+    up the whole name."""
+    words: set[str] = set()
+    for w in (w.lower() for w in _WORDS.findall(name)):
+        inside = [w] if w in SENSITIVE else _INSIDE.findall(w)
+        if not _STRONG.isdisjoint(inside) or "".join(inside) == w:
+            words.update(inside)
+    return min(1.0, sum(SENSITIVE.get(w, 0.0) for w in words))
 
 
-def looks_random(value: str) -> float:
-    """Entropy of the characters against that of a random key, 0 to 1;
-    digits or mixed case are needed for more than half."""
-    if len(value) < MIN_LITERAL or any(c.isspace() for c in value):
+def looks_random(value: str | Counter) -> float:
+    """Entropy of the characters (a text, or their counts) against that of a
+    random key, 0 to 1; digits or mixed case are needed for more than half."""
+    chars = Counter(value)
+    n = sum(chars.values())
+    if n < MIN_LITERAL or any(c.isspace() for c in chars):
         return 0.0
-    n = len(value)
-    bits = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    mixed = any(c.isdigit() for c in value) or (value != value.lower() and value != value.upper())
+    bits = -sum(c / n * math.log2(c / n) for c in chars.values())
+    mixed = any(c.isdigit() for c in chars) or (any(c != c.lower() for c in chars) and any(c != c.upper() for c in chars))
     return min(1.0, bits / 3.0) * (1.0 if mixed else 0.5)
 
 
-def lexed(text: str) -> list[Found]:
-    """Literals that reach a sensitive name, directly or by constants."""
-    literals: dict[str, list[tuple[int, int]]] = {}
-    uses: dict[str, list[str]] = {}
-    order: list[str] = []
-    for m in _LEX.finditer(text):
-        name = m["go"] or m["name"]
-        own, refs = [], []
+Part = tuple[int, int] | str  # a literal's place, or the name referred to
+
+
+def _expressions(text: str) -> list[tuple[str, list[Part]]]:
+    """Each assignment's name and the parts of its value."""
+    found = list(_LEX.finditer(text))
+    assigned = {m["go"] or m["name"] for m in found}
+
+    def refers(word: str) -> str | None:
+        m = _REFERENCE.match(word)
+        name = m and (m[1] if m[1] in assigned else m[1].strip("."))
+        return name if name in assigned else None
+
+    out = []
+    for m in found:
+        parts: list[Part] = []
         for p in _PARTS.finditer(text, m.start("value"), m.end("value")):
             a, b = p.span()
             if text[a] in "\"'":
-                own.append((a + 1, b - 1))
-            elif _IDENTIFIER.match(p[0]) and not any(c.isdigit() for c in p[0]):
-                refs.append(p[0].strip("."))
-            else:
-                own.append((a, b))
-        literals.setdefault(name, []).extend(own)
-        uses.setdefault(name, []).extend(refs)
-        order.append(name)
-    if not order:
-        return []
-    found: dict[tuple[int, int], float] = {}
-    for name in dict.fromkeys(order):
-        weight = sensitivity(name)
-        if weight <= 0:
-            continue
-        reached, seen, front = [], {name}, [name]
+                parts.append((a + 1, b - 1))
+                continue
+            word = p[0]
+            # A sign that joins the next part is no part of the word.
+            while b < m.end("value") and word[-1:] in ("+", "."):
+                word, b = word[:-1], b - 1
+            names = [refers(word)]
+            if names[0] is None and ("+" in word or "." in word):
+                names = next((x for x in ([refers(w) for w in word.split(sign)] for sign in "+.") if len(x) > 1 and all(x)), names)
+            if all(names):
+                parts += names
+            elif not _CALL.match(word) and (not _IDENTIFIER.match(word) or any(c.isdigit() for c in word)):
+                parts.append((a, b))
+        out.append((m["go"] or m["name"], parts))
+    return out
+
+
+def _folded(text: str, rows: list[tuple[str, list[Part]]]) -> list[Counter]:
+    """Character counts of each value with its references followed: to the
+    assignment last before it, else to the first one as it stands alone."""
+    first: dict[str, Counter] = {}
+    for _ in range(2):
+        latest: dict[str, Counter] = {}
+        out = []
+        for name, parts in rows:
+            chars: Counter = Counter()
+            for p in parts:
+                chars.update(latest.get(p, first.get(p, {})) if isinstance(p, str) else text[p[0]:p[1]])
+            out.append(chars)
+            latest[name] = chars
+        first = {name: c for (name, _), c in zip(reversed(rows), reversed(out))}
+    return out
+
+
+def lexed(text: str) -> list[Found]:
+    """Literals that reach a sensitive name, directly or by constants."""
+    rows = _expressions(text)
+    of: dict[str, list[int]] = {}
+    for i, (name, _) in enumerate(rows):
+        of.setdefault(name, []).append(i)
+    weights = {name: w for name in of if (w := sensitivity(name)) > 0}
+    # Names from the most sensitive on: each passes its weight to those it
+    # refers to, once.
+    reached: dict[str, float] = {}
+    for name in sorted(weights, key=weights.get, reverse=True):
+        front = [name]
         while front:
-            reached += [x for n in front for x in literals.get(n, ())]
-            front = [r for n in front for r in uses.get(n, ()) if r not in seen and r in literals]
-            seen.update(front)
-        for a, b in reached:
-            score = weight * looks_random(text[a:b])
-            if score >= THRESHOLD:
-                found[a, b] = max(score, found.get((a, b), 0.0))
+            n = front.pop()
+            if n not in reached:
+                reached[n] = weights[name]
+                front += [p for i in of[n] for p in rows[i][1] if isinstance(p, str)]
+    if not reached:
+        return []
+    folded: list[Counter] = []
+    if any(len(rows[i][1]) > 1 for n in reached for i in of[n]):
+        folded = _folded(text, rows)
+    found: set[tuple[int, int]] = set()
+    whole: set[str] = set()
+    for name, weight in reached.items():
+        for i in of[name]:
+            parts = rows[i][1]
+            all_of_it = len(parts) > 1 and weight * looks_random(folded[i]) >= THRESHOLD
+            for p in parts:
+                if isinstance(p, str):
+                    if all_of_it:
+                        whole.add(p)
+                elif p[0] < p[1] and (all_of_it or weight * looks_random(text[p[0]:p[1]]) >= THRESHOLD):
+                    found.add(p)
+    # Every literal behind a folded value is a part of it.
+    front, seen = list(whole), set()
+    while front:
+        n = front.pop()
+        if n not in seen:
+            seen.add(n)
+            for i in of[n]:
+                found.update(p for p in rows[i][1] if not isinstance(p, str) and p[0] < p[1])
+                front += [p for p in rows[i][1] if isinstance(p, str)]
     return [(a, 3, b) for a, b in sorted(found)]
 
 

@@ -324,6 +324,20 @@ def test_secrets_typed_declarations_by_query(spark):
     assert all(any(s["kind"] == "lexed" for s in r["spans"]) for r in secret_scan.findings(df).collect())
 
 
+@pytest.mark.parametrize("text, parts", [
+    (f'S3_VALUE = "{KEY}"; client_secret = S3_VALUE', [KEY]),
+    (f"key2='{KEY}'\npassword=$key2", [KEY]), (f"V='{KEY}'\npassword=${{V}}", [KEY]), (f"V='{KEY}'\nf(password=V)", [KEY]),
+    ('A = "abc12"; B = "def34x"; password = A+B', ["abc12", "def34x"]), ('password = "abc12" + "def34x"', ["abc12", "def34x"]),
+    ('A = "abc12"\npassword = A+"def34x"', ["abc12", "def34x"]), ('password = A + B; A = "abc12"; B = "def34x"', ["abc12", "def34x"]),
+    ("db_pwd=Zx9!kQ2mN8", ["Zx9!kQ2mN8"]), ("db_pwd=!Zx9kQ2@mN8, x", ["!Zx9kQ2@mN8"]),
+    (f'dbpwd = "{KEY}"', [KEY]), (f'secretkey = "{KEY}"', [KEY]), (f'authtoken = "{KEY}"', [KEY]),
+    (f'monkey = "{KEY}"', []), (f'secretary = "{KEY}"', []), ('password = os.getenv("X")', []), ("a = a + a; password = a", []),
+])
+def test_secrets_references_and_folded_values(text, parts):
+    assert [text[a:b] for a, _, b in secret_scan.lexed(text)] == parts
+    assert not any(p in secret_scan.mask(text) for p in parts)
+
+
 def test_redact_keeps_rows_and_columns(odd, none):
     out = secret_scan.redact(odd)
     assert out.schema == odd.schema and out.count() == odd.count()
