@@ -274,6 +274,15 @@ def test_topk_ties_bad_vectors_and_blocks(spark):
     assert nra_topk.top_k(df.where("false"), df.where("false")).count() == 0
 
 
+def test_topk_repeated_query_ids(spark):
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "vec_id long, embedding array<double>")
+    for rows in ([(50, None), (50, [1.0, 0.0]), (50, [2.0, 0.0])], [(50, [2.0, 0.0]), (50, [1.0, 0.0]), (50, None)]):
+        queries = spark.createDataFrame(rows, vectors.schema).coalesce(1)
+        got = nra_topk.top_k(vectors, queries, k=2).collect()
+        assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == [
+            (50, 1, 9, 9 * 65536), (50, 2, 8, 8 * 65536)]
+
+
 # 7
 
 def test_secrets_base_by_brute_force(spark, docs):
