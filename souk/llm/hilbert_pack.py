@@ -92,13 +92,16 @@ class Encoder:
     The pattern that cuts a text into words never joins across a space that
     has a non-space on one side, so such a text is encoded word by word
     (with the space before it) and repeated words come from a bounded cache.
-    Texts with a space amid white space are encoded whole."""
+    Texts with a space amid white space, and texts that hold the literal of an
+    added token, are encoded whole."""
 
     _WHOLE = re.compile(r"\s (?:\s|\Z)")
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        #: A text with an added token's literal is encoded whole as well.
+        self.unsplit = re.compile("|".join([self._WHOLE.pattern, *map(re.escape, added)]))
         self.words: dict[str, bytes] = {}
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.spaced[[i for piece, i in self.tokenizer.get_vocab().items() if piece.startswith(_SPACE_SIGN)]] = True
@@ -125,7 +128,7 @@ class Encoder:
         self.words.update(zip(rest, self._whole([" " + w for w in rest]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [None if self._WHOLE.search(t) else t.split(" ") for t in texts]
+        parts = [None if self.unsplit.search(t) else t.split(" ") for t in texts]
         used = set().union(*[p[1:] for p in parts if p])
         need = used - self.words.keys()
         if len(self.words) + len(need) > _CACHE_WORDS:  # what these texts use stays

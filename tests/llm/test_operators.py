@@ -146,6 +146,18 @@ def test_pieces_cover_every_token_once(odd, docs, none):
         assert got == want
 
 
+def test_packing_encodes_added_tokens_as_the_plain_tokenizer():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), hilbert_pack.Encoder(path)
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in added
+    rows = [f"one two{x}three four {x} five" for x in added] + ["<|endoftext|>", "one <|endof text|> two", "plain words"]
+    for _ in range(2):
+        assert encoder.encode(rows) == [
+            np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in rows]
+    assert 50256 in tokenizer.encode(rows[0], add_special_tokens=False).ids
+
+
 def test_hilbert_steps_to_neighbours():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     key = hilbert_pack.hilbert(grid, 3)
