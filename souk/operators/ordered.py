@@ -1,4 +1,5 @@
-"""Skew-safe ordered window operators: rank, row number, running sum, lag/lead.
+"""Skew-safe ordered window operators: rank, row number, running sum and
+maximum, moving sums, lag/lead.
 
 A plain ``Window.partitionBy(g).orderBy(k)`` sends every row of group ``g``
 to one task.  That is fine while groups are small, but one customer (or the
@@ -6,32 +7,33 @@ single group of a global ranking) may hold a large share of all rows.  The
 operators here give the same answer as the plain window and bound the rows a
 task handles:
 
-1. ``segments``: per group, count rows and take min/max of a numeric value
-   that is monotone in the sort order (the first key, or a date/timestamp
-   first key plus a scaled second key).  Groups that need more than one
-   range ("hot" groups: ``k = ceil(2n / max_rows) > 1``; at most
-   ``2N / max_rows`` of them, so the small table is broadcast with a proven
-   bound) get ``k`` equal-width ranges over that value; other groups keep
-   one segment.  Equal sort keys
-   always fall in the same segment, and segment order follows sort order.
+1. ``segments``: a hash of the whole row picks a sample of about
+   ``64 / max_rows`` of the rows.  Per group the sample, in sort order, gives
+   the quantiles: every 32nd sampled row is a cut.  A row's segment is the
+   number of cuts not after it, found by binary search.  Cuts are whole sort
+   keys plus the row hash, compared as Spark compares them, so any sortable
+   type works (strings, NaN, infinities, NULLs, mixed directions), rows of
+   one tied key are spread over segments too, and segment order follows sort
+   order.  Groups without cuts keep one segment.
 2. The window runs per ``(group, segment)``.
-   A range that still holds too many rows (far values stretching the
-   range) is split once more over its own min/max.
-3. Per ``(group, segment)`` of hot groups, a small summary (row count, total,
+3. Per ``(group, segment)`` of split groups, a small summary (row count, total,
    first/last value) is accumulated over earlier segments with a window
-   partitioned by group (at most a few thousand segments per group) and
-   joined back to correct the local results.
-
-The result is exact for any choice of ranges; the ranges only affect
-balance.  Nothing is collected to the driver and no plan depends on
-``spark_partition_id``, so recomputation after an executor loss gives the
-same rows.
+   partitioned by group and joined back to correct the local results.
+
+The result is exact for any choice of cuts; they only affect balance.  The
+sample depends on row contents alone (no random numbers, partition ids or
+merge order), so every branch of a plan and every recomputation after an
+executor loss cuts alike.  Nothing is collected to the driver, no join is
+hinted (the cuts grow as ``2N / max_rows``; adaptive execution broadcasts
+them while they are small and splits a skewed join otherwise) and the number
+of segments has no cap.  Rows equal in every column stay together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,13 +43,14 @@ from pyspark.sql import types as T
 # session with the SQL conf ``souk.window.maxRows`` (or per call).
 DEFAULT_MAX_ROWS = 5_000_000
 MAX_ROWS_CONF = "souk.window.maxRows"
-# Ranges per hot group = ceil(OVERSPLIT * n / max_rows), at most MAX_SEGMENTS.
-OVERSPLIT = 2
-MAX_SEGMENTS = 4096
+# Sampled rows between two cuts.  A segment holds max_rows / 2 rows on
+# average; the chance of one with twice that many is below 1e-4.
+SAMPLES_PER_SEGMENT = 32
 
 SEG = "_seg"
 GK = "_gk"      # the group key as one non-NULL struct: NULL-safe with plain equality
-_K, _LO, _HI = "_seg_k", "_seg_lo", "_seg_hi"
+TIE = "_tie"    # hash of the row: orders rows of equal sort keys
+_K, _CUTS = "_seg_k", "_seg_cuts"
 
 
 @dataclass(frozen=True)
@@ -79,36 +82,6 @@ def resolve_max_rows(df: DataFrame, max_rows: int | None) -> int:
     return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
 
 
-def _monotone_value(schema: T.StructType, name: str) -> Column:
-    """A double that never decreases when ``name`` increases."""
-    exact = _exact_integer_value(schema, name)
-    if exact is not None:
-        return exact
-    dtype = schema[name].dataType
-    if isinstance(dtype, T.NumericType):
-        return F.col(name).cast("double")
-    raise TypeError(f"cannot split on a {dtype.simpleString()} sort key: {name}")
-
-
-def _exact_integer_value(schema: T.StructType, name: str) -> Column | None:
-    """For dates and timestamps: an integer-valued double that strictly
-    increases with ``name`` (days, or microseconds since the epoch, computed
-    without any time zone for TIMESTAMP_NTZ).  ``None`` for other types."""
-    dtype = schema[name].dataType
-    c = F.col(name)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        secs = F.extract(F.lit("SECOND"), c)                       # decimal(8,6)
-        micros = ((F.unix_date(F.to_date(c)).cast("long") * 86400
-                   + F.hour(c) * 3600 + F.minute(c) * 60) * 1_000_000
-                  + (secs * 1_000_000).cast("long"))
-        return micros.cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    return None
-
-
 def _sum_type(dtype: T.DataType) -> T.DataType:
     """Result type of ``sum`` over ``dtype`` (Spark's rule)."""
     if isinstance(dtype, T.DecimalType):
@@ -118,117 +91,97 @@ def _sum_type(dtype: T.DataType) -> T.DataType:
     return T.DoubleType()
 
 
+def _hashable(dtype: T.DataType) -> bool:
+    return not dtype.simpleString().startswith(("map", "variant"))
+
+
+def _with_tie(order: Sequence[Sort]) -> list[Sort]:
+    """The order made total (up to equal rows) by the row hash."""
+    return [*order, Sort(TIE, order[-1].desc)]
+
+
+def _blocks(order: Sequence[Sort]) -> list[tuple[bool, list[str]]]:
+    """Neighbouring sort keys of one direction: each block compares as one struct."""
+    out: list[tuple[bool, list[str]]] = []
+    for s in order:
+        if not out or out[-1][0] != s.desc:
+            out.append((s.desc, []))
+        out[-1][1].append(s.col)
+    return out
+
+
+def _not_after(cut: Column, row: Column, directions: Sequence[bool]) -> Column:
+    """``cut`` sorts before ``row`` or equal to it.  Struct comparison puts
+    NULL fields first, and descending order is its exact reverse."""
+    def step(rest: Column | None, i: int) -> Column:
+        a, b = cut[f"b{i}"], row[f"b{i}"]
+        before = a > b if directions[i] else a < b
+        return before | (a == b) if rest is None else before | ((a == b) & rest)
+    return reduce(step, reversed(range(len(directions))), None)
+
+
+def _cuts_before(cuts: Column, row: Column, directions: Sequence[bool]) -> Column:
+    """Number of ``cuts`` (sorted) not after ``row``, by binary search."""
+    powers = F.filter(F.array(*[F.lit(1 << i) for i in range(30, -1, -1)]), lambda p: p <= F.size(cuts))
+    return F.aggregate(powers, F.lit(0), lambda at, p: F.when(
+        (at + p <= F.size(cuts)) & _not_after(F.get(cuts, at + p - 1), row, directions), at + p).otherwise(at))
+
+
 def _segments(df: DataFrame, schema: T.StructType, partition: Sequence[str],
               order: Sequence[Sort], max_rows: int) -> DataFrame:
-    first = order[0]
     # One struct column stands for the group: struct equality treats NULL
     # fields as equal, so a NULL group key is a group like any other, and
     # window partitioning, aggregation and joins all use the same plain key
     # (the correction join then reuses the window's partitioning).
-    base = df.withColumn(GK, F.struct(*partition) if partition else F.lit(0))
-    v1 = _monotone_value(schema, first.col)
-    composite = (len(order) > 1 and order[1].desc == first.desc
-                 and _exact_integer_value(schema, first.col) is not None
-                 and isinstance(schema[order[1].col].dataType,
-                                (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)))
-    v2 = _monotone_value(schema, order[1].col) if composite else None
-    n_segs = F.least(F.ceil(F.count(F.lit(1)) * OVERSPLIT / max_rows), F.lit(MAX_SEGMENTS))
-    aggs = [n_segs.cast("long").alias(_K), F.min(v1).alias(_LO), F.max(v1).alias(_HI)]
-    if composite:
-        aggs += [F.min(v2).alias("_seg_lo2"), F.max(v2).alias("_seg_hi2")]
-    # Hot groups only: at most N / max_rows rows, a proven bound, so
-    # broadcasting is safe.  The group key is never NULL, so no not-null
-    # filter is inferred into either branch and both read the same upstream
-    # shuffle (Spark reuses the exchange instead of recomputing it).
-    stats = base.groupBy(GK).agg(*aggs).where(F.col(_K) > 1)
-    joined = base.join(F.broadcast(stats), on=GK, how="left")
-    k = F.col(_K)
-    lo, hi = F.col(_LO), F.col(_HI)
-    if composite:
-        span = F.col("_seg_hi2") - F.col("_seg_lo2") + 1
-        v = v1 + F.coalesce((v2 - F.col("_seg_lo2")) / span, F.lit(0.0))
-        bucket = F.width_bucket(v, lo, hi + 1, k)                 # v < hi + 1 always
-    else:
-        v = v1
-        bucket = F.when(lo == hi, F.lit(1)).otherwise(F.width_bucket(v, lo, hi, k))
-    ordered = (k + 2 - bucket) if first.desc else bucket       # 1 .. k+1 in sort order
-    null_seg = (k + 2) if first.desc else F.lit(0)            # NULLs last / first
-    seg = (F.when(k.isNull(), F.lit(0))
-           .when(v1.isNull(), null_seg)
-           .otherwise(ordered)).cast("long")
+    base = df.withColumns({
+        GK: F.struct(*partition) if partition else F.lit(0),
+        TIE: F.xxhash64(*[f.name for f in schema.fields if _hashable(f.dataType)])})
+    total = _with_tie(order)
+    blocks = _blocks(total)
+    directions = [d for d, _ in blocks]
+    key = F.struct(*[F.struct(*cols).alias(f"b{i}") for i, (_, cols) in enumerate(blocks)])
+    # every / of = the sampled share of rows; all rows when segments are tiny
+    of = max_rows
+    every = min(of, 2 * SAMPLES_PER_SEGMENT)
+    step = max(1, every * max_rows // (2 * of))
+    # Equal rows share a hash: counted before they meet, they stay one entry.
+    sample = (base.where(F.pmod(F.xxhash64(TIE, F.lit("sample")), F.lit(of)) < every)
+              .groupBy(GK, *dict.fromkeys(s.col for s in total)).agg(F.count(F.lit(1)).alias("_n")))
+    by_group = Window.partitionBy(GK)
+    upto = F.sum("_n").over(by_group.orderBy(*[s.column() for s in total]).rowsBetween(Window.unboundedPreceding, 0))
+    cuts = (sample.withColumns({"_upto": upto, "_all": F.sum("_n").over(by_group)})
+            .where((F.col("_all") > 2 * step)
+                   & (F.floor(F.col("_upto") / step) > F.floor((F.col("_upto") - F.col("_n")) / step)))
+            .groupBy(GK)
+            .agg(F.transform(F.sort_array(F.collect_list(F.struct("_upto", key.alias("_cut")))),
+                             lambda c: c["_cut"]).alias(_CUTS)))
     keep = [F.col(f.name) for f in schema.fields]
-    # Rows whose first key is NULL form one band; with a second sort key they
-    # are ordered by it, so level 2 may split the band by that key (in the
-    # second key's direction).
-    second = order[1] if len(order) > 1 else None
-    v2_band = (_monotone_value(schema, second.col)
-               if second is not None and isinstance(
-                   schema[second.col].dataType,
-                   (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-               else None)
-    band_v = F.when(k.isNotNull() & v1.isNotNull(), v)
-    if v2_band is not None:
-        band_v = band_v.when(k.isNotNull(), v2_band)
-    level1 = joined.select(*keep, F.col(GK), k, seg.alias("_s1"),
-                           band_v.alias("_v"), v1.isNull().alias("_null1"))
-    # Level 2: equal-width ranges are unbalanced when a few far values
-    # stretch the range.  A range that still holds more than max_rows / 2
-    # rows is split again over its own min/max (bounded like level 1: at
-    # most 2N / max_rows such ranges, so broadcasting is safe).
-    n2 = F.least(F.ceil(F.count(F.lit(1)) * OVERSPLIT / max_rows), F.lit(MAX_SEGMENTS))
-    stats2 = (level1.where(F.col("_v").isNotNull())
-              .groupBy(GK, "_s1")
-              .agg(n2.cast("long").alias("_k2"), F.min("_v").alias("_lo2"), F.max("_v").alias("_hi2"))
-              .where(F.col("_k2") > 1))
-    joined2 = level1.join(F.broadcast(stats2), on=[GK, "_s1"], how="left")
-    k2, lo2, hi2 = F.col("_k2"), F.col("_lo2"), F.col("_hi2")
-    b2 = F.when(lo2 == hi2, F.lit(1)).otherwise(F.width_bucket(F.col("_v"), lo2, hi2, k2))
-    band_desc = second.desc if second is not None else first.desc
-    seg2 = (F.when(k2.isNull(), F.lit(0))
-            # NULL second key inside the NULL band: first ascending, last descending
-            .when(F.col("_v").isNull(), (k2 + 2) if band_desc else F.lit(0))
-            .when(F.col("_null1"), (k2 + 2 - b2) if band_desc else b2)
-            .otherwise((k2 + 2 - b2) if first.desc else b2))
-    final = (F.col("_s1") * (MAX_SEGMENTS + 2) + seg2).cast("long")
-    return joined2.select(*keep, F.col(GK), k, final.alias(SEG))
+    seg = F.when(F.col(_CUTS).isNull(), F.lit(0)).otherwise(_cuts_before(F.col(_CUTS), key, directions))
+    # ``_seg_k``: number of cuts, NULL for groups that stay whole
+    return (base.join(cuts, on=GK, how="left")
+            .select(*keep, F.col(GK), F.col(TIE), seg.cast("long").alias(SEG),
+                    F.when(F.col(_CUTS).isNotNull(), F.size(_CUTS)).alias(_K)))
 
 
 def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort] | Sort,
              max_rows: int | None = None) -> DataFrame:
-    """``df`` plus the group key ``_gk``, the segment ``_seg`` (ordered like
-    ``order`` within each group) and the hot-group marker ``_seg_k`` (NULL
-    for groups that stay whole).
-
-    Ranges are cut on one monotone value.  When the first sort key is a date
-    or timestamp (exact integer value ``v1``) and the second key goes the same
-    direction, the value is ``v1 + (v2 - min2) / (max2 - min2 + 1)``: still
-    monotone in the full order, so a hot group whose rows share one date is
-    split by the second key too.  Rows with equal keys always share a range.
-    A group is hot when it needs more than one range, i.e. holds more than
-    ``max_rows / 2`` rows."""
+    """``df`` plus the group key ``_gk``, the row hash ``_tie``, the segment
+    ``_seg`` (ordered like ``order``, then ``_tie``, within each group) and
+    the split marker ``_seg_k`` (NULL for groups that stay whole: those of up
+    to about ``max_rows`` rows)."""
     order = [order] if isinstance(order, Sort) else list(order)
     return _segments(df, df.schema, partition, order, resolve_max_rows(df, max_rows))
 
 
-def _prior(local: DataFrame, aggs: dict[str, Column],
-           carry: dict[str, str] | None = None) -> DataFrame:
-    """Per (group, segment) of hot groups: sums of ``aggs`` over all earlier
-    segments (``_prior<name>``), and for ``carry`` (output -> agg name) the
-    value of the nearest earlier (``lag``) or, for outputs named ``_next*``,
-    later segment.
+def _per_segment(local: DataFrame, aggs: dict[str, Column]) -> DataFrame:
+    """One row per (group, segment) of split groups."""
+    return local.where(F.col(_K).isNotNull()).groupBy(GK, SEG).agg(*[a.alias(n) for n, a in aggs.items()])
+
 
-    Only hot rows are aggregated; the result has one row per segment of a hot
-    group (bounded), and its window is partitioned by group."""
-    per = local.where(F.col(_K).isNotNull()).groupBy(GK, SEG).agg(
-        *[a.alias(n) for n, a in aggs.items()])
+def _earlier():
+    """Segments of a group in order, and the frame of those before this one."""
     w = Window.partitionBy(GK).orderBy(SEG)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    carried = set((carry or {}).values())
-    cols = [F.col(GK), F.col(SEG)]
-    cols += [F.sum(n).over(before).alias("_prior" + n) for n in aggs if n not in carried]
-    for out, n in (carry or {}).items():
-        cols.append((F.lead(n) if out.startswith("_next") else F.lag(n)).over(w).alias(out))
-    return per.select(*cols)
+    return w, w.rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _window(order: Sequence[Sort]):
@@ -251,65 +204,146 @@ def _corrected(local: DataFrame, prior: DataFrame, keep: Sequence[str],
 def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort], out: str,
                 method: str = "rank", max_rows: int | None = None) -> DataFrame:
     """``rank()`` / ``row_number()`` over ``partitionBy(partition).orderBy(order)``
-    as a long column ``out``.  For ``row_number`` the order must be total."""
-    fn = {"rank": F.rank(), "row_number": F.row_number()}[method]
+    as a long column ``out``.
+
+    A tied key may span segments: its rank is then the one at which the tie
+    began, carried over the segments that hold nothing else.  ``row_number``
+    breaks ties by the row hash."""
+    if method not in ("rank", "row_number"):
+        raise ValueError("method must be rank or row_number")
     schema = df.schema
     keep = [f.name for f in schema.fields]
-    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumn(
-        out, fn.over(_window(order)))
-    prior = _prior(local, {"_c": F.count(F.lit(1))})
-    fix = (F.col(out) + F.coalesce(F.col("_prior_c"), F.lit(0))).cast("long")
-    return _corrected(local, prior, [*keep, out], {out: fix})
+    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows))
+    w, before = _earlier()
+    rows_before = F.coalesce(F.sum("_c").over(before), F.lit(0))
+    if method == "row_number":
+        local = local.withColumn(out, F.row_number().over(_window(_with_tie(order))))
+        prior = (_per_segment(local, {"_c": F.count(F.lit(1))})
+                 .select(GK, SEG, rows_before.alias("_seg_before")))
+        fix = F.col(out) + F.coalesce("_seg_before", F.lit(0))
+        return _corrected(local, prior, [*keep, out], {out: fix.cast("long")})
+    local = local.withColumn(out, F.rank().over(_window(order)))
+    key = F.struct(*[s.col for s in order])
+    per = _per_segment(local, {"_c": F.count(F.lit(1)), "_first": F.min_by(key, F.col(out)),
+                               "_last": F.max_by(key, F.col(out)), "_top": F.max(out)})
+    prior = (per.withColumns({"_seg_before": rows_before, "_seg_goes_on": F.lag("_last").over(w).eqNullSafe(F.col("_first"))})
+             # the rank of the segment's last key, where that tie began here
+             .withColumn("_seg_began", F.when(~(F.col("_seg_goes_on") & F.col("_first").eqNullSafe(F.col("_last"))),
+                                          F.col("_seg_before") + F.col("_top")))
+             .withColumn("_seg_tie_rank", F.last("_seg_began", ignorenulls=True).over(before))
+             .select(GK, SEG, "_seg_before", F.when(F.col("_seg_goes_on"), F.col("_seg_tie_rank")).alias("_seg_carry")))
+    fix = (F.when((F.col(out) == 1) & F.col("_seg_carry").isNotNull(), F.col("_seg_carry"))
+           .otherwise(F.col(out) + F.coalesce("_seg_before", F.lit(0))))
+    return _corrected(local, prior, [*keep, out], {out: fix.cast("long")})
+
+
+def running_sums(df: DataFrame, sums: dict[str, str], partition: Sequence[str], order: Sequence[Sort],
+                 exclusive: bool = False, max_rows: int | None = None) -> DataFrame:
+    """``sum(value)`` for each ``out: value`` of ``sums`` over rows from the
+    group start to the current row (``exclusive``: to the previous row; NULL
+    when there is none)."""
+    schema = df.schema
+    keep = [f.name for f in schema.fields]
+    frame = _window(_with_tie(order)).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns(
+        {out: F.sum(value).over(frame) for out, value in sums.items()})
+    _, earlier = _earlier()
+    parts = {f"_seg_sum{i}": value for i, value in enumerate(sums.values())}
+    prior = (_per_segment(local, {n: F.sum(value) for n, value in parts.items()})
+             .select(GK, SEG, *[F.sum(n).over(earlier).alias(n) for n in parts]))
+    fixes = {}
+    for (out, value), n in zip(sums.items(), parts):
+        # while a segment has summed no value yet (its first values are NULL, or
+        # the frame is still empty) the total of the previous segments stands
+        total = F.coalesce(F.col(out) + F.coalesce(F.col(n), F.lit(0)), F.col(n))
+        fixes[out] = total.cast(_sum_type(schema[value].dataType))
+    return _corrected(local, prior, [*keep, *sums], fixes)
 
 
 def running_sum(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort],
                 out: str, exclusive: bool = False,
                 max_rows: int | None = None) -> DataFrame:
-    """``sum(value)`` over rows from the group start to the current row
-    (``exclusive``: to the previous row; NULL when there is none)."""
+    """:func:`running_sums` of one column."""
+    return running_sums(df, {out: value}, partition, order, exclusive, max_rows)
+
+
+def running_max(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort],
+                out: str, exclusive: bool = False,
+                max_rows: int | None = None) -> DataFrame:
+    """``max(value)`` from the group start to the current row (``exclusive``:
+    to the previous row; NULL when there is none)."""
     schema = df.schema
     keep = [f.name for f in schema.fields]
-    w = _window(order)
-    frame = w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    frame = _window(_with_tie(order)).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns(
-        {out: F.sum(value).over(frame)})
-    prior = _prior(local, {"_t": F.sum(value)})
-    before = F.col("_prior_t")
-    # while a segment has summed no value yet (its first values are NULL, or
-    # the frame is still empty) the total of the previous segments stands
-    total = F.coalesce(F.col(out) + F.coalesce(before, F.lit(0)), before)
-    fix = total.cast(_sum_type(schema[value].dataType))
-    return _corrected(local, prior, [*keep, out], {out: fix})
+        {out: F.max(value).over(frame)})
+    _, earlier = _earlier()
+    prior = (_per_segment(local, {"_m": F.max(value)})
+             .select(GK, SEG, F.max("_m").over(earlier).alias("_seg_before")))
+    return _corrected(local, prior, [*keep, out], {out: F.greatest(F.col(out), F.col("_seg_before"))})
+
+
+def moving(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort], rows: int,
+           total: str, count: str, max_rows: int | None = None) -> DataFrame:
+    """Sum (``total``) and number (``count``) of the non-NULL ``value`` in the
+    current and the ``rows - 1`` previous rows (a ROWS frame).
+
+    Across segments the frame is completed by halo rows: the last
+    ``rows - 1`` values before a segment, gathered from the tails of at most
+    ``rows - 1`` earlier ones, added to the segment's first rows."""
+    if rows < 1:
+        raise ValueError("rows must be at least 1")
+    schema = df.schema
+    keep = [f.name for f in schema.fields]
+    w = _window(_with_tie(order))
+    frame = w.rowsBetween(-(rows - 1), 0)
+    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns({
+        total: F.sum(value).over(frame), count: F.count(value).over(frame), "_seg_at": F.row_number().over(w)})
+    dtype = _sum_type(schema[value].dataType)
+    if rows == 1:
+        return local.select(*[c for c in keep if c not in (total, count)], F.col(total).cast(dtype), count)
+    size = F.count(F.lit(1)).over(Window.partitionBy(GK, SEG))
+    tails = (local.where(F.col(_K).isNotNull()).withColumn("_seg_size", size)
+             .where(F.col("_seg_size") - F.col("_seg_at") < rows - 1)
+             .groupBy(GK, SEG)
+             .agg(F.sort_array(F.collect_list(F.struct("_seg_at", F.col(value).alias("v")))).alias("_seg_tail")))
+    several = Window.partitionBy(GK).orderBy(SEG).rowsBetween(-(rows - 1), -1)
+    prior = tails.select(GK, SEG, F.flatten(F.collect_list("_seg_tail").over(several)).alias("_seg_halo"))
+    n = F.least(F.size("_seg_halo"), F.lit(rows) - F.col("_seg_at"))
+    missing = F.when(F.col("_seg_halo").isNotNull() & (n > 0), F.filter(
+        F.transform(F.slice("_seg_halo", F.greatest(F.size("_seg_halo") - n + 1, F.lit(1)), F.greatest(n, F.lit(0))),
+                    lambda h: h["v"]), lambda v: v.isNotNull()))
+    more = F.when(F.size(missing) > 0, F.aggregate(missing, F.lit(0).cast(dtype), lambda a, v: (a + v).cast(dtype)))
+    fixes = {total: F.coalesce(F.col(total) + more, F.col(total), more).cast(dtype),
+             count: (F.col(count) + F.greatest(F.coalesce(F.size(missing), F.lit(0)), F.lit(0))).cast("long")}
+    return _corrected(local, prior, [*keep, total, count], fixes)
 
 
 def lag_lead(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort],
              lag: str | None = None, lead: str | None = None,
              max_rows: int | None = None) -> DataFrame:
-    """``lag(value)`` / ``lead(value)`` by one row over an ascending order."""
-    if any(s.desc for s in order):
-        raise ValueError("lag_lead takes ascending sort keys")
+    """``lag(value)`` / ``lead(value)`` by one row."""
     schema = df.schema
     keep = [f.name for f in schema.fields]
-    w = _window(order)
-    key = F.struct(*[F.col(o.col) for o in order])
-    cols: dict[str, Column] = {}
-    aggs: dict[str, Column] = {}
-    carry: dict[str, str] = {}
+    w = _window(_with_tie(order))
+    cols: dict[str, Column] = {"_seg_at": F.row_number().over(w)}
+    per: dict[str, Column] = {}
+    carry: list[Column] = []
     fixes: dict[str, Column] = {}
+    by_segment, _ = _earlier()
     if lag:
         cols[lag] = F.lag(value).over(w)
-        cols["_first_row"] = F.row_number().over(w) == 1
-        aggs["_last"] = F.max_by(F.col(value), key)
-        carry["_prev_last"] = "_last"
-        fixes[lag] = F.when(F.col("_first_row"), F.col("_prev_last")).otherwise(F.col(lag))
+        per["_last"] = F.max_by(F.col(value), F.col("_seg_at"))
+        carry.append(F.lag("_last").over(by_segment).alias("_seg_prev_last"))
+        fixes[lag] = F.when(F.col("_seg_at") == 1, F.col("_seg_prev_last")).otherwise(F.col(lag))
     if lead:
         cols[lead] = F.lead(value).over(w)
-        cols["_last_row"] = F.lead(F.lit(1)).over(w).isNull()
-        aggs["_first"] = F.min_by(F.col(value), key)
-        carry["_next_first"] = "_first"
-        fixes[lead] = F.when(F.col("_last_row"), F.col("_next_first")).otherwise(F.col(lead))
+        cols["_seg_is_last"] = F.lead(F.lit(1)).over(w).isNull()
+        per["_first"] = F.min_by(F.col(value), F.col("_seg_at"))
+        carry.append(F.lead("_first").over(by_segment).alias("_seg_next_first"))
+        fixes[lead] = F.when(F.col("_seg_is_last"), F.col("_seg_next_first")).otherwise(F.col(lead))
     local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns(cols)
-    prior = _prior(local, aggs, carry).select(GK, SEG, *carry.keys())
+    prior = _per_segment(local, per).select(GK, SEG, *carry)
     return _corrected(local, prior, [*keep, *fixes], fixes)
 
 
