@@ -23,10 +23,15 @@ task handles:
 The result is exact for any choice of cuts; they only affect balance.  The
 sample depends on row contents alone (no random numbers, partition ids or
 merge order), so every branch of a plan and every recomputation after an
-executor loss cuts alike.  Nothing is collected to the driver, no join is
-hinted (the cuts grow as ``2N / max_rows``; adaptive execution broadcasts
-them while they are small and splits a skewed join otherwise) and the number
+executor loss cuts alike.  Nothing is collected to the driver and the number
 of segments has no cap.  Rows equal in every column stay together.
+
+All operators take ``rows``, an upper bound of the input's rows where one is
+known (file footers give a table's count for next to nothing).  Up to
+``max_rows`` of them no group can need a split, so the plan is the plain
+window.  Beyond, the bound says how many cuts there can be: few enough are
+broadcast, more are left to the join strategy that Spark chooses, as they are
+when no bound is given.  A bound that is too low costs balance, not rows.
 """
 
 from __future__ import annotations
@@ -46,6 +51,8 @@ MAX_ROWS_CONF = "souk.window.maxRows"
 # Sampled rows between two cuts.  A segment holds max_rows / 2 rows on
 # average; the chance of one with twice that many is below 1e-4.
 SAMPLES_PER_SEGMENT = 32
+# Cuts that may be broadcast (some tens of bytes each for usual sort keys).
+BROADCAST_CUTS = 100_000
 
 SEG = "_seg"
 GK = "_gk"      # the group key as one non-NULL struct: NULL-safe with plain equality
@@ -128,7 +135,8 @@ def _cuts_before(cuts: Column, row: Column, directions: Sequence[bool]) -> Colum
 
 
 def _segments(df: DataFrame, schema: T.StructType, partition: Sequence[str],
-              order: Sequence[Sort], max_rows: int) -> DataFrame:
+              order: Sequence[Sort], max_rows: int | None, rows: int | None) -> DataFrame:
+    max_rows = resolve_max_rows(df, max_rows)
     # One struct column stands for the group: struct equality treats NULL
     # fields as equal, so a NULL group key is a group like any other, and
     # window partitioning, aggregation and joins all use the same plain key
@@ -136,6 +144,9 @@ def _segments(df: DataFrame, schema: T.StructType, partition: Sequence[str],
     base = df.withColumns({
         GK: F.struct(*partition) if partition else F.lit(0),
         TIE: F.xxhash64(*[f.name for f in schema.fields if _hashable(f.dataType)])})
+    if rows is not None and rows <= max_rows:
+        # no group has cuts: Spark sees that the corrections are empty
+        return base.withColumns({SEG: F.lit(0).cast("long"), _K: F.lit(None).cast("int")})
     total = _with_tie(order)
     blocks = _blocks(total)
     directions = [d for d, _ in blocks]
@@ -155,6 +166,8 @@ def _segments(df: DataFrame, schema: T.StructType, partition: Sequence[str],
             .groupBy(GK)
             .agg(F.transform(F.sort_array(F.collect_list(F.struct("_upto", key.alias("_cut")))),
                              lambda c: c["_cut"]).alias(_CUTS)))
+    if rows is not None and 2 * rows / max_rows <= BROADCAST_CUTS:
+        cuts = F.broadcast(cuts)
     keep = [F.col(f.name) for f in schema.fields]
     seg = F.when(F.col(_CUTS).isNull(), F.lit(0)).otherwise(_cuts_before(F.col(_CUTS), key, directions))
     # ``_seg_k``: number of cuts, NULL for groups that stay whole
@@ -164,13 +177,13 @@ def _segments(df: DataFrame, schema: T.StructType, partition: Sequence[str],
 
 
 def segments(df: DataFrame, partition: Sequence[str], order: Sequence[Sort] | Sort,
-             max_rows: int | None = None) -> DataFrame:
+             max_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """``df`` plus the group key ``_gk``, the row hash ``_tie``, the segment
     ``_seg`` (ordered like ``order``, then ``_tie``, within each group) and
     the split marker ``_seg_k`` (NULL for groups that stay whole: those of up
     to about ``max_rows`` rows)."""
     order = [order] if isinstance(order, Sort) else list(order)
-    return _segments(df, df.schema, partition, order, resolve_max_rows(df, max_rows))
+    return _segments(df, df.schema, partition, order, max_rows, rows)
 
 
 def _per_segment(local: DataFrame, aggs: dict[str, Column]) -> DataFrame:
@@ -202,7 +215,7 @@ def _corrected(local: DataFrame, prior: DataFrame, keep: Sequence[str],
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort], out: str,
-                method: str = "rank", max_rows: int | None = None) -> DataFrame:
+                method: str = "rank", max_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """``rank()`` / ``row_number()`` over ``partitionBy(partition).orderBy(order)``
     as a long column ``out``.
 
@@ -213,7 +226,7 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
         raise ValueError("method must be rank or row_number")
     schema = df.schema
     keep = [f.name for f in schema.fields]
-    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows))
+    local = _segments(df, schema, partition, order, max_rows, rows)
     w, before = _earlier()
     rows_before = F.coalesce(F.sum("_c").over(before), F.lit(0))
     if method == "row_number":
@@ -238,14 +251,15 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
 
 
 def running_sums(df: DataFrame, sums: dict[str, str], partition: Sequence[str], order: Sequence[Sort],
-                 exclusive: bool = False, max_rows: int | None = None) -> DataFrame:
+                 exclusive: bool = False, max_rows: int | None = None,
+                 rows: int | None = None) -> DataFrame:
     """``sum(value)`` for each ``out: value`` of ``sums`` over rows from the
     group start to the current row (``exclusive``: to the previous row; NULL
     when there is none)."""
     schema = df.schema
     keep = [f.name for f in schema.fields]
     frame = _window(_with_tie(order)).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns(
+    local = _segments(df, schema, partition, order, max_rows, rows).withColumns(
         {out: F.sum(value).over(frame) for out, value in sums.items()})
     _, earlier = _earlier()
     parts = {f"_seg_sum{i}": value for i, value in enumerate(sums.values())}
@@ -262,20 +276,20 @@ def running_sums(df: DataFrame, sums: dict[str, str], partition: Sequence[str],
 
 def running_sum(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort],
                 out: str, exclusive: bool = False,
-                max_rows: int | None = None) -> DataFrame:
+                max_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """:func:`running_sums` of one column."""
-    return running_sums(df, {out: value}, partition, order, exclusive, max_rows)
+    return running_sums(df, {out: value}, partition, order, exclusive, max_rows, rows)
 
 
 def running_max(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort],
                 out: str, exclusive: bool = False,
-                max_rows: int | None = None) -> DataFrame:
+                max_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """``max(value)`` from the group start to the current row (``exclusive``:
     to the previous row; NULL when there is none)."""
     schema = df.schema
     keep = [f.name for f in schema.fields]
     frame = _window(_with_tie(order)).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns(
+    local = _segments(df, schema, partition, order, max_rows, rows).withColumns(
         {out: F.max(value).over(frame)})
     _, earlier = _earlier()
     prior = (_per_segment(local, {"_m": F.max(value)})
@@ -283,33 +297,33 @@ def running_max(df: DataFrame, value: str, partition: Sequence[str], order: Sequ
     return _corrected(local, prior, [*keep, out], {out: F.greatest(F.col(out), F.col("_seg_before"))})
 
 
-def moving(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort], rows: int,
-           total: str, count: str, max_rows: int | None = None) -> DataFrame:
+def moving(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort], width: int,
+           total: str, count: str, max_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """Sum (``total``) and number (``count``) of the non-NULL ``value`` in the
-    current and the ``rows - 1`` previous rows (a ROWS frame).
+    current and the ``width - 1`` previous rows (a ROWS frame).
 
     Across segments the frame is completed by halo rows: the last
-    ``rows - 1`` values before a segment, gathered from the tails of at most
-    ``rows - 1`` earlier ones, added to the segment's first rows."""
-    if rows < 1:
-        raise ValueError("rows must be at least 1")
+    ``width - 1`` values before a segment, gathered from the tails of at most
+    ``width - 1`` earlier ones, added to the segment's first rows."""
+    if width < 1:
+        raise ValueError("width must be at least 1")
     schema = df.schema
     keep = [f.name for f in schema.fields]
     w = _window(_with_tie(order))
-    frame = w.rowsBetween(-(rows - 1), 0)
-    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns({
+    frame = w.rowsBetween(-(width - 1), 0)
+    local = _segments(df, schema, partition, order, max_rows, rows).withColumns({
         total: F.sum(value).over(frame), count: F.count(value).over(frame), "_seg_at": F.row_number().over(w)})
     dtype = _sum_type(schema[value].dataType)
-    if rows == 1:
+    if width == 1:
         return local.select(*[c for c in keep if c not in (total, count)], F.col(total).cast(dtype), count)
     size = F.count(F.lit(1)).over(Window.partitionBy(GK, SEG))
     tails = (local.where(F.col(_K).isNotNull()).withColumn("_seg_size", size)
-             .where(F.col("_seg_size") - F.col("_seg_at") < rows - 1)
+             .where(F.col("_seg_size") - F.col("_seg_at") < width - 1)
              .groupBy(GK, SEG)
              .agg(F.sort_array(F.collect_list(F.struct("_seg_at", F.col(value).alias("v")))).alias("_seg_tail")))
-    several = Window.partitionBy(GK).orderBy(SEG).rowsBetween(-(rows - 1), -1)
+    several = Window.partitionBy(GK).orderBy(SEG).rowsBetween(-(width - 1), -1)
     prior = tails.select(GK, SEG, F.flatten(F.collect_list("_seg_tail").over(several)).alias("_seg_halo"))
-    n = F.least(F.size("_seg_halo"), F.lit(rows) - F.col("_seg_at"))
+    n = F.least(F.size("_seg_halo"), F.lit(width) - F.col("_seg_at"))
     missing = F.when(F.col("_seg_halo").isNotNull() & (n > 0), F.filter(
         F.transform(F.slice("_seg_halo", F.greatest(F.size("_seg_halo") - n + 1, F.lit(1)), F.greatest(n, F.lit(0))),
                     lambda h: h["v"]), lambda v: v.isNotNull()))
@@ -321,7 +335,7 @@ def moving(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[
 
 def lag_lead(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[Sort],
              lag: str | None = None, lead: str | None = None,
-             max_rows: int | None = None) -> DataFrame:
+             max_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """``lag(value)`` / ``lead(value)`` by one row."""
     schema = df.schema
     keep = [f.name for f in schema.fields]
@@ -342,13 +356,13 @@ def lag_lead(df: DataFrame, value: str, partition: Sequence[str], order: Sequenc
         per["_first"] = F.min_by(F.col(value), F.col("_seg_at"))
         carry.append(F.lead("_first").over(by_segment).alias("_seg_next_first"))
         fixes[lead] = F.when(F.col("_seg_is_last"), F.col("_seg_next_first")).otherwise(F.col(lead))
-    local = _segments(df, schema, partition, order, resolve_max_rows(df, max_rows)).withColumns(cols)
+    local = _segments(df, schema, partition, order, max_rows, rows).withColumns(cols)
     prior = _per_segment(local, per).select(GK, SEG, *carry)
     return _corrected(local, prior, [*keep, *fixes], fixes)
 
 
 def rank_by_key(df: DataFrame, partition: Sequence[str], order: Sequence[Sort], out: str,
-                max_rows: int | None = None) -> DataFrame:
+                max_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """``rank()`` computed from key counts, for heavily tied keys.
 
     rank(key) = 1 + number of rows with an earlier key.  Rows are first
@@ -360,7 +374,7 @@ def rank_by_key(df: DataFrame, partition: Sequence[str], order: Sequence[Sort],
     keep = df.columns
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     before = running_sum(counts, "_c", partition, order, "_before", exclusive=True,
-                         max_rows=resolve_max_rows(df, max_rows))
+                         max_rows=max_rows, rows=rows)
     ranks = before.select(F.struct(*keys).alias("_rk"),
                           (F.coalesce(F.col("_before"), F.lit(0)) + 1).cast("long").alias(out))
     return (df.withColumn("_rk", F.struct(*keys)).join(ranks, "_rk")

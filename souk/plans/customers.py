@@ -82,7 +82,7 @@ def order_rank_per_customer(t: Tables, max_rows: int | None = None) -> DataFrame
     amounts = order_totals(t).select("order_id", "customer_id",
                                      F.col("order_value").alias("order_amount"))
     ranked = rank_within(amounts, ["customer_id"], [desc("order_amount")], "order_rank",
-                         max_rows=max_rows)
+                         max_rows=max_rows, rows=t.rows("orders"))
     return (ranked.select("customer_id", "order_id", to_double("order_amount").alias("order_amount"),
                           "order_rank")
             .orderBy("customer_id", "order_rank"))
@@ -95,7 +95,7 @@ def order_rank_joined(t: Tables, max_rows: int | None = None) -> DataFrame:
                .select("customer_id", "order_id",
                        F.col("order_value").alias("order_purchase_amount")))
     ranked = rank_within(amounts, ["customer_id"], [desc("order_purchase_amount")], "order_rank",
-                         max_rows=max_rows)
+                         max_rows=max_rows, rows=t.rows("orders"))
     return (ranked.select("customer_id", "order_id",
                           to_double("order_purchase_amount").alias("order_purchase_amount"),
                           "order_rank")
@@ -110,18 +110,19 @@ def customer_running_sales(t: Tables, max_rows: int | None = None) -> DataFrame:
         F.col("order_purchase_timestamp").cast("date").alias("order_date"),
         F.col("order_value").alias("order_amount"))
     run = running_sum(sales, "order_amount", ["customer_id"], [asc("order_date"), asc("order_id")],
-                      "cumulative_sales", max_rows=max_rows)
+                      "cumulative_sales", max_rows=max_rows, rows=t.rows("orders"))
     return (run.orderBy("customer_id", "order_date", "order_id")
             .select("order_id", "customer_id", to_double("cumulative_sales").alias("cumulative_sales")))
 
 
 def purchase_gaps(t: Tables, max_rows: int | None = None) -> DataFrame:
-    """Per order: the customer's previous order date and the days between."""
+    """Per order: the customer's previous order date and the days between
+    (``order_id`` is the key of ``orders``, so no row repeats)."""
     details = t.orders.select(
         "customer_id", "order_id",
-        F.col("order_purchase_timestamp").cast("date").alias("order_date")).dropDuplicates()
+        F.col("order_purchase_timestamp").cast("date").alias("order_date"))
     g = lag_lead(details, "order_date", ["customer_id"], [asc("order_date"), asc("order_id")],
-                 lag="previous_order_date", max_rows=max_rows)
+                 lag="previous_order_date", max_rows=max_rows, rows=t.rows("orders"))
     return (g.select("customer_id", "order_id", "order_date", "previous_order_date",
                      day_diff("previous_order_date", "order_date").alias("days_between_orders"))
             .orderBy("customer_id", "order_date", "order_id"))
@@ -132,7 +133,7 @@ def order_prev_next(t: Tables, max_rows: int | None = None) -> DataFrame:
     orders = t.orders.select("customer_id", "order_id",
                              F.col("order_purchase_timestamp").cast("date").alias("order_date"))
     return (lag_lead(orders, "order_date", ["customer_id"], [asc("order_date"), asc("order_id")],
-                     lag="previous_order_date", lead="next_order_date", max_rows=max_rows)
+                     lag="previous_order_date", lead="next_order_date", max_rows=max_rows, rows=t.rows("orders"))
             .select("customer_id", "order_id", "order_date", "previous_order_date", "next_order_date")
             .orderBy("customer_id", "order_date", "order_id"))
 
@@ -143,7 +144,7 @@ def avg_purchase_gap(t: Tables, max_rows: int | None = None) -> DataFrame:
     o = t.orders.select("customer_id", "order_id", "order_purchase_timestamp")
     g = lag_lead(o, "order_purchase_timestamp", ["customer_id"],
                  [asc("order_purchase_timestamp"), asc("order_id")],
-                 lag="prev_order_date", max_rows=max_rows)
+                 lag="prev_order_date", max_rows=max_rows, rows=t.rows("orders"))
     gap = day_diff("prev_order_date", "order_purchase_timestamp")
     return (g.where(F.col("prev_order_date").isNotNull())
             .groupBy("customer_id").agg(trunc_avg(gap).alias("avg_gap_days"))

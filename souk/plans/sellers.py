@@ -85,7 +85,7 @@ def seller_speed_rank(t: Tables, max_rows: int | None = None) -> DataFrame:
     speed = (t.orders.join(t.order_items, "order_id").groupBy("seller_id")
              .agg(trunc_avg(day_diff("order_purchase_timestamp",
                                      "order_delivered_customer_date")).alias("avg_diff")))
-    return (rank_by_key(speed, [], [asc("avg_diff")], "speed_rank", max_rows=max_rows)
+    return (rank_by_key(speed, [], [asc("avg_diff")], "speed_rank", max_rows=max_rows, rows=t.rows("sellers"))
             .select("seller_id", "avg_diff", "speed_rank")
             .orderBy("speed_rank", "seller_id"))
 
@@ -100,7 +100,7 @@ def seller_review_rank(t: Tables, max_rows: int | None = None) -> DataFrame:
              .agg(F.avg(F.col("review_score").cast("double")).alias("avg_review_score"),
                   F.countDistinct("customer_id").alias("unique_customers")))
     return (rank_by_key(stats, [], [desc("avg_review_score"), desc("unique_customers")],
-                        "seller_rank", max_rows=max_rows)
+                        "seller_rank", max_rows=max_rows, rows=t.rows("sellers"))
             .select("seller_id", "avg_review_score", "unique_customers", "seller_rank")
             .orderBy("seller_rank"))
 

@@ -81,6 +81,14 @@ class Tables:
             raise TypeError(f"unknown tables: {sorted(unknown)}")
         self._sources = sources
         self._built: dict[str, DataFrame] = {}
+        self._rows: dict[str, int] = {}
+
+    def rows(self, name: str) -> int:
+        """Number of rows of a table, counted once (Parquet keeps it in the
+        file footers).  Reports pass it as a bound to the split windows."""
+        if name not in self._rows:
+            self._rows[name] = getattr(self, name).count()
+        return self._rows[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in SCHEMAS:

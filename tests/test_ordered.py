@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from souk.operators.ordered import asc, desc, lag_lead, rank_by_key, rank_within, running_sum
+from souk.operators.ordered import (asc, desc, lag_lead, moving, rank_by_key, rank_within, running_max,
+                                    running_sum)
 
 
 def _rows(seed, n=400):
@@ -165,3 +166,97 @@ def test_null_second_key_inside_null_band(spark):
         w = Window.partitionBy("g").orderBy(*[o.column() for o in order])
         expect = df.withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
         _same(running_sum(df, "v", ["g"], order, "s", max_rows=16), expect, ["id", "s"])
+
+
+def _plain(order, *part):
+    return Window.partitionBy(*part).orderBy(*[o.column() for o in order])
+
+
+def test_tied_keys_spread_over_segments(spark):
+    # 5,000 equal keys: no segment above 2 x max_rows, ranks as the plain window
+    rows = [(i, 0, 5.0 if i < 5000 else float(i % 40)) for i in range(6000)] + [(9000 + i, 1, 1.0) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, g int, k double")
+    from souk.operators.ordered import segments
+    for order in ([asc("k")], [desc("k")]):
+        sizes = [r[1] for r in segments(df, ["g"], order, max_rows=100).groupBy("_gk", "_seg").count()
+                 .select("_seg", "count").collect()]
+        assert max(sizes) <= 200 and len(sizes) > 60
+        got = rank_within(df, ["g"], order, "r", max_rows=100)
+        _same(got, df.withColumn("r", F.rank().over(_plain(order, "g")).cast("long")), ["id", "r"])
+
+
+def test_string_keys_and_mixed_directions(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("aäß0z ") for _ in range(rnd.randint(0, 3)))
+    rows = [(f"{i * 7919 % 1000:032d}", "hot" if i % 4 else word(), rnd.choice([None, word()]), rnd.randint(1, 9))
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "id string, g string, k string, v long")
+    for order in ([asc("k"), asc("id")], [desc("k"), asc("id")], [asc("k"), desc("v"), asc("id")]):
+        w = _plain(order, "g")
+        expect = (df.withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                  .withColumn("n", F.row_number().over(w).cast("long")).withColumn("p", F.lag("id").over(w))
+                  .withColumn("q", F.lead("id").over(w)))
+        key = lambda r: tuple((x is not None, x) for x in r)
+        want = {r["id"]: (r["s"], r["n"], r["p"], r["q"]) for r in expect.collect()}
+        got = running_sum(df, "v", ["g"], order, "s", max_rows=30)
+        assert {r["id"]: r["s"] for r in got.collect()} == {i: t[0] for i, t in want.items()}
+        got = rank_within(df, ["g"], order, "n", "row_number", max_rows=30)
+        assert {r["id"]: r["n"] for r in got.collect()} == {i: t[1] for i, t in want.items()}
+        got = lag_lead(df, "id", ["g"], order, lag="p", lead="q", max_rows=30)
+        assert {r["id"]: (r["p"], r["q"]) for r in got.collect()} == {i: t[2:] for i, t in want.items()}
+
+
+def test_far_infinite_and_nan_keys_stay_balanced(spark):
+    from souk.operators.ordered import segments
+    keys = [10.0 ** (i % 300) * (1 + i / 7000) for i in range(3000)] + [float("inf")] * 40 + [float("-inf")] * 40
+    rows = [(i, 0, k) for i, k in enumerate(keys + [float("nan")] * 40 + [None] * 40)]
+    df = spark.createDataFrame(rows, "id long, g int, k double")
+    for order in ([asc("k")], [desc("k")]):
+        sizes = [r[1] for r in segments(df, ["g"], order, max_rows=100).groupBy("_seg").count().collect()]
+        assert max(sizes) <= 200
+        _same(rank_within(df, ["g"], order, "r", max_rows=100),
+              df.withColumn("r", F.rank().over(_plain(order, "g")).cast("long")), ["id", "r"])
+
+
+@pytest.mark.parametrize("max_rows", [2, 30, 10_000])
+@pytest.mark.parametrize("width", [1, 3, 8])
+def test_moving_frame_crosses_segments(spark, max_rows, width):
+    rnd = random.Random(9)
+    rows = [(i, 0 if i % 5 else i % 3, rnd.randint(0, 50), None if rnd.random() < 0.3 else rnd.randint(1, 9))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, g int, k long, v long")
+    order = [asc("k"), desc("id")]
+    w = _plain(order, "g").rowsBetween(-(width - 1), 0)
+    expect = df.withColumn("t", F.sum("v").over(w)).withColumn("c", F.count("v").over(w))
+    got = {r["id"]: (r["t"], r["c"]) for r in moving(df, "v", ["g"], order, width, "t", "c", max_rows=max_rows).collect()}
+    assert got == {r["id"]: (r["t"], r["c"]) for r in expect.collect()}
+
+
+@pytest.mark.parametrize("exclusive", [False, True])
+def test_running_max_with_carry(spark, exclusive):
+    rnd = random.Random(4)
+    rows = [(i, i % 2 if i % 7 == 0 else 0, None if rnd.random() < 0.2 else rnd.randint(0, 400)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g int, v long")
+    w = _plain([asc("id")], "g").rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    got = running_max(df, "v", ["g"], [asc("id")], "m", exclusive=exclusive, max_rows=20)
+    assert {r["id"]: r["m"] for r in got.collect()} == \
+        {r["id"]: r["m"] for r in df.withColumn("m", F.max("v").over(w)).collect()}
+
+
+def test_row_bound_decides_the_plan(spark, frame):
+    def plan(**kw):
+        df = rank_within(frame, ["g"], [asc("k")], "r", max_rows=40, **kw)
+        return df, df._jdf.queryExecution().optimizedPlan().toString()
+    want, open_plan = plan()
+    few, small = plan(rows=40)
+    some, hinted = plan(rows=400)
+    assert "Join" not in small and "Join" in open_plan
+    assert "strategy=broadcast" in hinted and "strategy=broadcast" not in open_plan
+    _same(few, want, ["id", "r"])
+    _same(some, want, ["id", "r"])
+
+
+def test_equal_rows_stay_one_sample_entry(spark):
+    df = spark.createDataFrame([(0, 1.0)] * 500 + [(0, float(i)) for i in range(2, 60)], "g int, k double")
+    got = sorted(map(tuple, rank_within(df, ["g"], [asc("k")], "r", max_rows=20).collect()))
+    assert got == [(0, 1.0, 1)] * 500 + [(0, float(i), 499 + i) for i in range(2, 60)]
