@@ -118,21 +118,21 @@ def manifest(rows: DataFrame, id_col: str, group_col: str, leaf_col: str = "leaf
     ``leaf_col`` holds the rows' hashes (see :func:`leaf`).  ``max_rows``:
     rows of a group numbered in one task, see ``souk.operators.ordered``."""
     extra = F.struct(F.lit(0).alias("_"), *keep)
-    narrow = rows.select(F.struct(F.col(group_col).alias("key")).alias("g"), F.col(id_col).alias("id"),
-                         F.col(leaf_col).alias("node"), extra.alias("extra"))
-    numbered = stage(rank_within(narrow, ["g"], [asc("id"), asc("node")], "place", "row_number", max_rows),
-                     "merkle-places")
+    # written first: the texts are read and hashed once, and the count is known
+    narrow = stage(rows.select(F.struct(F.col(group_col).alias("key")).alias("g"), F.col(id_col).alias("id"),
+                               F.col(leaf_col).alias("node"), extra.alias("extra")), "merkle-leaves")
+    numbered = stage(rank_within(narrow, ["g"], [asc("id"), asc("node")], "place", "row_number", max_rows,
+                                 narrow.count()), "merkle-places")
     sizes = numbered.groupBy("g").agg(F.max("place").alias("n"))
     leaves = numbered.join(sizes, "g").withColumn("place", F.col("place") - 1)
     levels, tops = _climb(leaves, fanout, "merkle")
 
     # the subroots, in the order of their groups, are the leaves of the last tree
-    groups = stage(rank_within(tops.select("g", "top", F.col("g.key").alias("key")), [], [asc("key")], "place",
-                               "row_number", max_rows), "merkle-subroots")
-    count = groups.agg(F.count(F.lit(1)).alias("n"))
-    subroots = groups.crossJoin(F.broadcast(count)).select(      # one row
-        F.lit(0).alias("g"), F.col("place") - 1, "n", F.col("top").alias("node"), F.col("g").alias("group"))
-    subroots = subroots.toDF("g", "place", "n", "node", "group")
+    tops = stage(tops.select("g", "top", F.col("g.key").alias("key")), "merkle-tops")
+    n_groups = tops.count()
+    subroots = stage(rank_within(tops, [], [asc("key")], "place", "row_number", max_rows, n_groups).select(
+        F.lit(0).alias("g"), (F.col("place") - 1).alias("place"), F.lit(n_groups).cast("long").alias("n"),
+        F.col("top").alias("node"), F.col("g").alias("group")), "merkle-subroots")
     upper, root = _climb(subroots, fanout, "merkle-root")
     ends = (_proofs(subroots, upper, fanout).join(root.select("g", F.col("top").alias("root")), "g")
             .select(F.col("group").alias("g"), F.col("node").alias("subroot"), "root", F.col("proof").alias("to_root")))

@@ -66,7 +66,9 @@ def turns(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role
         # the role's length keeps (role, text) pairs apart
         F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), role, text).cast("binary"), 256).alias("hash"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"))
-    return rank_within(known, ["conv"], [asc("turn"), asc("hash")], "place", "row_number", max_rows).drop("turn")
+    known = stage(known, "trie-rows")       # the texts are read once, and the count is known
+    return rank_within(known, ["conv"], [asc("turn"), asc("hash")], "place", "row_number", max_rows,
+                       known.count()).drop("turn")
 
 
 def rebuild(numbered: DataFrame, heads: Column, most: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -93,8 +95,9 @@ def paths(rebuilt: DataFrame, max_rows: int | None = None) -> DataFrame:
     at = F.sha2(F.concat(F.col("depth").cast("string"), F.lit(":"), "hash").cast("binary"), 256)
     number = lambda start, digits: F.conv(F.substring(at, start, digits), 16, 10).cast("decimal(20,0)")
     hashed = (number(1, 15) * F.lit(1 << 32).cast("decimal(10,0)") + number(16, 8)).cast("decimal(28,0)")
-    summed = running_sums(rebuilt.select("conv", "depth", "words", hashed.alias("h")),
-                          {"key": "h", "upto": "words"}, ["conv"], [asc("depth")], max_rows=max_rows)
+    rebuilt = stage(rebuilt.select("conv", "depth", "words", hashed.alias("h")), "trie-rebuilt")
+    summed = running_sums(rebuilt, {"key": "h", "upto": "words"}, ["conv"], [asc("depth")], max_rows=max_rows,
+                          rows=rebuilt.count())
     return summed.select("conv", "depth", "words", F.col("key").cast(_KEY).alias("key"),
                          (F.col("key") - F.col("h")).cast(_KEY).alias("parent"), "upto")
 
