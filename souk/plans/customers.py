@@ -163,13 +163,13 @@ def customers_with_orders_left(t: Tables) -> DataFrame:
     orders = t.orders.select("customer_id", "order_id")
     matched = orders.join(cust, "customer_id")
     without = (cust.join(orders.select("customer_id").distinct(), "customer_id", "left_anti")
-               .select("customer_id", F.lit(None).cast("long").alias("order_id")))
+               .select("customer_id", F.lit(None).cast(orders.schema["order_id"].dataType).alias("order_id")))
     return matched.unionByName(without).orderBy("customer_id", "order_id")
 
 
 def customers_above_p90(t: Tables, p: float = 0.9, accuracy: int | None = None) -> DataFrame:
     """Customers whose order count is above the ``p`` percentile of order counts."""
-    return (above_percentile(_order_counts(t), "order_count", p, accuracy)
+    return (above_percentile(_order_counts(t), "order_count", p, accuracy, rows=t.rows("customers"))
             .orderBy(F.col("order_count").desc(), "customer_id"))
 
 
@@ -178,19 +178,18 @@ def beat_year_max_spend(t: Tables, year: int = 2017) -> DataFrame:
     paid for orders placed in ``year``.
 
     Payments are summed per order, joined to orders and customers, and each
-    customer gets both its all-time and its ``year`` total; the maximum of the
-    latter is a one-row aggregate compared by a theta join."""
+    customer gets its all-time and its ``year`` total in one array, which
+    both sides of the theta join read: the joins below run once."""
     per_order = t.order_payments.groupBy("order_id").agg(F.sum("payment_value").alias("_paid"))
     in_y = in_year("order_purchase_timestamp", year)
     per = (per_order.join(t.orders.select("order_id", "customer_id", "order_purchase_timestamp"),
                           "order_id")
-           .groupBy("customer_id").agg(
-               F.sum("_paid").alias("total_spent"),
-               F.sum(F.when(in_y, F.col("_paid"))).alias("_year_spent"))
+           .groupBy("customer_id").agg(F.array(F.sum("_paid"), F.sum(F.when(in_y, F.col("_paid")))).alias("_spent"))
            # customers is keyed by customer_id: an inner join keeps known customers
            .join(t.customers.select("customer_id"), "customer_id"))
-    return (above(per, "total_spent", F.max("_year_spent"))
-            .select("customer_id", to_double("total_spent").alias("total_spent"))
+    total, in_year_total = F.col("_spent")[0], F.col("_spent")[1]
+    return (above(per, total, F.max(in_year_total))
+            .select("customer_id", to_double(total).alias("total_spent"))
             .orderBy(F.col("total_spent").desc()))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.measures import day_diff, round_half_up_ratio, to_double
 from souk.operators import asc, desc, equal_to_max, top_k
-from souk.operators.threshold import percentile_of
+from souk.operators.threshold import percentile_cont, percentile_of
 from souk.plans.common import order_totals
 from souk.sources import Tables
 
@@ -66,16 +66,20 @@ def category_p90_delivery(t: Tables, p: float = 0.9, min_days: float = 10,
                           accuracy: int | None = None) -> DataFrame:
     """Categories whose ``p`` percentile of delivery days exceeds ``min_days``.
 
-    Grouped exact percentile: partial aggregation keeps a day -> count map per
-    category, bounded by distinct day values (``accuracy`` opts into the
-    approximate sketch)."""
-    rows = (t.orders.where(F.col(DELIVERED).isNotNull())
+    Items are counted per (product, days) before they meet ``products``; the
+    percentile is selected from the counts per (category, days)
+    (``accuracy`` opts into the approximate sketch, item by item)."""
+    days = (t.orders.where(F.col(DELIVERED).isNotNull())
             .join(t.order_items.select("order_id", "product_id"), "order_id")
-            .join(t.products, "product_id")
-            .withColumn("_days", _delivery_days()))
-    g = rows.groupBy("product_category_name").agg(percentile_of("_days", p, accuracy).alias("_p"))
-    return (g.where(F.col("_p") > min_days)
-            .select("product_category_name", F.round("_p", 6).alias("p90_delivery_days"))
+            .select("product_id", _delivery_days().alias("_days")))
+    if accuracy:
+        g = (days.join(t.products, "product_id").groupBy("product_category_name")
+             .agg(percentile_of("_days", p, accuracy).alias("percentile")))
+    else:
+        counted = days.groupBy("product_id", "_days").agg(F.count(F.lit(1)).alias("_n")).join(t.products, "product_id")
+        g = percentile_cont(counted, "_days", p, ["product_category_name"], weight="_n")
+    return (g.where(F.col("percentile") > min_days)
+            .select("product_category_name", F.round("percentile", 6).alias("p90_delivery_days"))
             .orderBy(F.col("p90_delivery_days").desc()))
 
 

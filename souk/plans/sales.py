@@ -11,10 +11,19 @@ from pyspark.sql import functions as F
 from souk.functions.measures import (
     exact_avg, in_years, item_value, month_label, round_half_up_ratio, to_double,
 )
-from souk.operators import above_mean, asc, desc, top_k
+from souk.operators import above_mean, asc, desc, moving, running_max, top_k
+from souk.operators.ordered import resolve_max_rows
 from souk.plans.common import order_totals
 from souk.sources import Tables
 
+# Rows of a group with one row per month, or per day, over a thousand years.
+MONTH_ROWS, DAY_ROWS = 12_000, 366_000
+
+
+def _calendar_bound(df: DataFrame, max_rows: int | None, group_rows: int) -> int | None:
+    """``group_rows`` where it shows that no group needs a split."""
+    return group_rows if group_rows <= resolve_max_rows(df, max_rows) else None
+
 
 def _sales(df: DataFrame, *keys, name: str = "total_sales") -> DataFrame:
     return df.groupBy(*keys).agg(F.sum(item_value()).alias(name))
@@ -167,12 +176,14 @@ def category_growth(t: Tables, year1: int = 2017, year2: int = 2018) -> DataFram
     """Sales per category in two years and the increase, all categories that
     sold in either year (0 for a year without sales)."""
     ts = F.col("order_purchase_timestamp")
-    rows = (t.products.join(t.order_items, "product_id").join(t.orders, "order_id")
-            .where(in_years(ts, [year1, year2])))
     v, y = item_value(), F.year(ts)
-    g = rows.groupBy("product_category_name").agg(
-        F.coalesce(F.sum(F.when(y == year1, v)), F.lit(0)).alias("s1"),
-        F.coalesce(F.sum(F.when(y == year2, v)), F.lit(0)).alias("s2"))
+    # the pivot happens per product, before the join with products
+    per = (t.order_items.join(t.orders.where(in_years(ts, [year1, year2]))
+                              .select("order_id", "order_purchase_timestamp"), "order_id")
+           .groupBy("product_id").agg(F.sum(F.when(y == year1, v)).alias("_s1"),
+                                      F.sum(F.when(y == year2, v)).alias("_s2")))
+    g = per.join(t.products, "product_id").groupBy("product_category_name").agg(
+        F.coalesce(F.sum("_s1"), F.lit(0)).alias("s1"), F.coalesce(F.sum("_s2"), F.lit(0)).alias("s2"))
     return (g.select("product_category_name",
                      to_double("s1").alias(f"sales_{year1}"),
                      to_double("s2").alias(f"sales_{year2}"),
@@ -180,7 +191,7 @@ def category_growth(t: Tables, year1: int = 2017, year2: int = 2018) -> DataFram
             .orderBy(F.col("sales_increase").desc()))
 
 
-def moving_avg_category(t: Tables, window: int = 3, calendar: bool = False) -> DataFrame:
+def moving_avg_category(t: Tables, window: int = 3, calendar: bool = False, max_rows: int | None = None) -> DataFrame:
     """Daily sales per category with the average over the current and the
     ``window - 1`` previous rows (``calendar=True``: previous calendar days),
     rounded half-up to cents.
@@ -196,27 +207,28 @@ def moving_avg_category(t: Tables, window: int = 3, calendar: bool = False) -> D
     if calendar:
         w = (Window.partitionBy("product_category_name").orderBy(F.unix_date("sale_date"))
              .rangeBetween(-(window - 1), 0))
+        daily = daily.withColumns({"_sum": F.sum("daily_sales").over(w), "_n": F.count("daily_sales").over(w)})
     else:
-        w = (Window.partitionBy("product_category_name").orderBy("sale_date")
-             .rowsBetween(-(window - 1), 0))
-    avg = round_half_up_ratio(F.sum("daily_sales").over(w), F.count("daily_sales").over(w))
+        daily = moving(daily, "daily_sales", ["product_category_name"], [asc("sale_date")], window, "_sum", "_n",
+                       max_rows=max_rows, rows=_calendar_bound(daily, max_rows, DAY_ROWS))
+    avg = round_half_up_ratio(F.col("_sum"), F.col("_n"))
     return (daily.select("product_category_name", "sale_date",
                          to_double("daily_sales").alias("daily_sales"),
                          avg.alias("moving_avg_3day"))
             .orderBy("product_category_name", "sale_date"))
 
 
-def record_months(t: Tables) -> DataFrame:
+def record_months(t: Tables, max_rows: int | None = None) -> DataFrame:
     """Months in which a category sold more than in every earlier month
-    (its first month counts as a record)."""
-    m = (t.orders.join(t.order_items, "order_id").join(t.products, "product_id")
-         .groupBy("product_category_name", month_label("order_purchase_timestamp").alias("month"))
-         .agg(F.sum(item_value()).alias("sales")))
-    w = (Window.partitionBy("product_category_name").orderBy("month")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    best_before = F.max("sales").over(w)
-    return (m.withColumn("_best", best_before)
-            .where(F.col("_best").isNull() | (F.col("sales") > F.col("_best")))
+    (its first month counts as a record): an exclusive running maximum."""
+    per_product = (t.orders.join(t.order_items, "order_id")
+                   .groupBy("product_id", month_label("order_purchase_timestamp").alias("month"))
+                   .agg(F.sum(item_value()).alias("_v")))
+    m = (per_product.join(t.products, "product_id").groupBy("product_category_name", "month")
+         .agg(F.sum("_v").alias("sales")))
+    best = running_max(m, "sales", ["product_category_name"], [asc("month")], "_best", exclusive=True,
+                       max_rows=max_rows, rows=_calendar_bound(m, max_rows, MONTH_ROWS))
+    return (best.where(F.col("_best").isNull() | (F.col("sales") > F.col("_best")))
             .select("product_category_name", "month", to_double("sales").alias("sales")))
 
 

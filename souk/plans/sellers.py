@@ -73,7 +73,7 @@ def sellers_above_median_orders(t: Tables) -> DataFrame:
     """Sellers whose item-row count is above the median item-row count
     (one row per seller)."""
     counts = t.order_items.groupBy("seller_id").agg(F.count("order_id").alias("total_orders"))
-    return above_percentile(counts, "total_orders", 0.5)
+    return above_percentile(counts, "total_orders", 0.5, rows=t.rows("sellers"))
 
 
 def seller_speed_rank(t: Tables, max_rows: int | None = None) -> DataFrame:

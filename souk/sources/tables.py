@@ -5,7 +5,9 @@ parquet folders that already hold the commerce schema (:func:`read_tables`),
 from the supplied TPC-H-like test tables through the stand-in mapping
 (:mod:`souk.sources.standin`), or from hand-made frames in tests
 (:func:`Tables.of`).  All three cast to the same declared types, so report
-code sees one schema regardless of origin.
+code sees one schema regardless of origin.  Ids are the exception: a source
+with string ids keeps them as strings, all other id types become BIGINT; the
+reports only compare, group and order ids, so both kinds work.
 """
 
 from __future__ import annotations
@@ -59,10 +61,19 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+ID_COLUMNS = frozenset(f.name for s in SCHEMAS.values() for f in s.fields if f.name.endswith("_id"))
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Project ``df`` onto the declared columns of table ``name`` and cast them.
-    Extra columns are dropped here, so the scan only reads what is declared."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+    """Project ``df`` onto the declared columns of table ``name`` and cast them
+    (string ids stay strings).  Extra columns are dropped here, so the scan
+    only reads what is declared."""
+    given = df.schema
+
+    def kind(f: T.StructField) -> T.DataType:
+        text = f.name in ID_COLUMNS and f.name in given.names and isinstance(given[f.name].dataType, T.StringType)
+        return T.StringType() if text else f.dataType
+    return df.select([F.col(f.name).cast(kind(f)).alias(f.name) for f in SCHEMAS[name].fields])
 
 
 class Tables:
