@@ -11,13 +11,16 @@ Each helper fixes one semantic decision centrally, so no report re-decides it:
 * averages of money are exact decimal sums divided in double, rounded money
   ratios use integer cents with half-up rounding;
 * integer averages (of day counts) truncate toward zero, like an integer
-  ``AVG``.
+  ``AVG``; every report with one has the switch ``integer_avg``;
+* with ``exact=True`` money ratios are decimals, divided in two limbs without
+  any double.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -78,6 +81,36 @@ def trunc_avg(c: str | Column) -> Column:
     return F.avg(col(c)).cast("int")
 
 
+def int_avg(c: str | Column, integer_avg: bool) -> Column:
+    """Average of integers: truncated toward zero (``integer_avg``) or an
+    exact sum divided by the count."""
+    return trunc_avg(c) if integer_avg else exact_avg(c)
+
+
+def decimal_ratio(total: Column, n: Column, precision: int, scale: int = 2) -> Column:
+    """``cast(total / n as decimal(precision, scale))`` rounded half away from
+    zero, exactly; NULL for ``n = 0``; an error where it does not fit.
+
+    ``total`` is a decimal with at most ``scale`` digits and less than 9 * 10^36
+    of its smallest units, ``n`` a positive integer.  The units are divided in
+    two limbs of 18 digits, the first remainder carried into the second limb,
+    so no intermediate needs more than 38 digits."""
+    limb = F.lit(Decimal(10 ** 18))
+    count = F.nullif(n.cast("long"), F.lit(0).cast("long"))
+    units = (F.abs(total).cast(f"decimal({38 - scale},{scale})") * F.lit(10 ** scale)).cast("decimal(38,0)")
+    div = lambda a, b: F.call_function("div", a, b)
+    low = units % limb
+    high = div(units, limb)
+    first = div(high, count)
+    rest = (high - first * count).cast("decimal(19,0)") * limb + low
+    second = div(rest.cast("decimal(38,0)"), count.cast("decimal(19,0)"))
+    left = rest - second.cast("decimal(19,0)") * count.cast("decimal(19,0)")
+    up = F.when(left * 2 >= count.cast("decimal(19,0)"), F.lit(1)).otherwise(F.lit(0))
+    whole = (first.cast("decimal(19,0)") * limb).cast("decimal(38,0)") + second.cast("decimal(19,0)") + up
+    sized = (whole.cast("decimal(38,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({precision},{scale})")
+    return F.when(total < 0, -sized).otherwise(sized).cast(f"decimal({precision},{scale})")
+
+
 def round_half_up_ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:
     """``round(numerator / denominator, scale)`` half-up, computed in integers:
     ``(2 * num * 10^scale + den) div (2 * den)``.  Both inputs are exact

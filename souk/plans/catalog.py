@@ -81,6 +81,13 @@ REGISTRY: dict[str, tuple[Callable[..., DataFrame], dict]] = {
     "top_products_per_category": (sales.top_products_per_category, {}),
     "avg_purchase_gap": (customers.avg_purchase_gap, {}),
     "seller_monthly_drop": (sellers.seller_monthly_drop, {}),
+    "customers_in_both_years_function": (procedures.customers_in_both_years_function,
+                                         {"year1": YEAR_A, "year2": YEAR_BEFORE}),
+    "late_pct_decimal": (logistics.late_pct, {"exact": True}),
+    "customer_ltv_decimal": (customers.customer_ltv, {"exact": True}),
+    "moving_avg_category_decimal": (sales.moving_avg_category, {"exact": True}),
+    "delivery_days_by_state_exact": (logistics.delivery_days_by_state, {"integer_avg": False}),
+    "lowest_rated_months_truncated": (logistics.lowest_rated_months, {"integer_avg": True}),
     "zero_sales_days": (sales.zero_sales_days, {}),
     "record_months": (sales.record_months, {}),
     "order_prev_next": (customers.order_prev_next, {}),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.measures import (
-    day_diff, in_year, in_years, money_ratio, month_label, to_double, trunc_avg,
+    day_diff, decimal_ratio, in_year, in_years, int_avg, money_ratio, month_label, to_double,
 )
 from souk.operators import (
     above, above_percentile, asc, desc, lag_lead, rank_within, running_sum, top_k,
@@ -45,11 +45,14 @@ def _customer_spend(t: Tables) -> DataFrame:
                  F.count(F.lit(1)).alias("total_orders")))
 
 
-def customer_ltv(t: Tables) -> DataFrame:
-    """Total spend, distinct orders and average order value (rounded to cents)."""
+def customer_ltv(t: Tables, exact: bool = False) -> DataFrame:
+    """Total spend, distinct orders and average order value (rounded to cents;
+    ``exact``: decimal(18,2) and decimal(10,2) instead of doubles)."""
     cs = _customer_spend(t)
-    return (cs.select("customer_id", to_double("total_spend").alias("total_spend"), "total_orders",
-                      money_ratio(F.col("total_spend"), F.col("total_orders")).alias("avg_order_value"))
+    spend, n = F.col("total_spend"), F.col("total_orders")
+    return (cs.select("customer_id", (spend.cast("decimal(18,2)") if exact else to_double(spend)).alias("total_spend"),
+                      "total_orders",
+                      (decimal_ratio(spend, n, 10) if exact else money_ratio(spend, n)).alias("avg_order_value"))
             .orderBy(F.col("total_spend").desc()))
 
 
@@ -138,7 +141,7 @@ def order_prev_next(t: Tables, max_rows: int | None = None) -> DataFrame:
             .orderBy("customer_id", "order_date", "order_id"))
 
 
-def avg_purchase_gap(t: Tables, max_rows: int | None = None) -> DataFrame:
+def avg_purchase_gap(t: Tables, max_rows: int | None = None, integer_avg: bool = True) -> DataFrame:
     """Average days between consecutive purchases per customer (truncated),
     customers with at least two orders."""
     o = t.orders.select("customer_id", "order_id", "order_purchase_timestamp")
@@ -147,7 +150,7 @@ def avg_purchase_gap(t: Tables, max_rows: int | None = None) -> DataFrame:
                  lag="prev_order_date", max_rows=max_rows, rows=t.rows("orders"))
     gap = day_diff("prev_order_date", "order_purchase_timestamp")
     return (g.where(F.col("prev_order_date").isNotNull())
-            .groupBy("customer_id").agg(trunc_avg(gap).alias("avg_gap_days"))
+            .groupBy("customer_id").agg(int_avg(gap, integer_avg).alias("avg_gap_days"))
             .orderBy(F.col("avg_gap_days").desc(), "customer_id"))
 
 

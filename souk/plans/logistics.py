@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.measures import day_diff, round_half_up_ratio, to_double
+from souk.functions.measures import day_diff, decimal_ratio, round_half_up_ratio, to_double, trunc_avg
 from souk.operators import asc, desc, equal_to_max, top_k
 from souk.operators.threshold import percentile_cont, percentile_of
 from souk.plans.common import order_totals
@@ -20,37 +20,40 @@ def _delivery_days() -> F.Column:
     return day_diff("order_purchase_timestamp", "order_delivered_customer_date")
 
 
-def _state_delivery(t: Tables, name: str) -> DataFrame:
-    """Truncated average delivery days per state.  Days are summed and
+def _state_delivery(t: Tables, name: str, integer_avg: bool) -> DataFrame:
+    """Average delivery days per state (truncated: ``integer_avg``).  Days are summed and
     counted per customer first (map-side partial aggregation), so the join
     with customers sees one row per customer; the state average is the exact
     sum / count of the per-order values, as ``avg`` over orders would be."""
     per = (t.orders.where(F.col(DELIVERED).isNotNull())
            .groupBy("customer_id")
            .agg(F.sum(_delivery_days()).alias("_days"), F.count(_delivery_days()).alias("_n")))
+    mean = F.sum("_days").cast("double") / F.sum("_n")
     return (per.join(t.customers.select("customer_id", "customer_state"), "customer_id")
-            .groupBy("customer_state")
-            .agg((F.sum("_days").cast("double") / F.sum("_n")).cast("int").alias(name)))
+            .groupBy("customer_state").agg((mean.cast("int") if integer_avg else mean).alias(name)))
 
 
-def delivery_days_by_state(t: Tables) -> DataFrame:
+def delivery_days_by_state(t: Tables, integer_avg: bool = True) -> DataFrame:
     """Average (truncated) delivery days per customer state, delivered orders."""
-    return _state_delivery(t, "avg_del_days").orderBy(F.col("avg_del_days").desc())
+    return _state_delivery(t, "avg_del_days", integer_avg).orderBy(F.col("avg_del_days").desc())
 
 
-def slowest_states(t: Tables, k: int = 5) -> DataFrame:
+def slowest_states(t: Tables, k: int = 5, integer_avg: bool = True) -> DataFrame:
     """The ``k`` states with the highest average (truncated) delivery days."""
-    return top_k(_state_delivery(t, "avg_delivery_days"),
+    return top_k(_state_delivery(t, "avg_delivery_days", integer_avg),
                  [desc("avg_delivery_days"), asc("customer_state")], k)
 
 
-def late_pct(t: Tables) -> DataFrame:
+def late_pct(t: Tables, exact: bool = False) -> DataFrame:
     """Share of delivered orders that arrived after the estimate, in percent,
-    rounded half-up to two decimals (one row)."""
+    rounded half-up to two decimals (one row; ``exact``: decimal(5,2))."""
     late = F.when(F.col(ESTIMATED) < F.col(DELIVERED), 1).otherwise(0)
     agg = t.orders.where(F.col(DELIVERED).isNotNull()).agg(
         F.sum(late).alias("_late"), F.count(F.lit(1)).alias("_n"))
-    return agg.select(round_half_up_ratio(F.col("_late") * 100, F.col("_n")).alias("perc_late_del"))
+    hundred = F.col("_late") * 100
+    pct = (decimal_ratio(hundred.cast("decimal(22,0)"), F.col("_n"), 5) if exact
+           else round_half_up_ratio(hundred, F.col("_n")))
+    return agg.select(pct.alias("perc_late_del"))
 
 
 def late_pct_per_year(t: Tables) -> DataFrame:
@@ -129,9 +132,11 @@ def best_rated_products(t: Tables, k: int = 10) -> DataFrame:
     return top_k(avg, [desc("avg_score"), asc("product_id")], k)
 
 
-def lowest_rated_months(t: Tables) -> DataFrame:
-    """Month(s) with the lowest average review score (ties kept)."""
+def lowest_rated_months(t: Tables, integer_avg: bool = False) -> DataFrame:
+    """Month(s) with the lowest average review score (ties kept; scores are
+    averaged exactly unless ``integer_avg`` truncates)."""
     d = F.col("review_creation_date")
     m = (t.order_reviews.groupBy(F.year(d).alias("review_year"), F.month(d).alias("review_month"))
-         .agg(F.avg(F.col("review_score").cast("double")).alias("avg_review_score")))
+         .agg((trunc_avg("review_score") if integer_avg else F.avg(F.col("review_score").cast("double")))
+              .alias("avg_review_score")))
     return top_k(m, [asc("avg_review_score")], 1, ties="rank")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.functions.measures import (
-    exact_avg, in_years, item_value, month_label, round_half_up_ratio, to_double,
+    decimal_ratio, exact_avg, in_years, item_value, month_label, round_half_up_ratio, to_double,
 )
 from souk.operators import above_mean, asc, desc, moving, running_max, top_k
 from souk.operators.ordered import resolve_max_rows
@@ -191,10 +191,11 @@ def category_growth(t: Tables, year1: int = 2017, year2: int = 2018) -> DataFram
             .orderBy(F.col("sales_increase").desc()))
 
 
-def moving_avg_category(t: Tables, window: int = 3, calendar: bool = False, max_rows: int | None = None) -> DataFrame:
+def moving_avg_category(t: Tables, window: int = 3, calendar: bool = False, max_rows: int | None = None,
+                        exact: bool = False) -> DataFrame:
     """Daily sales per category with the average over the current and the
     ``window - 1`` previous rows (``calendar=True``: previous calendar days),
-    rounded half-up to cents.
+    rounded half-up to cents (``exact``: as decimal(18,2)).
 
     One category holds at most one row per day, so a window partition is
     bounded by the calendar span, not by data volume."""
@@ -211,9 +212,10 @@ def moving_avg_category(t: Tables, window: int = 3, calendar: bool = False, max_
     else:
         daily = moving(daily, "daily_sales", ["product_category_name"], [asc("sale_date")], window, "_sum", "_n",
                        max_rows=max_rows, rows=_calendar_bound(daily, max_rows, DAY_ROWS))
-    avg = round_half_up_ratio(F.col("_sum"), F.col("_n"))
+    avg = decimal_ratio(F.col("_sum"), F.col("_n"), 18) if exact else round_half_up_ratio(F.col("_sum"), F.col("_n"))
     return (daily.select("product_category_name", "sale_date",
-                         to_double("daily_sales").alias("daily_sales"),
+                         (F.col("daily_sales").cast("decimal(18,2)") if exact else to_double("daily_sales"))
+                         .alias("daily_sales"),
                          avg.alias("moving_avg_3day"))
             .orderBy("product_category_name", "sale_date"))
 

@@ -8,19 +8,19 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.functions.measures import day_diff, item_value, month_label, to_double, trunc_avg
+from souk.functions.measures import day_diff, int_avg, item_value, month_label, to_double
 from souk.operators import above_mean, above_percentile, asc, desc, rank_by_key, top_k
 from souk.sources import Tables
 
 
-def worst_delay_seller(t: Tables) -> DataFrame:
+def worst_delay_seller(t: Tables, integer_avg: bool = True) -> DataFrame:
     """The seller with the highest average (truncated) days between estimated
     and actual delivery, weighted by items."""
     delays = (t.orders.where(F.col("order_delivered_customer_date").isNotNull())
               .join(t.order_items, "order_id")
               .groupBy("seller_id")
-              .agg(trunc_avg(day_diff("order_estimated_delivery_date",
-                                      "order_delivered_customer_date")).alias("avg_delay")))
+              .agg(int_avg(day_diff("order_estimated_delivery_date", "order_delivered_customer_date"),
+                           integer_avg).alias("avg_delay")))
     return top_k(delays, [desc("avg_delay"), asc("seller_id")], 1)
 
 
@@ -76,15 +76,15 @@ def sellers_above_median_orders(t: Tables) -> DataFrame:
     return above_percentile(counts, "total_orders", 0.5, rows=t.rows("sellers"))
 
 
-def seller_speed_rank(t: Tables, max_rows: int | None = None) -> DataFrame:
+def seller_speed_rank(t: Tables, max_rows: int | None = None, integer_avg: bool = True) -> DataFrame:
     """Average (truncated) delivery days per seller and a global rank, fastest
     first; sellers without deliveries have a NULL average and rank first.
 
     A global rank without a cut: computed from key counts (few distinct
     averages, many ties) with the segmented running sum, never on one task."""
     speed = (t.orders.join(t.order_items, "order_id").groupBy("seller_id")
-             .agg(trunc_avg(day_diff("order_purchase_timestamp",
-                                     "order_delivered_customer_date")).alias("avg_diff")))
+             .agg(int_avg(day_diff("order_purchase_timestamp", "order_delivered_customer_date"),
+                          integer_avg).alias("avg_diff")))
     return (rank_by_key(speed, [], [asc("avg_diff")], "speed_rank", max_rows=max_rows, rows=t.rows("sellers"))
             .select("seller_id", "avg_diff", "speed_rank")
             .orderBy("speed_rank", "seller_id"))
