@@ -15,12 +15,18 @@ labelled bad.  The cut between both, among those that pass the base rules, has
 the least sum of the share of good ones below and bad ones above; ``THRESHOLD``
 serves where either kind has no row.
 
-Null and empty texts have no words and fail the base rules.  Rows with a null
-id are scored but never trusted.  Repeated rows count as often as they occur.
-With no trusted document every weight is zero, so only the base rules decide.
-Columns of the input other than id and text are passed through untouched by
-``annotate`` unless they carry one of its names, in which case it replaces
-them.
+``measure`` reads each text once: the base counts and the bucket numbers of its
+n-grams.  Written to the shared folder, that table serves the counts
+(``fit_measured``) and the scores (``verdict``); ``fit`` and ``annotate`` do
+the same from texts.
+
+Null and empty texts have no words and fail the base rules; texts are read
+whole, of any length.  Rows with a null id are scored but never trusted.
+Repeated rows count as often as they occur, and ties of a score at the
+threshold are kept.  An empty table gives no rows.  With no trusted document
+every weight is zero, so only the base rules decide.  All columns of the input
+are passed through untouched, whatever their names, unless they carry one of
+``COLUMNS``, in which case that column replaces them.
 
 All of it is DataFrame functions.
 """
@@ -34,6 +40,9 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from souk.llm.shared import stage
+
+#: A power of two.
 BUCKETS = 1 << 14
 MAX_TRUSTED = 20_000
 SMOOTHING = 1.0
@@ -65,7 +74,8 @@ def _joined(runs: str, by: int) -> Column:
 
 
 def _bucket(h: Column, buckets: int) -> Column:
-    return F.pmod(h, F.lit(buckets)).cast("int")
+    """The leading bits of a hash."""
+    return F.shiftrightunsigned(h, 64 - (buckets.bit_length() - 1)).cast("int")
 
 
 class Weights(list):
@@ -109,30 +119,34 @@ def cut(good: list[float], bad: list[float]) -> float:
     return best[2]
 
 
-def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> Weights:
-    """log(target / raw) of each bucket, from all documents, and the threshold.
-    ``trusted``: a bounded table of ids (``trusted_ids``)."""
-    rows = (docs.select(F.col(id_col).alias("id"), _hashes(_tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("one"))
-            .select("id", F.concat("one", _joined("one", 1)).alias("n")))
+def fit_measured(rows: DataFrame, trusted: DataFrame, id_col: str = "doc_id", buckets: int = BUCKETS,
+                 smoothing: float = SMOOTHING) -> Weights:
+    """log(target / raw) of each bucket, from all rows of ``measure``, and the
+    threshold.  ``trusted``: a bounded table of ids (``trusted_ids``)."""
+    rows = rows.withColumn("id", F.col("row")[id_col])
     known = rows.join(F.broadcast(trusted), F.col("id") == F.col("trusted_id"), "left")  # max_trusted rows at most, and a part of it
     # 0: not trusted, 1: trusted, 2: trusted and held.  One key and one count serve the three sums.
     kind = F.when(F.col("good") == 1, F.when(F.col("held"), 2).otherwise(1)).otherwise(0)
-    counts = (known.select(F.explode("n").alias("h"), kind.alias("kind"))
-              .groupBy((_bucket(F.col("h"), buckets) * 3 + F.col("kind")).alias("key"))
-              .count().collect())  # three times buckets rows
+    # explode_outer: Spark adds a filter on the array's size below explode, and that would build every array again
+    counts = (known.select(F.explode_outer("ngrams").alias("b"), kind.alias("kind"))
+              .groupBy((F.col("b") * 3 + F.col("kind")).alias("key"))
+              .count().where(F.col("key").isNotNull()).collect())  # three times buckets rows
     of = [Counter({r["key"] // 3: r["count"] for r in counts if r["key"] % 3 == k}) for k in range(3)]
     raw = of[0] + of[1] + of[2]
     weights = _ratios(raw, of[1] + of[2], buckets, smoothing)
     without = _ratios(raw, of[1], buckets, smoothing)
-    held = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(trusted.where("held").select("trusted_id", "good")), F.col("id") == F.col("trusted_id"))
-    # Filtered here: a filter pushed below the projections would work out every array again.
-    scored = annotate(held.select("good", "text"), without).select("good", "base_failed", "quality_score").collect()
-    weights.threshold = cut(*[[r["quality_score"] for r in scored if r["good"] == g and not r["base_failed"]] for g in (1, 0)])
+    held = rows.join(F.broadcast(trusted.where("held").select("trusted_id", "good")), F.col("id") == F.col("trusted_id"))
+    scored = held.select("good", "base_failed", _score(without).alias("score")).collect()
+    weights.threshold = cut(*[[r["score"] for r in scored if r["good"] == g and not r["base_failed"]] for g in (1, 0)])
     return weights
 
 
+def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> Weights:
+    """:func:`fit_measured` of ``docs``."""
+    return fit_measured(measure(docs.select(id_col, text_col), text_col, buckets), trusted, id_col, buckets, smoothing)
+
+
 def _lines(text: str) -> Column:
     """The lines that hold a word."""
     return F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -163,46 +177,65 @@ def _covered(sorted_windows: str) -> Column:
 COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality_score", "kept")
 
 
-def annotate(docs: DataFrame, weights: list[float], text_col: str = "text",
-             threshold: float | None = None) -> DataFrame:
-    """``docs`` with the base counts, the score and the verdict, by default
-    at the threshold of the weights."""
-    threshold = getattr(weights, "threshold", THRESHOLD) if threshold is None else threshold
-    carried = [c for c in docs.columns if c not in COLUMNS]
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    # One literal array of fixed length, looked up by bucket.
-    table = F.from_json(F.lit(json.dumps(weights)), "array<double>")
+def measure(docs: DataFrame, text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
+    """``row`` (all columns of ``docs``), the base counts and verdict, and
+    ``ngrams``: the buckets of the text's tokens and pairs."""
+    if buckets < 2 or buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two")
     # Every array is a column of its own before a lambda reads it: inside the
     # lambda it would be built again for each element.
-    rows = docs.select(*carried, text.alias("__t"), _words(text).alias("__w"))
-    rows = rows.select("*", _hashes(F.col("__w")).alias("__1"), _lines("__t").alias("__l"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("t"), _words(text).alias("w"))
+    rows = rows.select("*", _hashes(F.col("w")).alias("r1"), _lines("t").alias("l"))
     for size in (1, 2, 4):  # up to WINDOW
-        rows = rows.select("*", _joined(f"__{size}", size).alias(f"__{2 * size}"))
-    rows = rows.select("*", _sorted_windows("__w", f"__{WINDOW}").alias("__s"), _hashes(_tokens(F.col("__t"))).alias("__k"))
-    rows = rows.select("*", _joined("__k", 1).alias("__p"))
-    total = F.lit(0.0)
-    for runs in ("__k", "__p"):
-        total = F.aggregate(runs, total, lambda a, h: a + F.get(table, _bucket(h, len(weights))))
-    n = F.size("__k") + F.size("__p")
+        rows = rows.select("*", _joined(f"r{size}", size).alias(f"r{2 * size}"))
+    rows = rows.select("*", _sorted_windows("w", f"r{WINDOW}").alias("s"), _hashes(_tokens(F.col("t"))).alias("k"))
+    rows = rows.select("*", F.concat("k", _joined("k", 1)).alias("n"))
     rows = rows.select(
-        *carried, F.size("__w").cast("long").alias("n_words"),
-        F.char_length(F.array_join("__w", "")).cast("long").alias("word_chars"),
-        F.char_length(F.regexp_replace("__t", _SYMBOL, "")).cast("long").alias("n_symbols"),
-        (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
-        _covered("__s").alias("n_repeat_words"),
-        F.when(n > 0, total / n).otherwise(0.0).alias("quality_score"),
-        F.monotonically_increasing_id().alias("__row"))
+        "row", F.size("w").cast("long").alias("n_words"),
+        F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        F.char_length(F.regexp_replace("t", _SYMBOL, "")).cast("long").alias("n_symbols"),
+        (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
+        _covered("s").alias("n_repeat_words"),
+        F.transform("n", lambda h: _bucket(h, buckets)).alias("ngrams"))
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PCT) * F.col("n_words"))
-    # The row number, never negative, keeps a filter on the verdict above the
-    # projections: pushed below, it would work out every array again.
-    passed = (F.col("quality_score") >= threshold) & (F.col("__row") >= 0)
-    return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & passed).drop("__row")
+    return rows.withColumn("base_failed", failed)
+
+
+def _score(weights: list[float]) -> Column:
+    """Mean weight of the n-grams."""
+    # One literal array of fixed length, looked up by bucket.
+    table = F.from_json(F.lit(json.dumps(weights)), "array<double>")
+    total = F.aggregate("ngrams", F.lit(0.0), lambda a, b: a + F.get(table, b))
+    return F.when(F.size("ngrams") > 0, total / F.size("ngrams")).otherwise(0.0)
+
+
+def verdict(rows: DataFrame, weights: list[float], threshold: float | None = None) -> DataFrame:
+    """Rows of ``measure`` with ``quality_score`` and ``kept``, by default at
+    the threshold of the weights."""
+    threshold = getattr(weights, "threshold", THRESHOLD) if threshold is None else threshold
+    rows = rows.withColumn("quality_score", _score(weights))
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("quality_score") >= threshold)).drop("ngrams")
+
+
+def annotate(docs: DataFrame, weights: list[float], text_col: str = "text",
+             threshold: float | None = None) -> DataFrame:
+    """``docs`` with the base counts, the score and the verdict."""
+    rows = verdict(measure(docs, text_col, len(weights)), weights, threshold)
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in COLUMNS], *COLUMNS)
+
+
+def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           threshold: float | None = None) -> DataFrame:
+    """Rows of :func:`verdict`, fitted on ``docs`` themselves; the texts are
+    read once."""
+    rows = stage(measure(docs, text_col), "quality")
+    return verdict(rows, fit_measured(rows, trusted_ids(labels, id_col), id_col), threshold)
 
 
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          threshold: float | None = None) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns."""
-    weights = fit(docs, trusted_ids(labels, id_col), id_col, text_col)
-    row = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
-    return annotate(row, weights, "text", threshold).where("kept").select("row.*")
+    found = judged(docs, labels, id_col, text_col, threshold).where("kept")
+    return found.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -84,11 +84,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _documents(spark, sf_dir)
-    weights = quality.fit(docs, quality.trusted_ids(_table(spark, sf_dir, "labels")))
-    return quality.annotate(docs.select("doc_id", "text"), weights).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "quality_score")
+    # the table written between fit and verdict holds ids and counts, no texts
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    rows = stage(quality.measure(docs).withColumn("row", F.struct(F.col("row.doc_id").alias("doc_id"))), "quality")
+    weights = quality.fit_measured(rows, quality.trusted_ids(_table(spark, sf_dir, "labels")))
+    return quality.verdict(rows, weights).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "quality_score")
 
 
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

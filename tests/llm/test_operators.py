@@ -489,3 +489,41 @@ def test_kneser_ney_without_training_rows(odd, none):
     rows = kneser_ney.score(odd, kneser_ney.fit(none)).collect()
     assert len(rows) == odd.count() and all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in rows)
     assert kneser_ney.score(none, kneser_ney.fit(odd)).count() == 0
+
+
+def test_quality_passes_any_column_name_through(spark, docs):
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    names = ["__t", "__w", "__1", "__row", "row", "t", "w", "n", "ngrams", "a.b"]
+    odd_names = docs.limit(40).select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    weights = quality.fit(docs, quality.trusted_ids(labels))
+    want = {r["doc_id"]: (r["kept"], r["quality_score"]) for r in quality.annotate(docs.limit(40), weights).collect()}
+    got = quality.annotate(odd_names, weights)
+    assert got.columns == [*odd_names.columns, *quality.COLUMNS]
+    for r in got.collect():
+        assert (r["kept"], r["quality_score"]) == want[r["doc_id"]] and [r[c] for c in names] == list(range(len(names)))
+    assert quality.keep(odd_names, labels).columns == odd_names.columns
+    with pytest.raises(ValueError):
+        quality.measure(docs, buckets=1000)
+
+
+def test_quality_counts_and_score_by_brute_force(spark, docs):
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    weights = quality.fit(docs, quality.trusted_ids(labels))
+    good = {r["trusted_id"] for r in quality.trusted_ids(labels).where("good = 1").collect()}
+    rows = docs.select("doc_id", F.transform(quality._tokens(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w)).alias("k")).collect()
+    grams = {}
+    for r in rows:
+        k = r["k"]
+        pairs = [xxhash.xxh64_intdigest(struct.pack("<q", b), seed=xxhash.xxh64_intdigest(struct.pack("<q", a), seed=42))
+                 for a, b in zip(k, k[1:])]
+        grams[r["doc_id"]] = [(h & (1 << 64) - 1) >> 50 for h in k] + [h >> 50 for h in pairs]
+    raw = Counter(b for g in grams.values() for b in g)
+    target = Counter(b for i, g in grams.items() if i in good for b in g)
+    size = quality.BUCKETS
+    want = [math.log((target[b] + 1) / (sum(target.values()) + size)) - math.log((raw[b] + 1) / (sum(raw.values()) + size))
+            for b in range(size)]
+    assert list(weights) == pytest.approx(want)
+    for r in quality.annotate(docs, weights).collect():
+        g = grams[r["doc_id"]]
+        assert r["quality_score"] == pytest.approx(sum(want[b] for b in g) / len(g) if g else 0.0)
+        assert r["kept"] == (not r["base_failed"] and r["quality_score"] >= weights.threshold)
