@@ -15,8 +15,9 @@ kept in a bounded table.
 
 Characters without a piece become byte pieces (or the unknown piece, if the
 model has none).  Null texts count as empty and give no ids.  Repeated rows
-give repeated results; very long units take time in proportion to their
-length.  Columns other than id and text are not read.
+give repeated results, and an empty table none; very long units take time in
+proportion to their length.  Of ways with one score the first found stays (the
+shortest last piece).  Columns other than id and text are not read.
 
 The vocabulary file's path is a parameter; models with a normalisation table
 of their own are refused.
@@ -127,14 +128,18 @@ class Encoder:
         self.spelt = spelt
         self.units: dict[str, bytes] = {}
         self.apart: dict[int, bool] = {}
+        self.ends: dict[int, tuple[list[float], list[str], list[str], bool]] = {}
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
         return (keys ^ keys >> np.uint64(29)) * _BASE >> np.uint64(64 - _FILTER_BITS)
 
-    def _merged(self, text: str) -> list[str]:
-        """Merges by score, leftmost first, of a short string."""
-        parts = list(text)
+    def _ends(self, piece: int) -> tuple[list[float], list[str], list[str], bool]:
+        """How a piece comes about by merges by score, leftmost first: the
+        score of each merge, the first and the last part before each merge and
+        at the end, and whether one part is left."""
+        parts, scores = list(self.model.text[piece]), []
+        first, last = [parts[0]], [parts[-1]]
         while True:
             best, at = None, -1
             for i in range(len(parts) - 1):
@@ -142,8 +147,41 @@ class Encoder:
                 if j is not None and (best is None or self.model.score[j] > best):
                     best, at = self.model.score[j], i
             if best is None:
-                return parts
+                return scores, first, last, len(parts) == 1
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            scores.append(float(best))
+            first.append(parts[0])
+            last.append(parts[-1])
+
+    def _left_alone(self, a: int, b: int) -> bool:
+        """Whether merging the two pieces' characters gives the two pieces:
+        each comes about by its own merges, in order of score, and no merge
+        across the border comes before theirs end."""
+        if a not in self.ends:
+            self.ends[a] = self._ends(a)
+        if b not in self.ends:
+            self.ends[b] = self._ends(b)
+        left, _, tail, one = self.ends[a]
+        right, head, _, other = self.ends[b]
+        if not (one and other):
+            return False
+        ids, score = self.model.ids, self.model.score
+        i = j = 0
+        while True:
+            over = ids.get(tail[i] + head[j])
+            x = left[i] if i < len(left) else None
+            y = right[j] if j < len(right) else None
+            if over is not None:
+                # on equal scores the leftmost merge comes first
+                c = score[over]
+                if (x is None or c > x) and (y is None or c >= y):
+                    return False
+            if x is None and y is None:
+                return True
+            if y is None or (x is not None and x >= y):
+                i += 1
+            else:
+                j += 1
 
     def _open(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether each two neighbouring pieces are left alone by merging."""
@@ -151,11 +189,9 @@ class Encoder:
         known, out = self.apart, np.ones(len(pairs), bool)
         if len(known) > _PAIRS:
             known.clear()
-        text = self.model.text
         for i, pair in enumerate(pairs.tolist()):
             if (hit := known.get(pair)) is None:
-                a, b = text[pair >> 32], text[pair & 0xFFFFFFFF]
-                known[pair] = hit = self._merged(a + b) == [a, b]
+                known[pair] = hit = self._left_alone(pair >> 32, pair & 0xFFFFFFFF)
             out[i] = hit
         return out[back]
 
