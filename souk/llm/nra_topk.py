@@ -12,13 +12,13 @@ resolved by one matrix product.  A block is held whole and the steps are few
 (``_DEPTHS``): with many queries a block little is left out before that product
 (figures in the README).  The bounds of all queries come from two matrix products per step.
 
-Components become floor(scale * x) as whole numbers, and products are summed
-in float64, which is exact below 2**53.
+Components become floor(scale * x) as whole numbers.  Scores are exact: where
+dimension x largest component x largest weight stays below 2**53 they are
+summed in float64, beyond that in int64, and bounds leave room for rounding.
+Scores that a long cannot hold raise OverflowError.  No rows give no rows.
 
 Vectors that are null, empty or hold null or non-finite components take no
-part; so do vectors whose length differs from the most common one among valid
-vectors' own block partner (lengths are compared per query).  A row with a
-null id is no query and no candidate.  A query's own row is every row with its
+part; a query meets the vectors of its own length only.  A row with a null id is no query and no candidate.  A query's own row is every row with its
 id.  Repeated rows are separate candidates.  Ties go to the smaller id.
 """
 
@@ -42,6 +42,11 @@ def block_topk(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, quer
     weights = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).T
     lists = np.sort(vectors, axis=0)
     n = len(vectors)
+    limit = vectors.shape[1] * float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0))
+    if limit >= 2.0 ** 63:
+        raise OverflowError("scores do not fit a long")
+    whole = limit < 2.0 ** 53
+    slack = 0.0 if whole else limit * vectors.shape[1] * 2.0 ** -50
     worst, best = lists[0], lists[-1]
     alive = np.arange(n)
     for depth in _DEPTHS:
@@ -54,14 +59,16 @@ def block_topk(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, quer
         lower = np.concatenate([np.where(v >= high, v, worst), np.where(v <= low, v, best)], axis=1) @ weights
         lower[ids[alive][:, None] == query_ids[None, :]] = -np.inf
         bound = np.partition(lower, len(alive) - k, axis=0)[len(alive) - k] if len(alive) >= k else np.full(len(queries), -np.inf)
-        alive = alive[(upper >= bound).any(axis=1)]
-    score = vectors[alive] @ queries.T
-    score[ids[alive][:, None] == query_ids[None, :]] = -np.inf
+        alive = alive[(upper >= bound - slack).any(axis=1)]
+    score = ((vectors[alive] @ queries.T).astype(np.int64) if whole
+             else vectors[alive].astype(np.int64) @ queries.T.astype(np.int64))
+    none = np.iinfo(np.int64).min
+    score[ids[alive][:, None] == query_ids[None, :]] = none
     if len(alive) > k:
         floor = np.partition(score, len(alive) - k, axis=0)[len(alive) - k]
-        at, q = np.nonzero((score >= floor) & (score > -np.inf))
+        at, q = np.nonzero((score >= floor) & (score > none))
     else:
-        at, q = np.nonzero(score > -np.inf)
+        at, q = np.nonzero(score > none)
     s = score[at, q]
     order = np.lexsort((ids[alive[at]], -s, q))
     q, at, s = q[order], at[order], s[order]
