@@ -164,11 +164,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
              bits: int = 4, segments: int = 3) -> DataFrame:
     """The rows of ``docs`` that stay: one of each group, the one with the
     smallest id (then the smallest row hash; equal rows count as one)."""
-    row = F.xxhash64(*[F.col(c) for c in docs.columns], F.lit("row"))
-    keyed = docs.select(F.struct(F.col(id_col).alias("id"), row.alias("row")).alias("key"),
-                        F.col(text_col).alias("text"))
-    group = groups(keyed, "key", "text", words, bits, segments)
-    stay = group.select(F.col("component_id")["row"].alias("stay")).distinct()
-    marked = docs.withColumn("__row", row)
-    kept = marked.join(stay, marked["__row"] == stay["stay"], "left_semi")
-    return kept.dropDuplicates(["__row"]).drop("__row")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(whole, F.lit("row")).alias("row"))
+    group = groups(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", words, bits, segments)
+    stay = group.select(F.col("component_id").alias("key")).distinct()
+    # the id is part of the key: rows of two ids never stand for each other
+    kept = docs.select(key.alias("key"), whole.alias("whole")).join(stay, "key", "left_semi").dropDuplicates(["key"])
+    return kept.select(*[F.col("whole")[c].alias(c) for c in docs.columns])

@@ -527,3 +527,53 @@ def test_quality_counts_and_score_by_brute_force(spark, docs):
         g = grams[r["doc_id"]]
         assert r["quality_score"] == pytest.approx(sum(want[b] for b in g) / len(g) if g else 0.0)
         assert r["kept"] == (not r["base_failed"] and r["quality_score"] >= weights.threshold)
+
+
+def test_topk_exact_beyond_double(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in 1e5 + rng.standard_normal(64) * 3e3]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = nra_topk.top_k(df, df.where("vec_id % 50 = 0"), 5).collect()
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = []
+    for q in range(0, 200, 50):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])]
+    assert max(abs(w[3]) for w in want) > 2 ** 53
+    assert sorted(tuple(r) for r in got) == want
+    with pytest.raises(OverflowError):
+        nra_topk.block_topk(np.arange(2), np.full((2, 4), 2.0 ** 40), np.arange(1), np.full((1, 4), 2.0 ** 40), 1)
+
+
+def test_simhash_keeps_one_with_any_column_name(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "a", 1), (2, text, "b", 2), (2, text, "c", 3), (3, "quite another text with other words in it", "d", 4),
+            (3, "quite another text with other words in it", "d", 4), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, __row string, key int")
+    got = simhash.keep_one(df)
+    assert got.columns == df.columns
+    kept = sorted(map(tuple, got.collect()), key=str)
+    assert kept == sorted([(1, text, "a", 1), (3, "quite another text with other words in it", "d", 4),
+                           (None, None, None, None)], key=str)
+
+
+def test_sentencepiece_pair_rule_equals_merging():
+    encoder = sentencepiece_viterbi.Encoder(public_tokenizers.path("piece_bpe_32k.model"))
+    model, rng = encoder.model, np.random.default_rng(5)
+
+    def merged(text):
+        parts = list(text)
+        while True:
+            found = [(-model.score[j], i) for i in range(len(parts) - 1)
+                     if (j := model.ids.get(parts[i] + parts[i + 1])) is not None]
+            if not found:
+                return parts
+            at = min(found)[1]
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    pieces = sorted(model.text)
+    seen = Counter()
+    for a, b in rng.choice(pieces, (4000, 2)):
+        alone = encoder._left_alone(int(a), int(b))
+        seen[alone] += 1
+        assert alone == (merged(model.text[a] + model.text[b]) == [model.text[a], model.text[b]])
+    assert min(seen[True], seen[False]) > 50
