@@ -167,7 +167,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(whole, F.lit("row")).alias("row"))
     group = groups(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", words, bits, segments)
-    stay = group.select(F.col("component_id").alias("key")).distinct()
+
+    def parts(key: Column) -> list[Column]:
+        # plain columns, never null: the join and the removal of equal rows share one shuffle
+        return [F.coalesce(F.concat(F.lit("="), key["id"].cast("string")), F.lit("-")).alias("i"), key["row"].alias("h")]
+
+    stay = group.select(*parts(F.col("component_id"))).distinct()
     # the id is part of the key: rows of two ids never stand for each other
-    kept = docs.select(key.alias("key"), whole.alias("whole")).join(stay, "key", "left_semi").dropDuplicates(["key"])
+    kept = docs.select(*parts(key), whole.alias("whole")).join(stay, ["i", "h"], "left_semi").dropDuplicates(["i", "h"])
     return kept.select(*[F.col("whole")[c].alias(c) for c in docs.columns])
