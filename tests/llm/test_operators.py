@@ -295,6 +295,51 @@ def test_topk_repeated_query_ids(spark):
             (50, 1, 9, 9 * 65536), (50, 2, 8, 8 * 65536)]
 
 
+def test_topk_lists_stop_early_and_resolve_all():
+    rng = np.random.default_rng(9)
+    n, k = 4000, 5
+    # A few large components per vector: lists decide early.
+    vectors = np.where(rng.random((n, 8)) < 0.02, rng.integers(50, 400, (n, 8)), rng.integers(0, 3, (n, 8))).astype(float)
+    ids = np.arange(n)
+    asked = np.arange(0, n, 200)
+    block = nra_topk.Lists(ids, vectors)
+    found, depths = nra_topk.read_lists(block, asked, vectors[asked], k)
+    assert depths.max() <= n and (depths < n / 4).mean() > 0.5 and len(set(depths)) > 1  # each query stops on its own
+    q, at, score = nra_topk.block_topk(ids, vectors, asked, vectors[asked], k)
+    for j, name in enumerate(asked):
+        exact = sorted((-int(s), i) for i, s in enumerate(vectors @ vectors[name]) if i != name)[:k]
+        assert [(-int(s), int(i)) for s, i in zip(score[q == j], at[q == j])] == exact
+        assert {i for _, i in exact} <= set(found[j].tolist()) and len(found[j]) < n / 10
+
+
+@pytest.mark.parametrize("k,step", [(1, 1), (3, 2), (5, 64), (400, 8)])
+def test_topk_lists_equal_brute_force(k, step):
+    rng = np.random.default_rng(k)
+    vectors = rng.integers(-3, 4, (300, 5)).astype(float)
+    vectors[100:200] = vectors[0]
+    asked = np.array([0, 7, 299, 1000])
+    weights = np.vstack([vectors[[0, 7, 299]], np.zeros((1, 5))])
+    found, _ = nra_topk.read_lists(nra_topk.Lists(np.arange(300), vectors), asked, weights, k, step)
+    for name, w, rows in zip(asked, weights, found):
+        exact = sorted((-s, i) for i, s in enumerate(vectors @ w) if i != name)[:k]
+        assert {i for _, i in exact} <= set(rows.tolist())
+
+
+def test_topk_many_copies_and_mixed_lengths(spark):
+    rows = [(1, [1.0, 1.0])] * 500 + [(i, [float(i % 7), 1.0]) for i in range(2, 60)] + [(i, [1.0] * 3) for i in range(100, 104)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nra_topk.top_k(df, df.where("vec_id in (50, 100)"), k=4, vector_block=16, query_block=1, step=1).collect()
+    want = []
+    whole = [(i, [256 * x for x in v]) for i, v in rows]
+    for q in (50, 100):
+        w = dict(whole)[q]
+        scored = sorted((-sum(a * b for a, b in zip(w, v)), i) for i, v in whole if i != q and len(v) == len(w))[:4]
+        want += [(q, r + 1, i, int(-s)) for r, (s, i) in enumerate(scored)]
+    assert sorted(tuple(r) for r in got) == want
+    least = nra_topk.top_k(df.where("vec_id < 3"), df.where("vec_id = 2"), k=600).collect()
+    assert [r["vec_id"] for r in least] == [1] * 500
+
+
 # 7
 
 def test_secrets_base_by_brute_force(spark, docs):
