@@ -7,7 +7,9 @@ Lexing: source and configuration syntax is read as name, sign and literal
 (``name = "x"``, ``name: x``, ``"name" => 'x'``, ``export NAME=x``), with a type
 between name and sign or not (``name: Type = "x"``, ``var name Type = "x"``), where a
 value may be a quoted literal, a bare word, another name (also ``$NAME`` and
-``${NAME}``), or such parts joined by ``+`` or ``.``.  Any bare word that the
+``${NAME}``), or such parts joined by ``+`` or ``.``.  ``assignments`` adds the
+forms in which name and literal stand further apart (subscripts, tuples, calls
+and defaults, prefixed and long strings, types, YAML blocks, XML pairs).  Any bare word that the
 text assigns is a reference.  A name takes the literals of the names it refers
 to; a concatenation is scored as folded and its parts are reported.  Each name
 is split into its words, which give it a sensitivity; a literal scores the
@@ -32,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from souk.llm import assignments
 from souk.llm.shared import slices
 
 KINDS = ("assign", "access", "hex", "lexed")
@@ -164,8 +167,27 @@ def _folded(text: str, rows: list[tuple[str, list[Part]]]) -> list[Counter]:
     return out
 
 
+def _sensitive(name: str) -> bool:
+    return sensitivity(name) >= THRESHOLD
+
+
+def _apart(text: str) -> set[tuple[int, int]]:
+    """Literals that ``assignments`` pairs with a sensitive name."""
+    found: set[tuple[int, int]] = set()
+    for name, places in assignments.pairs(text, _sensitive):
+        weight, values = sensitivity(name), [text[a:b] for a, b in places]
+        whole = len(places) > 1 and weight * looks_random("".join(values)) >= THRESHOLD
+        found.update(p for p, v in zip(places, values) if whole or weight * looks_random(v) >= THRESHOLD)
+    return found
+
+
 def lexed(text: str) -> list[Found]:
     """Literals that reach a sensitive name, directly or by constants."""
+    return [(a, 3, b) for a, b in sorted(_reached(text) | _apart(text))]
+
+
+def _reached(text: str) -> set[tuple[int, int]]:
+    """Literals that ``_expressions`` lead to a sensitive name."""
     rows = _expressions(text)
     of: dict[str, list[int]] = {}
     for i, (name, _) in enumerate(rows):
@@ -182,7 +204,7 @@ def lexed(text: str) -> list[Found]:
                 reached[n] = weights[name]
                 front += [p for i in of[n] for p in rows[i][1] if isinstance(p, str)]
     if not reached:
-        return []
+        return set()
     folded: list[Counter] = []
     if any(len(rows[i][1]) > 1 for n in reached for i in of[n]):
         folded = _folded(text, rows)
@@ -207,7 +229,7 @@ def lexed(text: str) -> list[Found]:
             for i in of[n]:
                 found.update(p for p in rows[i][1] if not isinstance(p, str) and p[0] < p[1])
                 front += [p for p in rows[i][1] if isinstance(p, str)]
-    return [(a, 3, b) for a, b in sorted(found)]
+    return found
 
 
 def scan(text: str) -> list[Found]:

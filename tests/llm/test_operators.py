@@ -384,6 +384,44 @@ def test_secrets_typed_declarations(text):
                                  .replace("apiKey", "colour").replace("CLIENT_SECRET", "C").replace("client_secret", "c"))
 
 
+@pytest.mark.parametrize("text", [
+    f'client_secret = b"{KEY}"', f'client_secret = f"{KEY}"', f'client_secret = """{KEY}"""', f"client_secret = \'\'\'\n{KEY}\n\'\'\'",
+    f'client_secret = ("{KEY}")', f'const clientSecret = `{KEY}`;', f'config["client_secret"] = "{KEY}"',
+    f"os.environ['CLIENT_SECRET'] = '{KEY}'", f'a, client_secret = 1, "{KEY}"', f'client_secret = \\\n    "{KEY}"',
+    f'client_secret =\n    "{KEY}"', f'client_secret: |\n  {KEY}\n', f'client_secret: >-\n    {KEY}',
+    f'<add key="client_secret" value="{KEY}"/>', f'<client_secret>{KEY}</client_secret>', f'#define CLIENT_SECRET "{KEY}"',
+    f'run --client-secret {KEY} --verbose', f'run --client-secret={KEY}', f'x = os.getenv("CLIENT_SECRET", "{KEY}")',
+    f'client_secret = os.getenv("X", "{KEY}")', f'client_secret = x or "{KEY}"', f'clientSecret = env.x ?? "{KEY}"',
+    f'o.setClientSecret("{KEY}")', f'o.set("client_secret", "{KEY}")',
+    f'apiKey: Map<string, Array<Promise<Foo<Bar>>>> = "{KEY}"', f'password: Foo[{"x" * 90}] = "{KEY}"',
+    f'def f(a, client_secret="{KEY}"): pass', f'f(client_secret = "{KEY}")'])
+def test_secrets_forms_further_apart(text):
+    found = [text[a:b] for a, _, b in secret_scan.lexed(text)]
+    assert KEY in found and KEY not in secret_scan.mask(text)
+    plain = text
+    for name in ("client_secret", "client-secret", "CLIENT_SECRET", "clientSecret", "ClientSecret", "apiKey", "password"):
+        plain = plain.replace(name, "Colour")
+    assert not secret_scan.lexed(plain)
+
+
+def test_secrets_adjacent_strings_are_one_value():
+    a, b = KEY[:6], KEY[6:]
+    text = f'client_secret = ("{a}"\n   "{b}")'
+    assert {a, b} <= {text[x:y] for x, _, y in secret_scan.lexed(text)}
+
+
+@pytest.mark.parametrize("unit", [
+    "key:", "key=(", 'key="', "secret: a<", "secret, ", "secret = `", 'key="""', "secretkey", "<secret>", "--secret ", "set_secret(",
+    "secret = f(", 'x("secret", ', "secret: |\n", "secret = a or ", "İ secret="])
+def test_secrets_forms_take_linear_time(unit):
+    import time
+    from souk.llm import assignments
+    text = unit * (300_000 // len(unit))
+    start = time.process_time()
+    assignments.pairs(text, lambda name: True)
+    assert time.process_time() - start < 5
+
+
 def test_secrets_typed_declarations_by_query(spark):
     df = spark.createDataFrame(list(enumerate(TYPED)), "doc_id int, text string")
     assert not [r for r in secret_scan.redact(df).collect() if KEY in r["text"]]
