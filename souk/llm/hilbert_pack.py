@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ END_ID = 1
 DIMENSIONS, BITS, BUCKETS = 3, 10, 1024
 _BLOCK = 1 << 20
 _CACHE_WORDS, _CACHE_CHARS = 500_000, 40
+_LINE = 200  # words encoded as one text
 _SPACE_SIGN = "\u0120"  # byte-level vocabularies write a space so
 #: Sequences of partition p are numbered from p << 40.
 PARTITION_SHIFT = 40
@@ -95,52 +97,57 @@ class Encoder:
     Texts with a space amid white space, and texts that hold the literal of an
     added token, are encoded whole."""
 
-    _WHOLE = re.compile(r"\s (?:\s|\Z)")
+    #: Begins with its literal, so a search goes from space to space.
+    _WHOLE = re.compile(r" (?<=\s )(?:\s|\Z)")
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-        #: A text with an added token's literal is encoded whole as well.
-        self.unsplit = re.compile("|".join([self._WHOLE.pattern, *map(re.escape, added)]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.spaced[[i for piece, i in self.tokenizer.get_vocab().items() if piece.startswith(_SPACE_SIGN)]] = True
 
+    def unsplit(self, text: str) -> bool:
+        return self._WHOLE.search(text) is not None or any(a in text for a in self.added)
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word with a space before it.  The words are encoded as
-        one text: a token that begins with the space begins a word."""
+        """Ids of each word with a space before it.  The words are encoded in
+        lines: a token that begins with the space begins a word."""
         if not words:
             return []
-        ids = np.array(self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids, "<u4")
+        lines = [" " + " ".join(words[i:i + _LINE]) for i in range(0, len(words), _LINE)]
+        found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), "<u4")
         cuts = np.append(np.flatnonzero(self.spaced[ids]), len(ids)) * 4
         raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        return [raw[a:b] for a, b in pairwise(cuts.tolist())]
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
         plain = [w for w in words if w and not (w[0].isspace() or w[-1].isspace())]
         rest = list(words.difference(plain))
+        learnt = dict(zip(rest, self._whole([" " + w for w in rest]), strict=True))
         for i in range(0, len(plain), 20_000):
             part = plain[i:i + 20_000]
-            self.words.update(zip(part, self._words(part), strict=True))
-        self.words.update(zip(rest, self._whole([" " + w for w in rest]), strict=True))
+            learnt.update(zip(part, self._words(part), strict=True))
+        return learnt
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [None if self.unsplit.search(t) else t.split(" ") for t in texts]
-        used = set().union(*[p[1:] for p in parts if p])
-        need = used - self.words.keys()
-        if len(self.words) + len(need) > _CACHE_WORDS:  # what these texts use stays
-            self.words = {w: self.words[w] for w in used - need}
-        self._learn(need)
-        known = self.words
-        heads = self._whole([t if p is None else p[0] for t, p in zip(texts, parts)])
-        out = [h if p is None else h + b"".join([known[w] for w in p[1:]]) for h, p in zip(heads, parts)]
-        for w in need:
-            if len(w) > _CACHE_CHARS:
-                del known[w]
-        return out
+        parts = [[t] if self.unsplit(t) else t.split(" ") for t in texts]
+        heads = self._whole([p[0] for p in parts])
+        flat = [w for p in parts for w in p[1:]]
+        ids = list(map(self.words.get, flat))
+        if None in ids:
+            learnt = self._learn({w for w, x in zip(flat, ids) if x is None})
+            keep = {w: x for w, x in learnt.items() if len(w) <= _CACHE_CHARS}
+            if len(self.words) + len(keep) > _CACHE_WORDS:  # what these texts use stays
+                self.words = {w: x for w, x in zip(flat, ids) if x is not None}
+            ids = [learnt[w] if x is None else x for w, x in zip(flat, ids)]
+            self.words.update(keep)
+        ends = list(accumulate([len(p) - 1 for p in parts], initial=0))
+        return [h + b"".join(ids[a:b]) for h, (a, b) in zip(heads, pairwise(ends))]
 
 
 @lru_cache(maxsize=1)
