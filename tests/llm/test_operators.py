@@ -2,6 +2,7 @@
 awkward rows: nulls, empty and long texts, ties, repeats, empty tables, extra
 columns with clashing names."""
 
+import functools
 import hashlib
 import math
 import re
@@ -15,6 +16,8 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -158,6 +161,46 @@ def test_packing_encodes_added_tokens_as_the_plain_tokenizer():
     assert 50256 in tokenizer.encode(rows[0], add_special_tokens=False).ids
 
 
+@functools.lru_cache
+def library(path):
+    return Tokenizer.from_file(path)
+
+
+def plain_ids(path, texts):
+    tokenizer = library(path)
+    return [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_packing_ranked_ids_equal_the_library_for_every_kind_of_character():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = hilbert_pack.Encoder(path)
+    points = [*range(0x3100), *range(0x3100, 0xD800, 41), *range(0xE000, 0x110000, 331)]
+    texts = [f"a{x}{x}1{x} {x}b{x}.{x}  {x}\n{x}'s{x}" for x in map(chr, points)]
+    assert not any(map(encoder.by_library, texts[:0x100]))
+    assert encoder.encode(texts) == plain_ids(path, texts)
+
+
+@pytest.mark.parametrize("unit", ["a", " ", "\n", "12", ".-", "é", "\0", "'s", " a", "  a", "\u3000", "字"])
+def test_packing_ids_of_long_runs(unit):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [unit * n for n in (1, 199, 200, 201, 200_000)] + [unit * 50_000 + "x" + unit * 3]
+    assert hilbert_pack.Encoder(path).encode(texts) == plain_ids(path, texts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("ab 12.,'\n\té字\u00a0sre\u200b"), max_size=80))
+def test_packing_ids_of_random_texts(text):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert hilbert_pack.worker_encoder(path).encode([text]) == plain_ids(path, [text])
+
+
+def test_packing_other_vocabularies_go_through_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert hilbert_pack.byte_ranks(path) is None
+    texts = ["Some words, twice some Words.", "", "  spaced  out ", "<|endoftext|>"]
+    assert hilbert_pack.Encoder(path).encode(texts) == plain_ids(path, texts)
+
+
 def test_hilbert_steps_to_neighbours():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     key = hilbert_pack.hilbert(grid, 3)
