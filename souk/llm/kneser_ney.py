@@ -6,9 +6,9 @@ token, and its first word's context is a start mark.
 
 Building, all by hash shards whose size is bounded:
 1. Word counts: tasks count blocks of text, shards add them up.
-2. Words so frequent that their bigrams would fill a shard are listed (at most
-   4 for each shard); their bigrams are dealt by the pair, all others by the
-   first word.
+2. A word that holds more than a quarter of a shard's share of all tokens is
+   frequent, which its count in the files tells, so no list of such words is
+   made; its bigrams are dealt by the pair, all others by the first word.
 3. Bigram counts: blocks, then shards.  A shard writes its sorted array (56
    bits of hash and 8 of count; counts from 255 on are in a small array beside
    it) and passes on, for each word, how many words follow and precede it.
@@ -16,7 +16,8 @@ Building, all by hash shards whose size is bounded:
 
 Every shard file is written under a temporary name and moved into place, so a
 task that runs again leaves the same file.  Scoring maps the files and looks up
-the distinct words and pairs of a slice of texts at once.
+the distinct words and pairs of a slice of texts at once.  A worker keeps a
+bounded number of files mapped, and a mapped file holds no descriptor.
 
 Null texts count as empty: one end token.  Without training rows all counts
 are zero and every token has the probability of an unknown word.  Repeated
@@ -27,9 +28,11 @@ from __future__ import annotations
 
 import io
 import json
+import mmap
 import os
+import sys
 import tempfile
-from collections import defaultdict
+from collections import OrderedDict, defaultdict
 from collections.abc import Iterator
 from itertools import count
 from urllib.parse import urlparse
@@ -39,7 +42,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from souk.llm.shared import slices, utf8, workspace
@@ -49,10 +52,14 @@ from souk.llm.shared import slices, utf8, workspace
 BLOCK_TOKENS = 4_000_000
 SHARD_TOKENS = 2_000_000
 _HEAVY = 4  # a word is frequent from a 1/4 of a shard's share on
+# Before Python 3.13 every map holds a descriptor.
+_NO_DESCRIPTOR = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+_MAPS = 16_000 if _NO_DESCRIPTOR else 200
 _LOW = np.uint64(0xFF)
 _HASH = ~_LOW
 _START, _END = 0, 1  # local numbers
 _START_HASH, _END_HASH = xxhash.xxh64_intdigest(b"\n<s>"), xxhash.xxh64_intdigest(b"\n</s>")
+_COUNT = np.dtype([("key", "<u8"), ("c", "<u8")])
 _WORD = np.dtype([("key", "<u8"), ("c", "<u8"), ("before", "<u4"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4")])
 
 
@@ -74,18 +81,65 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
     fs.move(part, f"{root}/{name}.npy")
 
 
+def _mapped(path: str) -> np.ndarray:
+    with open(path, "rb") as file:
+        np.lib.format.read_magic(file)
+        shape, _, kind = np.lib.format.read_array_header_1_0(file)
+        whole = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, **_NO_DESCRIPTOR)
+        return np.ndarray(shape, kind, whole, file.tell())
+
+
 def _open(folder: str, name: str) -> np.ndarray:
     """The array, memory-mapped.  A file in a store that cannot be mapped is
     copied once and unlinked as soon as it is mapped."""
     fs, root = _file_system(folder)
     if isinstance(fs, pafs.LocalFileSystem):
-        return np.load(f"{root}/{name}.npy", mmap_mode="r")
+        return _mapped(f"{root}/{name}.npy")
     with tempfile.NamedTemporaryFile(suffix=".npy") as copy:
         with fs.open_input_stream(f"{root}/{name}.npy") as source:
             while chunk := source.read(1 << 24):
                 copy.write(chunk)
         copy.flush()
-        return np.load(copy.name, mmap_mode="r")
+        return _mapped(copy.name)
+
+
+def _present(folder: str, name: str) -> np.ndarray | None:
+    try:
+        return _open(folder, name)
+    except FileNotFoundError:  # nothing of this shard occurs
+        return None
+
+
+class _Files:
+    """A folder's arrays, mapped when asked for; the ``limit`` last used stay
+    mapped."""
+
+    def __init__(self, folder: str, limit: int = _MAPS):
+        self.folder, self.limit = folder, limit
+        self.kept: OrderedDict[str, np.ndarray | None] = OrderedDict()
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"kept": OrderedDict()}
+
+    def __getitem__(self, name: str) -> np.ndarray | None:
+        if name not in self.kept:
+            self.kept[name] = _present(self.folder, name)
+            if len(self.kept) > self.limit:
+                self.kept.popitem(last=False)
+        self.kept.move_to_end(name)
+        return self.kept[name]
+
+    def records(self, kind: str, form: np.dtype, keys: np.ndarray, shards: int) -> np.ndarray:
+        """Each key's record in the shards named ``kind``, zero where there is
+        none."""
+        out = np.zeros(len(keys), form)
+        for s, at in _dealt(_shard(keys, shards), np.argsort(keys)):
+            table = self[f"{kind}-{s}"]
+            if table is not None and len(table):
+                found = table[np.minimum(np.searchsorted(table["key"], keys[at]), len(table) - 1)]
+                hit = found["key"] == keys[at]
+                out[at[hit]] = found[hit]
+        return out
 
 
 def mix(v: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -101,8 +155,13 @@ def _shard(h: np.ndarray, shards: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
+def _heavy(c: np.ndarray, tokens: int, shards: int) -> np.ndarray:
+    """Which words, by their counts, are frequent."""
+    return c.astype(float) * (_HEAVY * shards) > tokens
+
+
 def _pair_shard(v: np.ndarray, pair: np.ndarray, heavy: np.ndarray, shards: int) -> np.ndarray:
-    return _shard(np.where(np.isin(v, heavy), pair, mix(v, v)), shards)
+    return _shard(np.where(heavy, pair, mix(v, v)), shards)
 
 
 class _Block:
@@ -188,7 +247,7 @@ def _count_words(rows: DataFrame, folder: str, shards: int) -> int:
         keys = [np.frombuffer(x, np.uint64) for x in group["a"]]
         n = [_large(x, len(k)) for x, k in zip(group["n"], keys)]
         key, total = _sums(np.concatenate(keys), np.concatenate(n))
-        out = np.zeros(len(key), [("key", "<u8"), ("c", "<u8")])
+        out = np.zeros(len(key), _COUNT)
         out["key"], out["c"] = key, total
         _save(folder, f"count-{group['shard'].iloc[0]}", out)
         start = total[key == np.uint64(_START_HASH)].sum()
@@ -198,40 +257,19 @@ def _count_words(rows: DataFrame, folder: str, shards: int) -> int:
             .agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0])
 
 
-def _frequent(spark: SparkSession, folder: str, shards: int, tokens: int) -> np.ndarray:
-    """Hashes of the words that hold more than a part of a shard's share of
-    all tokens; 4 times the number of shards at most, and the start mark."""
-    least = tokens / (_HEAVY * shards)
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s in batch.column("id").to_pylist():
-                words = _present(folder, f"count-{s}")
-                if words is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(words["key"][words["c"] > least].astype(np.uint64).view(np.int64))], ["h"])
-
-    found = spark.range(0, shards, 1, min(shards, 64)).mapInArrow(look, "h bigint").collect()
-    return np.sort(np.array([r["h"] for r in found] + [np.uint64(_START_HASH).astype(np.int64)], np.int64).view(np.uint64))
-
-
-def _present(folder: str, name: str) -> np.ndarray | None:
-    try:
-        return _open(folder, name)
-    except FileNotFoundError:  # no word of this shard occurs
-        return None
-
-
-def _count_pairs(rows: DataFrame, folder: str, shards: int, heavy: np.ndarray) -> pd.DataFrame:
+def _count_pairs(rows: DataFrame, folder: str, shards: int, tokens: int) -> Row:
     """Write the bigram arrays and the word records; sums over each word
     shard."""
     def count_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = _Files(folder)
         for block in _blocks(batches):
             t, keys = block.numbers(), block.hashes()
             block.tokens.clear()
+            heavy = _heavy(files.records("count", _COUNT, keys, shards)["c"], tokens, shards)
             within = t[:-1] != _END
             pair, n = np.unique(t[:-1][within] << 32 | t[1:][within], return_counts=True)
             v, w = keys[pair >> 32], keys[pair & 0xFFFFFFFF]
-            shard = _pair_shard(v, mix(v, w), heavy, shards)
+            shard = _pair_shard(v, mix(v, w), heavy[pair >> 32], shards)
             rows = []
             # Local numbers keep pairs of one first word together.
             for s, at in _dealt(shard, np.arange(len(pair))):
@@ -304,7 +342,7 @@ def _count_of_counts(spark: SparkSession, folder: str, shards: int) -> list[int]
                         n += np.bincount((pairs[at:at + (1 << 20)] & _LOW).astype(np.int64), minlength=256)
                     yield pa.RecordBatch.from_arrays([pa.array([int(n[i])]) for i in (1, 2, 3, 4)], ["k1", "k2", "k3", "k4"])
 
-    row = spark.range(0, shards, 1, min(shards, 64)).mapInArrow(look, "k1 bigint, k2 bigint, k3 bigint, k4 bigint").agg(
+    row = spark.range(0, shards, 1, min(shards, max(64, shards // 64))).mapInArrow(look, "k1 bigint, k2 bigint, k3 bigint, k4 bigint").agg(
         *[F.coalesce(F.sum(f"k{i}"), F.lit(0)) for i in (1, 2, 3, 4)]).first()
     return list(row)
 
@@ -320,43 +358,27 @@ def discounts(n: list[int]) -> list[float]:
 class Model:
     """A built model: its folder and a few sums.  Workers map the files."""
 
-    def __init__(self, folder: str, shards: int, tokens: int, heavy: list[int], sums: dict):
-        self.folder, self.shards, self.tokens, self.heavy, self.sums = folder, shards, tokens, heavy, sums
-        self.files: dict[str, np.ndarray | None] = {}
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"files": {}}
-
-    def _file(self, name: str) -> np.ndarray | None:
-        if name not in self.files:
-            self.files[name] = _present(self.folder, name)
-        return self.files[name]
+    def __init__(self, folder: str, shards: int, tokens: int, sums: dict):
+        self.shards, self.tokens, self.sums = shards, tokens, sums
+        self.files = _Files(folder)
 
     def words(self, keys: np.ndarray) -> np.ndarray:
         """Records of the words, zero where a word is unknown."""
-        out = np.zeros(len(keys), _WORD)
-        for s, at in _dealt(_shard(keys, self.shards), np.argsort(keys)):
-            table = self._file(f"word-{s}")
-            if table is not None and len(table):
-                i = np.minimum(np.searchsorted(table["key"], keys[at]), len(table) - 1)
-                found = table[i]
-                hit = found["key"] == keys[at]
-                out[at[hit]] = found[hit]
-        return out
+        return self.files.records("word", _WORD, keys, self.shards)
 
-    def pairs(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Counts of the pairs."""
+    def pairs(self, v: np.ndarray, w: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Counts of the pairs; ``c``: the counts of their first words."""
         full = mix(v, w)
         key = full & _HASH
         out = np.zeros(len(v), np.int64)
-        for s, at in _dealt(_pair_shard(v, full, np.array(self.heavy, np.uint64), self.shards), np.argsort(key)):
-            table = self._file(f"pair-{s}")
+        for s, at in _dealt(_pair_shard(v, full, _heavy(c, self.tokens, self.shards), self.shards), np.argsort(key)):
+            table = self.files[f"pair-{s}"]
             if table is None or not len(table):
                 continue
             found = table[np.minimum(np.searchsorted(table, key[at]), len(table) - 1)]
             n = np.where(found & _HASH == key[at], found & _LOW, np.uint64(0)).astype(np.int64)
             if (n == 255).any():
-                many = self._file(f"many-{s}")
+                many = self.files[f"many-{s}"]
                 big = n == 255
                 n[big] = many["n"][np.searchsorted(many["key"], key[at][big])]
             out[at] = n
@@ -386,7 +408,7 @@ class Model:
             low = np.ones(len(a))
         pair, back = np.unique(np.where(real[1:], t[:-1] << 32 | t[1:], 0), return_inverse=True)
         v, w = pair >> 32, pair & 0xFFFFFFFF
-        n = self.pairs(keys[v], keys[w])
+        n = self.pairs(keys[v], keys[w], words["c"][v])
         seen = words["c"][v].astype(float)  # of the start mark: texts
         left = d2[1] * words["n1"][v] + d2[2] * words["n2"][v] + d2[3] * words["n3"][v]
         p = np.where(seen > 0, (n - d2[np.minimum(n, 3)] + left * low[w]) / np.maximum(seen, 1), low[w])
@@ -406,11 +428,10 @@ def fit(rows: DataFrame, text_col: str = "text", shards: int | None = None) -> M
         shards = max(16, -(-size // (8 * SHARD_TOKENS)))
     folder = workspace(spark, "kneser-ney")
     tokens = _count_words(rows, folder, shards)
-    heavy = _frequent(spark, folder, shards, tokens)
-    totals = _count_pairs(rows, folder, shards, heavy)
+    totals = _count_pairs(rows, folder, shards, tokens)
     sums = {"v": totals["v"], "pairs": totals["pairs"], "word_kinds": [totals[f"k{i}"] for i in (1, 2, 3, 4)],
             "pair_kinds": _count_of_counts(spark, folder, shards)}
-    return Model(folder, shards, tokens, heavy.tolist(), json.loads(json.dumps(sums)))
+    return Model(folder, shards, tokens, json.loads(json.dumps(sums)))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
