@@ -40,7 +40,8 @@ from souk.llm.shared import slices
 SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_UNITS, _PAIRS, _LONG = 500_000, 1_000_000, 64  # bounds of the caches; longer units are not kept
+_UNITS, _LONG = 500_000, 64  # bound of the cache; longer units are not kept
+_PAIR_BITS = 21  # the table of pairs has a place for each hash of so many bits, the last pair there stays
 _FILTER_BITS = 18  # most substrings are no piece, and a table of this size tells so before the sorted keys are probed
 _CELLS = 1 << 21  # characters of one batch of units
 
@@ -127,13 +128,18 @@ class Encoder:
         spelt[m.unknown] = " ⁇ ".encode()
         self.spelt = spelt
         self.units: dict[str, bytes] = {}
-        self.apart: dict[int, bool] = {}
+        self.apart = np.full(1 << _PAIR_BITS, -1, np.int64)
         self.ends: dict[int, tuple[list[float], list[str], list[str], bool]] = {}
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
         return (keys ^ keys >> np.uint64(29)) * _BASE >> np.uint64(64 - _FILTER_BITS)
 
+    @staticmethod
+    def _place(pairs: np.ndarray) -> np.ndarray:
+        keys = pairs.view(np.uint64)
+        return (keys ^ keys >> np.uint64(31)) * _BASE >> np.uint64(64 - _PAIR_BITS)
+
     def _ends(self, piece: int) -> tuple[list[float], list[str], list[str], bool]:
         """How a piece comes about by merges by score, leftmost first: the
         score of each merge, the first and the last part before each merge and
@@ -185,15 +191,16 @@ class Encoder:
 
     def _open(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether each two neighbouring pieces are left alone by merging."""
-        pairs, back = np.unique(before << 32 | piece, return_inverse=True)
-        known, out = self.apart, np.ones(len(pairs), bool)
-        if len(known) > _PAIRS:
-            known.clear()
-        for i, pair in enumerate(pairs.tolist()):
-            if (hit := known.get(pair)) is None:
-                known[pair] = hit = self._left_alone(pair >> 32, pair & 0xFFFFFFFF)
-            out[i] = hit
-        return out[back]
+        pair = (before.astype(np.int64) << 32 | piece) << 1  # the lowest bit of an entry is the answer
+        entry = self.apart[self._place(pair)]
+        out = (entry & 1).astype(bool)
+        new = entry & -2 != pair
+        if new.any():
+            pairs, back = np.unique(pair[new], return_inverse=True)
+            found = np.array([self._left_alone(p >> 33, p >> 1 & 0xFFFFFFFF) for p in pairs.tolist()], bool)
+            out[new] = found[back]
+            self.apart[self._place(pairs)] = pairs | found
+        return out
 
     def viterbi(self, units: list[str]) -> list[list[int]]:
         """Piece ids of units of one length; -1 - c for a character c without
@@ -201,14 +208,13 @@ class Encoder:
         m = self.model
         chars = _points(units)
         n, length = chars.shape
-        points = chars.astype(np.int64)
         single = np.isin(chars, self.tables[1][0]) if 1 in self.tables else np.zeros(chars.shape, bool)
         prefix = np.zeros((length + 1, n), np.uint64)
         for e in range(length):
             prefix[e + 1] = prefix[e] * _BASE + chars[:, e]
         best = np.full((length + 1, n), -np.inf)
         best[0] = 0
-        last = np.zeros((length + 1, n), np.int64)  # piece that ends here
+        last = np.zeros((length + 1, n), np.int32)  # piece that ends here
         size = np.zeros((length + 1, n), np.int16)  # its length
         for e in range(1, length + 1):
             for k, (keys, ids, maybe) in self.tables.items():
@@ -230,7 +236,7 @@ class Encoder:
                 best[e][row], last[e][row], size[e][row] = way[better], piece[better], k
             bare = ~single[:, e - 1]  # a character without a piece still has a way
             row = np.flatnonzero(bare & (best[e - 1] + m.lowest > best[e]))
-            best[e][row], last[e][row], size[e][row] = best[e - 1][row] + m.lowest, -1 - points[row, e - 1], 1
+            best[e][row], last[e][row], size[e][row] = best[e - 1][row] + m.lowest, -1 - chars[row, e - 1].astype(np.int32), 1
         out: list[list[int]] = [[] for _ in units]
         at = np.full(n, length)
         rows = np.arange(n)
