@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding with batched numpy Viterbi.
 
 A text becomes units that pieces never cross: a run of spaces with the
-characters up to the next space.  Distinct units of one length advance
-together, one character place at a time.  For all of them the substrings that
+characters up to the next space.  Distinct units of about one length, filled up
+to the longest of them, advance together, one character place at a time.  For all of them the substrings that
 end there are hashed and probed in the sorted hashes of the pieces, and the
 best way to reach the place and its last piece are stored as backpointers.
 
@@ -14,7 +14,11 @@ the one open way is the library's encoding.  The check of two neighbours is
 kept in a bounded table.
 
 Characters without a piece become byte pieces (or the unknown piece, if the
-model has none).  Null texts count as empty and give no ids.  Repeated rows
+model has none).  Units found more than once in a slice of texts are kept with
+their ids in two bounded generations: what is used again moves to the newer
+one, and the older one is dropped when that is full.
+Memory of a worker is bounded by these, the table of pairs, one slice of texts
+and one batch of places; a decoder holds the pieces only.  Null texts count as empty and give no ids.  Repeated rows
 give repeated results, and an empty table none; very long units take time in
 proportion to their length.  Of ways with one score the first found stays (the
 shortest last piece).  Columns other than id and text are not read.
@@ -26,8 +30,11 @@ of their own are refused.
 from __future__ import annotations
 
 import re
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +47,11 @@ from souk.llm.shared import slices
 SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_UNITS, _LONG = 500_000, 64  # bound of the cache; longer units are not kept
+_UNITS, _LONG = 100_000, 64  # bound of each generation of the cache; longer units are not kept
 _PAIR_BITS = 21  # the table of pairs has a place for each hash of so many bits, the last pair there stays
 _FILTER_BITS = 18  # most substrings are no piece, and a table of this size tells so before the sorted keys are probed
-_CELLS = 1 << 21  # characters of one batch of units
+_CELLS = 1 << 18  # places of one batch of units
+_DECODED = 1 << 20  # ids decoded before their texts go to Arrow
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -98,8 +106,21 @@ class Pieces:
 
 
 def _points(units: list[str]) -> np.ndarray:
-    """Code points of units of one length, a row each."""
-    return np.frombuffer("".join(units).encode("utf-32-le"), "<u4").reshape(len(units), -1).astype(np.uint64)
+    """Code points of units, a row each, filled up to the longest with zeros."""
+    width = max(map(len, units))
+    text = "".join([u.ljust(width, "\0") for u in units])
+    return np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(len(units), -1).astype(np.uint64)
+
+
+def _batches(sizes: list[int], rows: list[int]) -> Iterator[list[int]]:
+    """Rows by size in lists of at most ``_CELLS`` places, or one row."""
+    rows = sorted(rows, key=sizes.__getitem__)
+    while rows:
+        n = max(1, _CELLS // sizes[rows[0]])
+        while n > 1 and n * sizes[rows[min(n, len(rows)) - 1]] > _CELLS:
+            n = max(1, _CELLS // sizes[rows[min(n, len(rows)) - 1]])
+        yield rows[:n]
+        rows = rows[n:]
 
 
 class Encoder:
@@ -120,14 +141,8 @@ class Encoder:
             if (np.diff(self.tables[size][0]) == 0).any():
                 raise ValueError("two pieces have one hash")
         self.powers = [np.uint64(pow(int(_BASE), k, 1 << 64)) for k in range(m.longest + 1)]
-        spelt = [b""] * (len(m.score) + 1)  # what each id writes; the last place is for numbers that are no id
-        for i, piece in m.text.items():
-            spelt[i] = piece.encode()
-        for i, b in m.byte_of.items():
-            spelt[i] = bytes([b])
-        spelt[m.unknown] = " ⁇ ".encode()
-        self.spelt = spelt
         self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.apart = np.full(1 << _PAIR_BITS, -1, np.int64)
         self.ends: dict[int, tuple[list[float], list[str], list[str], bool]] = {}
 
@@ -202,9 +217,9 @@ class Encoder:
             self.apart[self._place(pairs)] = pairs | found
         return out
 
-    def viterbi(self, units: list[str]) -> list[list[int]]:
-        """Piece ids of units of one length; -1 - c for a character c without
-        a piece."""
+    def viterbi(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of the units, one after the other, and where each unit's
+        end; -1 - c for a character c without a piece."""
         m = self.model
         chars = _points(units)
         n, length = chars.shape
@@ -237,15 +252,19 @@ class Encoder:
             bare = ~single[:, e - 1]  # a character without a piece still has a way
             row = np.flatnonzero(bare & (best[e - 1] + m.lowest > best[e]))
             best[e][row], last[e][row], size[e][row] = best[e - 1][row] + m.lowest, -1 - chars[row, e - 1].astype(np.int32), 1
-        out: list[list[int]] = [[] for _ in units]
-        at = np.full(n, length)
-        rows = np.arange(n)
+        at = np.array(list(map(len, units)))
+        rows, used, trail = np.arange(n), np.zeros(n, np.int64), []
         while len(rows):
-            for r, p in zip(rows.tolist(), last[at[rows], rows].tolist()):
-                out[r].append(p)
-            at[rows] -= size[at[rows], rows]
-            rows = rows[at[rows] > 0]
-        return [x[::-1] for x in out]
+            place = at[rows]
+            trail.append((rows, last[place, rows]))
+            used[rows] += 1
+            at[rows] = place = place - size[place, rows]
+            rows = rows[place > 0]
+        ends = np.cumsum(used)
+        ids = np.empty(ends[-1], "<i4")
+        for back, (rows, piece) in enumerate(trail, 1):
+            ids[ends[rows] - back] = piece
+        return ids, ends
 
     def _written(self, ids: list[int]) -> bytes:
         m, out = self.model, []
@@ -258,6 +277,15 @@ class Encoder:
                 out.append(m.unknown)
         return np.array(out, "<i4").tobytes()
 
+    def _learn(self, units: list[str]) -> list[bytes]:
+        """Ids of the units as bytes."""
+        ids, ends = self.viterbi(units)
+        raw, bounds = ids.tobytes(), [0, *ends.tolist()]
+        out = [raw[4 * a:4 * b] for a, b in pairwise(bounds)]
+        for r in np.unique(np.searchsorted(ends, np.flatnonzero(ids < 0), side="right")).tolist():
+            out[r] = self._written(ids[bounds[r]:bounds[r + 1]].tolist())
+        return out
+
     def _split(self, text: str) -> list[str]:
         if self.model.trim:
             text = " ".join(x for x in text.split(" ") if x)
@@ -267,30 +295,45 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian signed 32-bit numbers."""
-        split = [self._split(t) for t in texts]
-        need = set().union(*split) - self.units.keys()
-        if len(self.units) + len(need) > _UNITS:
-            self.units.clear()
-            need = set().union(*split)
-        by_length: dict[int, list[str]] = {}
-        for u in need:
-            by_length.setdefault(len(u), []).append(u)
-        for length, units in by_length.items():
-            step = max(1, _CELLS // length)
-            for i in range(0, len(units), step):
-                part = units[i:i + step]
-                self.units.update(zip(part, map(self._written, self.viterbi(part))))
-        out = [b"".join([self.units[u] for u in s]) for s in split]
-        for u in need:
-            if len(u) > _LONG:
-                del self.units[u]
-        return out
+        number: defaultdict[str, int] = defaultdict(count().__next__)
+        split = [array("i", map(number.__getitem__, self._split(t))) for t in texts]
+        units = list(number)
+        uses = np.bincount(np.frombuffer(b"".join(split), np.intc), minlength=len(units))
+        written = self._encoded(units, (uses > 1).tolist())
+        return [b"".join(map(written.__getitem__, s)) for s in split]
+
+    def _encoded(self, units: list[str], often: list[bool]) -> list[bytes]:
+        """Ids of distinct units, learnt or from the cache; kept are those
+        used often and those that were kept and are used again."""
+        new, old = self.units, self.older
+        written = [new.get(u) or old.get(u) for u in units]
+        kept = [i for i, (raw, o) in enumerate(zip(written, often)) if raw or o and len(units[i]) <= _LONG]
+        need = [i for i, raw in enumerate(written) if raw is None]
+        for rows in _batches(list(map(len, units)), need):
+            for i, raw in zip(rows, self._learn([units[i] for i in rows])):
+                written[i] = raw
+        new.update((units[i], written[i]) for i in kept)
+        if len(new) > _UNITS:
+            self.older, self.units = dict(islice(new.items(), _UNITS)), {}
+        return written
+
+
+class Decoder:
+    def __init__(self, path: str):
+        m = Pieces(path)
+        spelt = [b""] * (len(m.score) + 1)  # what each id writes; the last place is for numbers that are no id
+        for i, piece in m.text.items():
+            spelt[i] = piece.encode()
+        for i, b in m.byte_of.items():
+            spelt[i] = bytes([b])
+        spelt[m.unknown] = " ⁇ ".encode()
+        self.spelt, self.prefix = spelt, m.prefix
 
     def decode(self, ids: np.ndarray) -> str:
         none = len(self.spelt) - 1
         known = np.where((ids < 0) | (ids > none), none, ids)
         text = b"".join(map(self.spelt.__getitem__, known.tolist())).decode("utf-8", "replace").replace(SPACE, " ")
-        return text[1:] if self.model.prefix and text.startswith(" ") else text
+        return text[1:] if self.prefix and text.startswith(" ") else text
 
 
 @lru_cache(maxsize=1)
@@ -299,6 +342,12 @@ def worker_encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@lru_cache(maxsize=1)
+def worker_decoder(path: str) -> Decoder:
+    """One decoder for all tasks of a Python worker."""
+    return Decoder(path)
+
+
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids) for every row; ``ids`` is an array of piece ids."""
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -319,9 +368,15 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", text_col: str =
     """``encoded`` with the text of its ids; null ids give an empty text."""
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
-        decoder = worker_encoder(model)
-        flat = ids.values.fill_null(-1).to_numpy(zero_copy_only=False)
+        decoder = worker_decoder(model)
         ends, none = ids.offsets.to_pylist(), ids.is_null().to_pylist()
-        return pa.array(["" if z else decoder.decode(flat[a:b]) for a, b, z in zip(ends, ends[1:], none)], pa.string())
+        made, said, start = [], [], 0
+        for a, b, z in zip(ends, ends[1:], none):
+            part = ids.values[a:b].fill_null(-1).to_numpy(zero_copy_only=False)
+            said.append("" if z else decoder.decode(part))
+            if b - start > _DECODED:
+                made.append(pa.array(said, pa.string()))
+                said, start = [], b
+        return pa.concat_arrays([*made, pa.array(said, pa.string())])
 
     return encoded.withColumn(text_col, text(F.col(ids_col)))
