@@ -16,12 +16,13 @@ kept in a bounded table.
 Characters without a piece become byte pieces (or the unknown piece, if the
 model has none).  Units found more than once in a slice of texts are kept with
 their ids in two bounded generations: what is used again moves to the newer
-one, and the older one is dropped when that is full.
-Memory of a worker is bounded by these, the table of pairs, one slice of texts
-and one batch of places; a decoder holds the pieces only.  Null texts count as empty and give no ids.  Repeated rows
-give repeated results, and an empty table none; very long units take time in
-proportion to their length.  Of ways with one score the first found stays (the
-shortest last piece).  Columns other than id and text are not read.
+one, and the older one is dropped when that is full.  A worker's memory is
+bounded by these, the table of pairs, one slice of texts and one batch of
+places; decoding takes Spark functions and no worker.  Null texts count as
+empty and give no ids.  Repeated rows give repeated results, and an empty table
+none; very long units take time in proportion to their length.  Of ways with
+one score the first found stays (the shortest last piece).  Columns other than
+id and text are not read.
 
 The vocabulary file's path is a parameter; models with a normalisation table
 of their own are refused.
@@ -51,7 +52,6 @@ _UNITS, _LONG = 100_000, 64  # bound of each generation of the cache; longer uni
 _PAIR_BITS = 21  # the table of pairs has a place for each hash of so many bits, the last pair there stays
 _FILTER_BITS = 18  # most substrings are no piece, and a table of this size tells so before the sorted keys are probed
 _CELLS = 1 << 18  # places of one batch of units
-_DECODED = 1 << 20  # ids decoded before their texts go to Arrow
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -318,36 +318,12 @@ class Encoder:
         return written
 
 
-class Decoder:
-    def __init__(self, path: str):
-        m = Pieces(path)
-        spelt = [b""] * (len(m.score) + 1)  # what each id writes; the last place is for numbers that are no id
-        for i, piece in m.text.items():
-            spelt[i] = piece.encode()
-        for i, b in m.byte_of.items():
-            spelt[i] = bytes([b])
-        spelt[m.unknown] = " ⁇ ".encode()
-        self.spelt, self.prefix = spelt, m.prefix
-
-    def decode(self, ids: np.ndarray) -> str:
-        none = len(self.spelt) - 1
-        known = np.where((ids < 0) | (ids > none), none, ids)
-        text = b"".join(map(self.spelt.__getitem__, known.tolist())).decode("utf-8", "replace").replace(SPACE, " ")
-        return text[1:] if self.prefix and text.startswith(" ") else text
-
-
 @lru_cache(maxsize=1)
 def worker_encoder(path: str) -> Encoder:
     """One encoder, with its caches, for all tasks of a Python worker."""
     return Encoder(path)
 
 
-@lru_cache(maxsize=1)
-def worker_decoder(path: str) -> Decoder:
-    """One decoder for all tasks of a Python worker."""
-    return Decoder(path)
-
-
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids) for every row; ``ids`` is an array of piece ids."""
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -365,18 +341,19 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
-    """``encoded`` with the text of its ids; null ids give an empty text."""
-    @F.arrow_udf("string")
-    def text(ids: pa.Array) -> pa.Array:
-        decoder = worker_decoder(model)
-        ends, none = ids.offsets.to_pylist(), ids.is_null().to_pylist()
-        made, said, start = [], [], 0
-        for a, b, z in zip(ends, ends[1:], none):
-            part = ids.values[a:b].fill_null(-1).to_numpy(zero_copy_only=False)
-            said.append("" if z else decoder.decode(part))
-            if b - start > _DECODED:
-                made.append(pa.array(said, pa.string()))
-                said, start = [], b
-        return pa.concat_arrays([*made, pa.array(said, pa.string())])
-
-    return encoded.withColumn(text_col, text(F.col(ids_col)))
+    """``encoded`` with the text of its ids; null ids give an empty text.  The
+    bytes of the pieces are joined as hex digits, since a character may be
+    spread over byte pieces."""
+    m = Pieces(model)
+    spelt = [b""] * len(m.score)
+    for i, piece in m.text.items():
+        spelt[i] = piece.encode()
+    for i, b in m.byte_of.items():
+        spelt[i] = bytes([b])
+    spelt[m.unknown] = " ⁇ ".encode()
+    digits = F.split(F.lit(",".join([x.hex() for x in spelt])), ",")
+    raw = F.unhex(F.array_join(F.transform(ids_col, lambda i: F.get(digits, i)), ""))  # numbers that are no id give null
+    text = F.replace(F.make_valid_utf8(raw.cast("string")), F.lit(SPACE), F.lit(" "))
+    if m.prefix:
+        text = F.regexp_replace(text, r"\A ", "")
+    return encoded.withColumn(text_col, F.coalesce(text, F.lit("")))

@@ -8,6 +8,7 @@ import math
 import os
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -716,3 +717,54 @@ def test_sentencepiece_pair_rule_equals_merging():
         seen[alone] += 1
         assert alone == (merged(model.text[a] + model.text[b]) == [model.text[a], model.text[b]])
     assert min(seen[True], seen[False]) > 50
+
+
+def test_sentencepiece_keeps_little_of_words_seen_once():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoder, sp = sentencepiece_viterbi.Encoder(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    encoder.encode(["the words of a text"])
+    tracemalloc.start()
+    try:
+        for part in range(4):
+            text = " ".join(f"word{part}{n:x}s" for n in range(50_000))
+            assert np.frombuffer(encoder.encode([text])[0], "<i4").tolist() == sp.encode(text)
+        del text
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert held < 16 << 20 and peak < 80 << 20, (held, peak)
+
+
+def test_sentencepiece_generations_and_batches_equal_the_library(monkeypatch):
+    monkeypatch.setattr(sentencepiece_viterbi, "_UNITS", 30)
+    monkeypatch.setattr(sentencepiece_viterbi, "_CELLS", 200)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoder, sp = sentencepiece_viterbi.Encoder(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("aeinrstéß語\n\x00☃▁."), n)) for n in rng.integers(1, 14, 120)] + ["the", "thing" * 90, ""]
+    for _ in range(25):
+        texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 40, 90)] + ["", " ", "  a  b "]
+        assert [np.frombuffer(x, "<i4").tolist() for x in encoder.encode(texts)] == [sp.encode(t) for t in texts]
+        assert len(encoder.units) <= 30 and len(encoder.older) <= 30
+
+
+def test_sentencepiece_decodes_any_numbers_without_a_python_worker(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, rng = sentencepiece_viterbi.Pieces(path), np.random.default_rng(4)
+    size, tokens = len(model.score), sorted(model.bytes.values())
+    rows = [rng.choice([*tokens, *rng.integers(-2, size + 2, 60).tolist()], n).tolist() for n in rng.integers(0, 12, 300)]
+    rows += [None, [], [None], [None, 400, None], [-1], [size], [size + 9], [model.unknown], [model.ids["▁"]] * 3,
+             [model.bytes[b] for b in " ▁語\n☃".encode()], [model.bytes[b] for b in b"\xe2\x96\xf0\x9f\x98a\xff"]]
+
+    def spelt(i):
+        if i in model.byte_of:
+            return bytes([model.byte_of[i]])
+        return (" ⁇ " if i == model.unknown else model.text.get(i, "")).encode()
+
+    def text(ids):
+        out = b"".join(map(spelt, ids or [])).decode("utf-8", "replace").replace("▁", " ")
+        return out[1:] if model.prefix and out.startswith(" ") else out
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, ids array<int>").repartition(2)
+    back = sentencepiece_viterbi.decode(df, path, text_col="decoded")
+    assert "Python" not in back._jdf.queryExecution().executedPlan().toString()
+    assert {r["doc_id"]: r["decoded"] for r in back.collect()} == {i: text(ids) for i, ids in enumerate(rows)}
